@@ -53,9 +53,12 @@ def differences(result: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) ->
 
 def main(arguments: list[str]) -> int:
     sf_dir = arguments[0] if arguments else "/root/testdata/sf0.01"
-    spark: SparkSession = spark_session(
-        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
-    )
+    conf = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "8g",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    spark: SparkSession = spark_session("compare", "local[8]", **conf)
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(sf_dir), 0
     for name in arguments[1:] or list(QUERIES):

@@ -30,14 +30,19 @@ def _padded(number: Column, width: int) -> Column:
     return F.lpad(number.cast("string"), width, "0")
 
 
-def _order_day() -> Column:
-    return F.date_format("o_orderdate", "yyyyMMdd")
+def _month_end() -> Column:
+    return F.last_day("o_orderdate")
+
+
+def _landing_day() -> Column:
+    """Sales land at the end of their month."""
+    return F.date_format(_month_end(), "yyyyMMdd")
 
 
 def raw_sales(
     spark: SparkSession, sf_dir: str, stores: bool = True, vendors: bool = True
 ) -> DataFrame:
-    """Sales lines by order day. Store and vendor names only where asked for: each is a join."""
+    """Sales lines by landing day. Store and vendor names only where asked for: each is a join."""
     rows = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
@@ -76,7 +81,7 @@ def raw_sales(
         "sale_dollars": F.col("l_extendedprice"),
         "sale_liters": F.col("l_quantity") * 0.75,
         "sale_gallons": F.col("l_quantity") * 0.198,
-        "partition": _order_day(),
+        "partition": _landing_day(),
     }
     return rows.select(*[columns[name].alias(name) for name in RAW_SALES.names])
 
@@ -149,22 +154,22 @@ def raw_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sold_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product snapshots by day: each day holds the products sold on it."""
+    """Product snapshots: each landing day holds the products sold in its month."""
     sold = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
-    days = sold.select(_text("l_partkey").alias("itemno"), _order_day().alias("partition")).distinct()
+    days = sold.select(_text("l_partkey").alias("itemno"), _landing_day().alias("partition")).distinct()
     products = raw_product(spark, sf_dir).drop("partition")
     return products.join(days, "itemno").select(RAW_PRODUCT.names)
 
 
 def open_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store snapshots by day: each day holds the stores that ordered, but for those in debt."""
+    """Store snapshots: each landing day holds the stores that ordered, but for those in debt."""
     solvent = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
     orders = table(spark, sf_dir, "orders").join(
         solvent, F.col("o_custkey") == F.col("c_custkey"), "left_semi"
     )
-    days = orders.select(_text("o_custkey").alias("store"), _order_day().alias("partition")).distinct()
+    days = orders.select(_text("o_custkey").alias("store"), _landing_day().alias("partition")).distinct()
     stores = raw_store(spark, sf_dir).drop("partition")
     return stores.join(days, "store").select(RAW_STORE.names)
 
@@ -208,5 +213,5 @@ def staged(spark: SparkSession, sf_dir: str, what: str) -> str:
 
 
 def day_range(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    day = _order_day()
+    day = _landing_day()
     return tuple(table(spark, sf_dir, "orders").agg(F.min(day), F.max(day)).first())

@@ -18,7 +18,7 @@ raw_sales AS (
          p_size AS pack, p_retailprice AS state_bottle_cost,
          cast(l_quantity AS integer) AS sale_bottles, l_extendedprice AS sale_dollars,
          l_quantity * 0.75::double AS sale_liters, l_quantity * 0.198::double AS sale_gallons,
-         strftime(o_orderdate, '%Y%m%d') AS "partition"
+         strftime(last_day(o_orderdate), '%Y%m%d') AS "partition"
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN part ON l_partkey = p_partkey
@@ -88,12 +88,12 @@ store AS (
 
 SOLD = """
 sold AS (
-  SELECT DISTINCT cast(l_partkey AS varchar) AS id, cast(o_orderdate AS date) AS sold_date
+  SELECT DISTINCT cast(l_partkey AS varchar) AS id, last_day(o_orderdate) AS sold_date
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 )"""
 ORDERED = """
 ordered AS (
-  SELECT DISTINCT cast(o_custkey AS varchar) AS id, cast(o_orderdate AS date) AS order_date FROM orders
+  SELECT DISTINCT cast(o_custkey AS varchar) AS id, last_day(o_orderdate) AS order_date FROM orders
 )"""
 
 
@@ -177,6 +177,11 @@ def _is_holiday(rule: str) -> str:
 
 ORDER_DAYS = _days("(SELECT min(o_orderdate) FROM orders)", "(SELECT max(o_orderdate) FROM orders)")
 
+LANDING_DAYS = _days(
+    "(SELECT last_day(min(o_orderdate)) FROM orders)",
+    "(SELECT last_day(max(o_orderdate)) FROM orders)",
+)
+
 
 def _calendar(rule: str) -> str:
     return f"""WITH {ORDER_DAYS},
@@ -215,9 +220,9 @@ FROM product JOIN sold USING (id)""",
 SELECT store.* EXCLUDE (c_acctbal)
        REPLACE (order_date AS update_date, strftime(order_date, '%Y%m%d') AS "partition")
 FROM store JOIN ordered USING (id) WHERE c_acctbal >= 0""",
-    "backfill_report": f"""WITH {ORDER_DAYS},
+    "backfill_report": f"""WITH {LANDING_DAYS},
 solvent AS (
-  SELECT cast(o_orderdate AS date) AS o, count(DISTINCT o_custkey) AS n
+  SELECT last_day(o_orderdate) AS o, count(DISTINCT o_custkey) AS n
   FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal >= 0 GROUP BY 1
 )
 SELECT strftime(d, '%Y%m%d') AS "partition",
@@ -255,7 +260,8 @@ SELECT {MESSAGE_COLUMNS}, NULL, NULL, NULL, NULL FROM raw_sales WHERE sale_bottl
 UNION ALL
 SELECT {MESSAGE_COLUMNS}, address, pack, NULL, sale_gallons FROM raw_sales WHERE sale_bottles % 5 = 3""",
     "raw_landing": f"""WITH {RAW_SALES}
-SELECT "partition", process_date, invoice_line_no, store, itemno, address, sale_bottles, sale_dollars
+SELECT "partition", invoice_line_no, process_date AS "date", store, itemno, address, sale_bottles,
+       sale_dollars
 FROM raw_sales WHERE category <> 'Brand#1'""",
     "raw_landing_rejects": f"""WITH {RAW_SALES}
 SELECT invoice_line_no FROM raw_sales WHERE category = 'Brand#1'""",

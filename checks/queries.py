@@ -275,11 +275,12 @@ def stream_progress_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> Lake:
-    """Lines land by day; lines of brand Brand#1 lose their date and are rejected."""
+    """Lines are processed at the end of their month; those of Brand#1 have no date: rejected."""
     work = work_folder(spark)
     lake = Lake(f"{work}/lake")
     sales = feed.raw_sales(spark, sf_dir)
-    date = F.when(F.col("category") != "Brand#1", F.col("process_date")).otherwise("no date")
+    month_end = F.last_day("process_date").cast("string")
+    date = F.when(F.col("category") != "Brand#1", month_end).otherwise("no date")
     line = F.to_csv(F.struct(*RAW_SALES.names[:-1])).alias("line")
     value = F.concat("line", F.lit("\r\n")).cast("binary").alias("value")
     lines = sales.withColumn("process_date", date).select(line).select(value)
@@ -293,7 +294,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> Lake:
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _landed(spark, sf_dir)
     start, end = feed.day_range(spark, sf_dir)
-    columns = ["partition", "process_date", "invoice_line_no", "store", "itemno", "address"]
+    columns = ["partition", "invoice_line_no", "date", "store", "itemno", "address"]
     return read_raw_days(spark, lake, TABLE, start, end).select(*columns, "sale_bottles", "sale_dollars")
 
 
@@ -332,7 +333,7 @@ def backfill_dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def backfill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Status of every day; days on which no solvent store ordered have no data."""
+    """Status of every day; most are no landing day and have no data."""
     _, report = _backfilled(spark, sf_dir, STORE)
     return report.select("partition", "status", "rows")
 

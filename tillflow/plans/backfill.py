@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.lake import Lake, days_between
-from tillflow.plans.daily import TableJob
+from tillflow.plans.daily import EmptyInput, TableJob
 from tillflow.sinks.gold import write_day, write_days
 from tillflow.sources.gold import rows_per_day
-from tillflow.sources.raw import day_has_files, read_raw_day, read_raw_days
+from tillflow.sources.raw import days_with_files, read_raw_day, read_raw_days
 
 
 def _load(
@@ -52,10 +52,12 @@ def backfill(
         raise ValueError(f"no day between {start} and {end}")
     written, failed = _load(spark, lake, job, days, layout)
     quiet = [day for day in days if day not in written and day not in failed]
-    with_files = [day for day in quiet if on_empty != "skip" and day_has_files(spark, lake, job.raw, day)]
-    if with_files and on_empty == "raise":
-        raise ValueError(f"no rows in {job.raw} for {', '.join(with_files)}")
-    for day in with_files:
+    emptied = []
+    if quiet and on_empty != "skip":
+        emptied = sorted(days_with_files(spark, lake, job.raw, quiet))
+    if emptied and on_empty == "raise":
+        raise EmptyInput(f"no rows in {job.raw} for {', '.join(emptied)}")
+    for day in emptied:
         # A dynamic overwrite cannot empty a day; the few such days are written one by one.
         write_day(job.build(read_raw_day(spark, lake, job.raw, day)), lake.gold(job.gold), day)
 
@@ -64,7 +66,7 @@ def backfill(
             return "failed"
         if day in written:
             return "ok"
-        return "emptied" if day in with_files else "no_data"
+        return "emptied" if day in emptied else "no_data"
 
     report = spark.createDataFrame(
         [(day, status(day), failed.get(day)) for day in days],

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tillflow.functions.lines import message_lines, sales_fields
 
+# Fixed value: the columns of Spark's binaryFile source.
+FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
 
 def kafka_options(
     servers: str,
@@ -37,7 +40,7 @@ def whole_file_messages(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
     """Each file is one message of many lines."""
-    reader = spark.readStream.format("binaryFile")
+    reader = spark.readStream.format("binaryFile").schema(FILE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path).select(F.col("content").alias("value"))
