@@ -91,7 +91,7 @@ def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _loaded_day(spark: SparkSession, sf_dir: str, job: TableJob, layout: str | int) -> DataFrame:
     raw, gold = Lake(feed.staged(spark, sf_dir, "one_day")), Lake(work_folder(spark))
     load_day(spark, LakePair(raw, gold), job, feed.LANDING_DAY, layout=layout)
-    return read_gold_days(spark, gold, job.gold, [feed.LANDING_DAY])
+    return read_gold_days(spark, gold, job.gold, feed.LANDING_DAY, feed.LANDING_DAY)
 
 
 class LakePair(Lake):

@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillflow.files import day_folders
 from tillflow.lake import Lake, days_between
 from tillflow.plans.daily import EmptyInput, TableJob
 from tillflow.sinks.gold import write_day, write_days
 from tillflow.sources.gold import rows_per_day
-from tillflow.sources.raw import days_with_files, read_raw_day, read_raw_days
+from tillflow.sources.raw import holds_file, read_raw_day, read_raw_days
 
 
 def _load(
@@ -51,10 +52,11 @@ def backfill(
     if not days:
         raise ValueError(f"no day between {start} and {end}")
     written, failed = _load(spark, lake, job, days, layout)
-    quiet = [day for day in days if day not in written and day not in failed]
     emptied = []
-    if quiet and on_empty != "skip":
-        emptied = sorted(days_with_files(spark, lake, job.raw, quiet))
+    if on_empty != "skip":
+        folders = day_folders(spark, lake.raw(job.raw), start, end)
+        quiet = [day for day in sorted(folders) if day not in written and day not in failed]
+        emptied = [day for day in quiet if holds_file(spark, lake, job.raw, day)]
     if emptied and on_empty == "raise":
         raise EmptyInput(f"no rows in {job.raw} for {', '.join(emptied)}")
     for day in emptied:
@@ -72,8 +74,6 @@ def backfill(
         [(day, status(day), failed.get(day)) for day in days],
         "partition STRING, status STRING, error STRING",
     )
-    if not written:
-        return report.select("partition", "status", F.lit(0).cast("long").alias("rows"), "error")
-    counts = rows_per_day(spark, lake, job.gold, sorted(written))
-    rows = F.coalesce("count", F.lit(0)).alias("rows")
+    counts = rows_per_day(spark, lake, job.gold, start, end)
+    rows = F.when(F.col("status") == "ok", F.col("count")).otherwise(0).alias("rows")
     return report.join(counts, "partition", "left").select("partition", "status", rows, "error")

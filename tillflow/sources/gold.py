@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from tillflow.files import day_folders
 from tillflow.lake import GOLD_TABLES, Lake
-from tillflow.sources.raw import path_missing
 
 
 def read_gold(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
@@ -15,18 +14,20 @@ def read_gold(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     return spark.read.schema(schema).parquet(lake.gold(table)).select(schema.names)
 
 
-def read_gold_days(spark: SparkSession, lake: Lake, table: str, days: list[str]) -> DataFrame:
-    """Only the given days, and only their folders listed. Days without a folder give no rows."""
+def read_gold_days(
+    spark: SparkSession, lake: Lake, table: str, start: str, end: str
+) -> DataFrame:
+    """The days from start to end, and only their folders listed."""
     root, schema = lake.gold(table), GOLD_TABLES[table]
-    reader = spark.read.schema(schema).option("basePath", root)
-    try:
-        return reader.parquet(f"{root}/partition={{{','.join(days)}}}").select(schema.names)
-    except AnalysisException as error:
-        if not path_missing(error):
-            raise
+    folders = day_folders(spark, root, start, end)
+    if not folders:
         return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", root)
+    return reader.parquet(*folders.values()).select(schema.names)
 
 
-def rows_per_day(spark: SparkSession, lake: Lake, table: str, days: list[str]) -> DataFrame:
+def rows_per_day(
+    spark: SparkSession, lake: Lake, table: str, start: str, end: str
+) -> DataFrame:
     """Row counts of written days. No column is read: Parquet footers hold the counts."""
-    return read_gold_days(spark, lake, table, days).groupBy("partition").count()
+    return read_gold_days(spark, lake, table, start, end).groupBy("partition").count()

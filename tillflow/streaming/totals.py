@@ -48,10 +48,6 @@ class TotalsStore:
     def base(self) -> str:
         return f"{self.root}/base"
 
-    @property
-    def folds(self) -> str:
-        return f"{self.root}/folds"
-
     @property
     def log(self) -> str:
         return f"{self.root}/streaming_logs"
