@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
+from tillflow.files import matching
 from tillflow.lake import GOLD_TABLES, Lake
 from tillflow.schemas import ddl
 
@@ -16,13 +17,16 @@ def register_table(
     path: str,
     partitioned_by: str | None = "partition",
 ) -> None:
-    """Create the table if it is new, then pick up the day folders written since last time."""
+    """Create the table if it is new, then pick up the day folders written since last time.
+
+    A table may be registered before its first load; it is empty until then.
+    """
     partitioning = f"PARTITIONED BY (`{partitioned_by}`)" if partitioned_by else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING PARQUET {partitioning} "
         f"LOCATION '{path}'"
     )
-    if partitioned_by:
+    if partitioned_by and matching(spark, path):
         spark.sql(f"MSCK REPAIR TABLE {name}")
     spark.catalog.refreshTable(name)
 

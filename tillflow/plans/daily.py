@@ -80,20 +80,25 @@ def load_dates(
 
 @contextmanager
 def _time_limit(spark: SparkSession, seconds: float | None) -> Iterator[None]:
-    """Cancel the Spark jobs of this block when they run too long."""
+    """Cancel the Spark jobs of this block once it runs too long, and those it starts after that."""
     if not seconds:
         yield
         return
-    tag = f"limit-{uuid.uuid4().hex}"
-    timer = threading.Timer(seconds, spark.interruptTag, [tag])
-    timer.daemon = True
-    spark.addTag(tag)
-    timer.start()
+    context, tag, done = spark.sparkContext, f"limit-{uuid.uuid4().hex}", threading.Event()
+
+    def watch() -> None:
+        if not done.wait(seconds):
+            context.cancelJobsWithTag(tag)
+            while not done.wait(1):
+                context.cancelJobsWithTag(tag)
+
+    context.addJobTag(tag)
+    threading.Thread(target=watch, daemon=True).start()
     try:
         yield
     finally:
-        timer.cancel()
-        spark.removeTag(tag)
+        done.set()
+        context.removeJobTag(tag)
 
 
 def run_daily(
