@@ -22,6 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items, dealt out to all cores where the file has fewer splits than there are cores.
+
+    That is a shuffle of a small table only: a large one has more splits and stays as it is.
+    """
+    rows, cores = table(spark, sf_dir, "lineitem"), spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def _text(column: str) -> Column:
     return F.col(column).cast("string")
 
@@ -36,14 +45,14 @@ def _month_end() -> Column:
 
 def _landing_day() -> Column:
     """Sales land at the end of their month."""
-    return F.date_format(_month_end(), "yyyyMMdd")
+    return F.translate(_month_end().cast("string"), "-", "")
 
 
 def raw_sales(
     spark: SparkSession, sf_dir: str, stores: bool = True, vendors: bool = True
 ) -> DataFrame:
     """Sales lines by landing day. Store and vendor names only where asked for: each is a join."""
-    rows = table(spark, sf_dir, "lineitem").join(
+    rows = _lines(spark, sf_dir).join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     rows = rows.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -53,12 +62,13 @@ def raw_sales(
     if vendors:
         rows = rows.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     nothing = F.lit(None).cast("string")
+    order_date = F.to_date("o_orderdate").cast("string")
     columns = {
         "kafka_topic": F.lit("liquor_sales"),
-        "process_date": F.date_format("o_orderdate", "yyyy-MM-dd"),
+        "process_date": order_date,
         "hour_id": _padded(F.col("l_orderkey") % 24, 2),
         "invoice_line_no": F.concat_ws("-", "l_orderkey", "l_linenumber"),
-        "date": F.date_format("o_orderdate", "yyyy-MM-dd"),
+        "date": order_date,
         "store": _text("o_custkey"),
         "name": F.col("c_name") if stores else nothing,
         "address": F.concat(F.col("c_mktsegment"), F.lit(", row 1")) if stores else nothing,
@@ -155,7 +165,7 @@ def raw_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sold_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product snapshots: each landing day holds the products sold in its month."""
-    sold = table(spark, sf_dir, "lineitem").join(
+    sold = _lines(spark, sf_dir).join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     days = sold.select(_text("l_partkey").alias("itemno"), _landing_day().alias("partition")).distinct()

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import feed
+from tillflow.files import matching
 from tillflow.lake import Lake
 from tillflow.operators.calendar import build_dim_date, date_spine, with_calendar
 from tillflow.operators.dimensions import build_dim_product, build_dim_store
@@ -19,7 +20,7 @@ from tillflow.plans.catalog import register_table
 from tillflow.plans.daily import PRODUCT, SALES, STORE, TableJob, load_day, run_daily
 from tillflow.plans.health import log_health
 from tillflow.plans.star import star_sales
-from tillflow.schemas import FACT_SALES, RAW_SALES
+from tillflow.schemas import FACT_SALES, SALES_LINE
 from tillflow.session import work_folder
 from tillflow.sinks.logs import read_batch_log, write_batch_log
 from tillflow.sources.gold import read_gold, read_gold_days
@@ -166,11 +167,11 @@ def all_totals_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _streamed(
     spark: SparkSession, sf_dir: str, mode: str = "delta", output: str = "update"
 ) -> TotalsStore:
-    """Drain the staged message files in micro-batches of ten messages."""
-    files = feed.staged(spark, sf_dir, "message_files")
+    """Drain the staged message files in four micro-batches."""
+    files = f"{feed.staged(spark, sf_dir, 'message_files')}/*.txt"
     work = work_folder(spark)
     store = TotalsStore(f"{work}/totals")
-    messages = whole_file_messages(spark, f"{files}/*.txt", max_files_per_trigger=10)
+    messages = whole_file_messages(spark, files, len(matching(spark, files)) // 4 + 1)
     start_totals(
         messages, store, f"{work}/checkpoint", mode, output, every=None, state_partitions=8
     ).awaitTermination()
@@ -220,28 +221,23 @@ def stream_current_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_message_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages built from each sales line: blank lines, CRLF, bad numbers, short and long lines."""
-    line = F.to_csv(F.struct(*[name for name in RAW_SALES.names if name != "partition"]))
     odd = F.col("sale_bottles") % 5
+    bottles = F.concat(F.col("sale_bottles"), F.when(odd == 3, ".0").otherwise(""))
+    sales = feed.raw_sales(spark, sf_dir).withColumns({"odd": odd, "sale_bottles": bottles})
+    sales = sales.select("odd", F.to_csv(F.struct(*SALES_LINE.names)).alias("line"))
+    line = F.col("line")
     broken = (
-        F.when(odd == 0, F.concat(line, F.lit("\r\n"), line, F.lit("\n\n")))
-        .when(odd == 1, F.concat(line, F.lit(",more,fields\n")))
-        .when(odd == 2, F.concat_ws(",", "kafka_topic", "process_date", "hour_id", "invoice_line_no"))
-        .when(odd == 3, F.to_csv(F.struct(*_bad_number())))
-        .otherwise(F.lit(None).cast("string"))
+        F.when(F.col("odd") == 0, F.concat(line, F.lit("\r\n"), line, F.lit("\n\n")))
+        .when(F.col("odd") == 1, F.concat(line, F.lit(",more,fields\n")))
+        .when(F.col("odd") == 2, F.substring_index(line, ",", 4))
+        .when(F.col("odd") == 3, line)
     )
-    messages = feed.raw_sales(spark, sf_dir).select(broken.cast("binary").alias("value"))
+    messages = sales.select(broken.cast("binary").alias("value"))
     return parse_sales(messages).select(
         "process_date", "hour_id", "invoice_line_no", "address", "pack", "sale_bottles", "sale_gallons"
     )
 
 
-def _bad_number() -> list:
-    fields = [F.col(name) for name in RAW_SALES.names if name != "partition"]
-    place = RAW_SALES.names.index("sale_bottles")
-    fields[place] = F.concat(F.col("sale_bottles"), F.lit(".0")).alias("sale_bottles")
-    return fields
-
-
 def _drain_rows(spark: SparkSession, sf_dir: str, mode: str) -> tuple[TotalsStore, DataFrame]:
     rows = feed.staged(spark, sf_dir, "message_rows")
     work = work_folder(spark)
@@ -281,7 +277,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> Lake:
     sales = feed.raw_sales(spark, sf_dir)
     month_end = F.last_day("process_date").cast("string")
     date = F.when(F.col("category") != "Brand#1", month_end).otherwise("no date")
-    line = F.to_csv(F.struct(*RAW_SALES.names[:-1])).alias("line")
+    line = F.to_csv(F.struct(*SALES_LINE.names)).alias("line")
     value = F.concat("line", F.lit("\r\n")).cast("binary").alias("value")
     lines = sales.withColumn("process_date", date).select(line).select(value)
     lines.repartition(2).write.parquet(f"{work}/messages")
