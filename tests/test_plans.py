@@ -72,19 +72,36 @@ def test_lines_are_parsed_once(spark):
     assert plan(parse_sales(messages)).count("from_csv(") == 1
 
 
-def test_star_sums_before_it_joins(spark, make, raw, tmp_path):
-    stores = make(schemas.DIM_STORE, [{"id": "s1", "partition": "20241201"}])
-    stores.write.partitionBy("partition").parquet(f"{tmp_path}/stores")
-    stores = spark.read.schema(schemas.DIM_STORE).parquet(f"{tmp_path}/stores")
+@pytest.fixture
+def stores(spark, make, tmp_path):
+    rows = make(schemas.DIM_STORE, [{"id": "s1", "partition": "20241201"}])
+    rows.write.partitionBy("partition").parquet(f"{tmp_path}/stores")
+    return spark.read.schema(schemas.DIM_STORE).parquet(f"{tmp_path}/stores")
+
+
+def test_star_with_small_dimensions_shuffles_sums_only(spark, raw, stores):
     dates = build_dim_date(spark, "2024-12-01", "2024-12-31")
-    frame = star_sales(build_fact_sales(raw), ["month", "store_state"], dates, stores=stores)
-    text = plan(frame)
-    assert text.rindex("Join") < text.rindex("HashAggregate")
-    assert "NestedLoop" not in text and "Cartesian" not in text
+    text = plan(star_sales(build_fact_sales(raw), ["month", "store_state"], dates, stores=stores))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count("BroadcastHashJoin") == 2 and text.count("BroadcastExchange") == 2
     columns = re.findall(r"ReadSchema: struct<(.*?)>", text)
     assert "id:string,state:string" in columns
 
 
+def test_star_with_a_large_dimension_sums_before_the_join(spark, raw, stores):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = star_sales(build_fact_sales(raw), ["store_state"], stores=stores, broadcast_rows=0)
+        text = plan(frame)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Broadcast" not in text
+    fact_side = text[text.index("SortMergeJoin") :]
+    assert "partial_sum" in fact_side
+    # The sums are already laid out by the join keys: facts are shuffled once, before the join.
+    assert fact_side.count("Exchange hashpartitioning(store_id") == 2
+
+
 def test_latest_snapshot_prunes_folders(spark, tmp_path):
     days = spark.range(3).selectExpr("id", "CAST(20241201 + id AS STRING) AS partition")
     days.write.partitionBy("partition").parquet(f"{tmp_path}/dim")

@@ -54,18 +54,23 @@ def brute_force(dims, key, attribute, snapshot):
     return {value: tuple(sums) for value, sums in out.items()}
 
 
-@pytest.mark.parametrize("snapshot", ["same_day", "latest"])
-def test_store_star(star, snapshot):
+WAYS = [("same_day", 0), ("same_day", 100), ("latest", 0), ("latest", 100)]
+
+
+@pytest.mark.parametrize("snapshot, bound", WAYS)
+def test_store_star(star, snapshot, bound):
     fact, stores, _ = star
-    result = star_sales(fact, ["store_state"], stores=stores, snapshot=snapshot).collect()
+    options = {"snapshot": snapshot, "broadcast_rows": bound}
+    result = star_sales(fact, ["store_state"], stores=stores, **options).collect()
     found = {r["store_state"]: (r["sale_bottles"], r["sales_lines"], r["unmatched_stores"]) for r in result}
     assert found == brute_force(STORES, "store", "state", snapshot)
 
 
-@pytest.mark.parametrize("snapshot", ["same_day", "latest"])
-def test_product_star(star, snapshot):
+@pytest.mark.parametrize("snapshot, bound", WAYS)
+def test_product_star(star, snapshot, bound):
     fact, _, products = star
-    result = star_sales(fact, ["product_category"], products=products, snapshot=snapshot).collect()
+    options = {"snapshot": snapshot, "broadcast_rows": bound}
+    result = star_sales(fact, ["product_category"], products=products, **options).collect()
     found = {
         r["product_category"]: (r["sale_bottles"], r["sales_lines"], r["unmatched_products"])
         for r in result
@@ -73,11 +78,12 @@ def test_product_star(star, snapshot):
     assert found == brute_force(PRODUCTS, "itemno", "category", snapshot)
 
 
-def test_whole_star(spark, star):
+@pytest.mark.parametrize("bound", [0, 2, 3, 100])
+def test_whole_star(spark, star, bound):
     fact, stores, products = star
     dates = build_dim_date(spark, "2024-12-01", "2024-12-31")
     by = ["day_of_week", "product_category", "store_state"]
-    result = star_sales(fact, by, dates, products, stores)
+    result = star_sales(fact, by, dates, products, stores, broadcast_rows=bound)
     columns = [*by, "sale_bottles", "unmatched_dates", "unmatched_products", "unmatched_stores"]
     assert rows_of(result, *columns) == [
         (None, "Gin", None, 32, 1, 0, 1),

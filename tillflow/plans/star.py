@@ -1,14 +1,16 @@
 """Star queries over the fact and its dimensions.
 
-The fact is summed by its join keys before any join. That pre-aggregation combines on the map side,
-so a key with a third of all rows becomes one row per task; what is then shuffled and joined grows
-with the distinct keys, not with the fact, and no join key can be hot. No broadcast is forced:
-Spark broadcasts a dimension only where its measured size allows.
+Each dimension is counted first. Small ones are broadcast: the fact is joined where it is read, and
+no key can be hot. For a dimension beyond that bound the fact is summed by its key before the join;
+that combines on the map side, so a key with a third of all rows becomes one row per task, and what
+is shuffled grows with the distinct keys, not with the fact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FACT_SUMS = [
@@ -19,6 +21,23 @@ FACT_SUMS = [
     "sale_liters",
     "sale_gallons",
 ]
+BROADCAST_ROWS = 500_000
+
+
+@dataclass(frozen=True)
+class Side:
+    """One dimension, cut to its join keys and the attributes asked for."""
+
+    rows: DataFrame
+    on: list[str]
+    unmatched: str
+
+    def join_to(self, facts: DataFrame, small: bool) -> DataFrame:
+        """Left join; facts without a partner keep their lines and count as unmatched."""
+        side = self.rows.withColumn("found", F.lit(True))
+        joined = facts.join(F.broadcast(side) if small else side, self.on, "left")
+        missing = F.when(F.col("found").isNull(), F.col("sales_lines")).otherwise(0)
+        return joined.withColumn(self.unmatched, missing).drop("found")
 
 
 def latest_day(dim: DataFrame) -> DataFrame:
@@ -27,6 +46,22 @@ def latest_day(dim: DataFrame) -> DataFrame:
     return dim.where(F.col("partition") == newest)
 
 
+def _date_side(dates: DataFrame, by: list[str]) -> Side:
+    wanted = [name for name in by if name in dates.columns and name != "date_key"]
+    return Side(dates.select(F.col("full_date").alias("date_key"), *wanted), ["date_key"], "unmatched_dates")
+
+
+def _snapshot_side(dim: DataFrame, kind: str, by: list[str], snapshot: str) -> Side:
+    key = f"{kind}_id"
+    wanted = [name for name in by if name.startswith(f"{kind}_") and name != key]
+    columns = [F.col(name.removeprefix(f"{kind}_")).alias(name) for name in wanted]
+    if snapshot == "same_day":
+        rows = dim.select(F.col("id").alias(key), "partition", *columns)
+        return Side(rows, [key, "partition"], f"unmatched_{kind}s")
+    rows = latest_day(dim).select(F.col("id").alias(key), *columns)
+    return Side(rows, [key], f"unmatched_{kind}s")
+
+
 def star_sales(
     fact: DataFrame,
     by: list[str],
@@ -35,52 +70,36 @@ def star_sales(
     stores: DataFrame | None = None,
     snapshot: str = "same_day",
     row_cap: int | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Sales sums by dimension attributes.
 
-    `by` names date columns as they are, product columns as `product_<name>` and store columns as
-    `store_<name>`. snapshot "same_day" takes the dimension row of the fact's own day, "latest" the
-    newest day of the dimension. Facts without a dimension row stay, under NULL, and are counted in
-    `unmatched_dates`, `unmatched_products` and `unmatched_stores`. row_cap keeps the rows with the
-    largest sales.
+    `by` names fact and date columns as they are, product columns as `product_<name>` and store
+    columns as `store_<name>`. snapshot "same_day" takes the dimension row of the fact's own day,
+    "latest" the newest day of the dimension. Facts without a dimension row stay, under NULL, and
+    are counted in `unmatched_dates`, `unmatched_products` and `unmatched_stores`. row_cap keeps
+    the rows with the largest sales.
     """
     if snapshot not in ("same_day", "latest"):
         raise ValueError(f"unknown snapshot rule: {snapshot}")
-    snapshots = {
-        kind: dim for kind, dim in (("product", products), ("store", stores)) if dim is not None
-    }
-    keys = [f"{kind}_id" for kind in snapshots]
-    keys += ["date_key"] if dates is not None else []
-    keys += ["partition"] if snapshots and snapshot == "same_day" else []
-    sums = [F.sum(name).alias(name) for name in FACT_SUMS]
-    joined = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("sales_lines"), *sums)
-
-    unmatched = {}
-    if dates is not None:
-        attributes = [name for name in by if not name.startswith(("product_", "store_"))]
-        days = dates.select(F.col("full_date").alias("date_key"), *attributes, _found("date"))
-        joined = joined.join(days, "date_key", "left")
-        unmatched["unmatched_dates"] = "date_found"
-    for kind, dim in snapshots.items():
-        on = [f"{kind}_id"] + (["partition"] if snapshot == "same_day" else [])
-        rows = dim if snapshot == "same_day" else latest_day(dim)
-        wanted = [name for name in by if name.startswith(f"{kind}_") and name not in on]
-        columns = [F.col(name.removeprefix(f"{kind}_")).alias(name) for name in wanted]
-        day = ["partition"] if snapshot == "same_day" else []
-        side = rows.select(F.col("id").alias(f"{kind}_id"), *day, *columns, _found(kind))
-        joined = joined.join(side, on, "left")
-        unmatched[f"unmatched_{kind}s"] = f"{kind}_found"
-
-    lines = F.col("sales_lines")
-    counts = [
-        F.sum(F.when(F.col(found).isNull(), lines).otherwise(0)).alias(name)
-        for name, found in unmatched.items()
-    ]
-    result = joined.groupBy(*by).agg(F.sum("sales_lines").alias("sales_lines"), *sums, *counts)
+    sides = [_date_side(dates, by)] if dates is not None else []
+    for kind, dim in (("product", products), ("store", stores)):
+        if dim is not None:
+            sides.append(_snapshot_side(dim, kind, by, snapshot))
+    small = [side.rows.count() <= broadcast_rows for side in sides]
+
+    facts, sums = fact.withColumn("sales_lines", F.lit(1).cast("long")), ["sales_lines", *FACT_SUMS]
+    for side, fits in zip(sides, small):
+        if fits:
+            facts, sums = side.join_to(facts, small=True), [*sums, side.unmatched]
+    large = [side for side, fits in zip(sides, small) if not fits]
+    if large:
+        keys = [name for side in large for name in side.on]
+        keys += [name for name in by if name in facts.columns]
+        facts = facts.groupBy(*dict.fromkeys(keys)).agg(*[F.sum(name).alias(name) for name in sums])
+    for side in large:
+        facts, sums = side.join_to(facts, small=False), [*sums, side.unmatched]
+    result = facts.groupBy(*by).agg(*[F.sum(name).alias(name) for name in sums])
     if row_cap is not None:
         result = result.orderBy(F.desc("sale_dollars"), *by).limit(row_cap)
     return result
-
-
-def _found(kind: str) -> Column:
-    return F.lit(True).alias(f"{kind}_found")
