@@ -182,7 +182,7 @@ def _stream_result(
     spark: SparkSession, sf_dir: str, table: str, mode: str = "delta", output: str = "update"
 ) -> DataFrame:
     store = _streamed(spark, sf_dir, mode, output)
-    return money(current_totals(spark, store, table, mode), *TOTAL_MONEY)
+    return money(current_totals(spark, store, table, mode, output), *TOTAL_MONEY)
 
 
 @query

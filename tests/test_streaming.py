@@ -63,10 +63,10 @@ def drain(feed, store, tmp_path, **options):
     return query
 
 
-def assert_totals(spark, feed, store, mode="delta"):
+def assert_totals(spark, feed, store, mode="delta", output="update"):
     sales = feed.batch()
     for table in schemas.TOTAL_GRAINS:
-        found = current_totals(spark, store, table, mode)
+        found = current_totals(spark, store, table, mode, output)
         assert found.schema.names == schemas.totals_schema(table).names
         assert rows_of(found) == rows_of(totals(sales, table))
 
@@ -79,10 +79,10 @@ def test_stream_equals_batch_also_after_restart(spark, feed, store, tmp_path, mo
     feed.add(BATCHES[0])
     feed.add(BATCHES[1])
     drain(feed, store, tmp_path, mode=mode, state_partitions=2, **options)
-    assert_totals(spark, feed, store, mode)
+    assert_totals(spark, feed, store, mode, **options)
     feed.add(BATCHES[2])
     drain(feed, store, tmp_path, mode=mode, **options)
-    assert_totals(spark, feed, store, mode)
+    assert_totals(spark, feed, store, mode, **options)
 
 
 def test_rocksdb_state(spark, feed, store, tmp_path):

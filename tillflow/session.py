@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A task that holds a few days writes them side by side instead of sorting its rows by day.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.ui.enabled": "false",
 }
 
