@@ -6,8 +6,6 @@ left to Catalyst and AQE: no side is forced to broadcast, skewed joins are split
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -194,10 +192,7 @@ def _stage_days(raw: DataFrame, root: str) -> None:
     writer.option("header", False).csv(root)
 
 
-# Raw zones are inputs: staged once per application and table folder, then only read.
-@cache
-def _staged(application: str, sf_dir: str, what: str) -> str:
-    spark = SparkSession.getActiveSession()
+def _stage(spark: SparkSession, sf_dir: str, what: str) -> str:
     root = work_folder(spark)
     lake = Lake(root)
     if what == "days":
@@ -214,12 +209,22 @@ def _staged(application: str, sf_dir: str, what: str) -> str:
         sales_lines(spark, sf_dir).write.option("maxRecordsPerFile", 2000).text(root)
     elif what == "message_rows":
         value = F.concat("line", F.lit("\n")).cast("binary").alias("value")
-        sales_lines(spark, sf_dir).select(value).repartition(8).write.parquet(root)
+        lines = sales_lines(spark, sf_dir).select(value)
+        lines.repartition(spark.sparkContext.defaultParallelism).write.parquet(root)
+    else:
+        raise ValueError(f"nothing to stage: {what}")
     return root
 
 
+# Raw zones are inputs: staged once per application and table folder, then only read.
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
 def staged(spark: SparkSession, sf_dir: str, what: str) -> str:
-    return _staged(spark.sparkContext.applicationId, sf_dir, what)
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _STAGED:
+        _STAGED[key] = _stage(spark, sf_dir, what)
+    return _STAGED[key]
 
 
 def day_range(spark: SparkSession, sf_dir: str) -> tuple[str, str]:

@@ -9,6 +9,7 @@ from tillflow.functions.dates import day_key_to_date, text_to_date
 from tillflow.functions.geo import latitude, longitude
 from tillflow.functions.lines import message_lines
 from tillflow.lake import Lake, days_between, previous_day
+from tillflow.session import CHECKPOINT_DIR, session_conf, work_folder
 from tillflow.sources.messages import kafka_options, parse_sales
 
 
@@ -118,6 +119,20 @@ def test_bottle_volume_takes_decimals(spark):
     assert row["bottle_volume_ml"] == 750.0
 
 
+def test_work_folder(spark):
+    shared = spark.conf.get(CHECKPOINT_DIR)
+    first, second = work_folder(spark), work_folder(spark)
+    assert first != second
+    assert first.startswith(f"{shared}/") and second.startswith(f"{shared}/")
+
+
+def test_session_conf(spark):
+    name = "spark.sql.shuffle.partitions"
+    with session_conf(spark, {name: 7, "spark.sql.tillflow.test": "a", "spark.sql.other": None}):
+        assert (spark.conf.get(name), spark.conf.get("spark.sql.tillflow.test")) == ("7", "a")
+    assert (spark.conf.get(name), spark.conf.get("spark.sql.tillflow.test", None)) == ("4", None)
+
+
 def test_previous_day():
     assert previous_day(datetime(2025, 1, 1, 2, 0)) == "20241231"
     late = datetime(2024, 12, 31, 20, 0, tzinfo=timezone.utc)

@@ -1,5 +1,7 @@
 import glob
 import os
+import signal
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from tillflow.streaming.current import create_current_view, current_totals, drop
 from tillflow.streaming.debug import print_totals, start_memory_totals
 from tillflow.streaming.landing import REJECTS, TABLE, start_landing
 from tillflow.streaming.progress import progress_log
-from tillflow.streaming.totals import ROCKSDB, TotalsStore, start_totals
+from tillflow.streaming.totals import ROCKSDB, TotalsStore, run_until_stopped, start_totals
 
 BATCHES = [
     [{"sale_bottles": 10}, {"name": None, "city": None}, {"state_bottle_cost": None, "hour_id": "11"}],
@@ -181,6 +183,17 @@ def test_progress_log(spark, feed, store, tmp_path):
     assert written.count() == 9
 
 
+def test_stop_on_signal(spark, feed, store, tmp_path):
+    feed.add(BATCHES[0])
+    run_until_stopped(drain(feed, store, tmp_path))
+    feed.add(BATCHES[1])
+    query = start_totals(feed.stream(), store, str(tmp_path / "checkpoint"), every="1 second")
+    threading.Timer(8, os.kill, [os.getpid(), signal.SIGTERM]).start()
+    run_until_stopped(query)
+    assert not query.isActive
+    assert_totals(spark, feed, store)
+
+
 def test_unknown_mode(feed, store, tmp_path):
     feed.add(BATCHES[0])
     with pytest.raises(ValueError):

@@ -12,6 +12,7 @@ of each key.
 from __future__ import annotations
 
 import signal
+import threading
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -142,7 +143,15 @@ def start_totals(
 
 
 def run_until_stopped(query: StreamingQuery) -> None:
-    """Wait for the query; SIGTERM and SIGINT stop it between jobs instead of killing the driver."""
-    for number in (signal.SIGTERM, signal.SIGINT):
-        signal.signal(number, lambda *_: query.stop())
-    query.awaitTermination()
+    """Wait for the query; SIGTERM or SIGINT stops it without killing the driver."""
+    asked = threading.Event()
+    numbers = (signal.SIGTERM, signal.SIGINT)
+    before = {number: signal.signal(number, lambda *_: asked.set()) for number in numbers}
+    try:
+        while not asked.is_set() and not query.awaitTermination(1):
+            pass
+        if asked.is_set():
+            query.stop()
+    finally:
+        for number, handler in before.items():
+            signal.signal(number, handler)
