@@ -6,18 +6,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import mixing, rules, secrets, sharding, warc
+from tillflow.llm import minhash, mixing, pieces, quality, rules, secrets, sharding, toxicity, vectors, warc
 from tillflow.llm.common import table
+from tillflow.llm.oracle import ORACLE as ORACLE
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality.score_documents(documents, quality.fit(documents, table(spark, sf_dir, "labels")))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.grade_documents(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four-word shingles, as its contract says."""
+    return minhash.link_documents(table(spark, sf_dir, "documents"), width=4)
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), pieces.Vocabulary.load())
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,6 +55,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secret_scan, op4_sharding, op8_quality_rules, op9_mixing, op10_warc)
+    query.__name__: query
+    for query in (
+        op1_quality_classifier,
+        op2_secret_scan,
+        op3_toxicity,
+        op4_sharding,
+        op5_minhash_dedup,
+        op6_embedding_dedup,
+        op7_sentencepiece,
+        op8_quality_rules,
+        op9_mixing,
+        op10_warc,
+    )
 }
-ORACLE: dict[str, str] = {}

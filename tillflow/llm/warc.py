@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.llm.common import SPACE
+
 DATE = "2024-01-01T00:00:00Z"
 CRLF = "\r\n"
 #: What is not text, what ends a line of text, and named characters.
@@ -74,7 +76,7 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
 def derive(source: DataFrame) -> DataFrame:
     """Two records per response: page_id, record_type, record_id, refers_to, target_uri,
     content_type, content_length, block_digest, payload_digest, record (header and block)."""
-    title = F.trim(F.regexp_replace(F.regexp_extract("payload", TITLE, 1), r"\s+", " "))
+    title = F.trim(F.regexp_replace(F.regexp_extract("payload", TITLE, 1), SPACE + "+", " "))
     links = F.regexp_extract_all("payload", F.lit(LINKS), F.lit(1))
     kept = source.select(
         "page_id", "record_id", "target_uri", "date", "http_headers",
