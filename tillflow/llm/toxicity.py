@@ -33,7 +33,9 @@ PREFIXES = (4, 5, 6, 7)
 GRADES = 4
 #: Features in fewer sampled documents, or less far from chance, get no weight.
 LEAST_DOCUMENTS = 4
-LEAST_DEVIATION = 4.0
+LEAST_DEVIATION = 6.0
+#: Words added to every document's count, so that one word of a very short text is not a large share.
+DAMPING = 40
 STEPS = 400
 DECAY = 2e-4
 
@@ -63,7 +65,7 @@ def scores(texts: pa.Array, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray
     per_word = np.zeros(len(found.doc))
     for kind in _features(found):
         per_word += weights[kind]
-    return np.bincount(found.doc, per_word, len(n)) / np.maximum(n, 1), n
+    return np.bincount(found.doc, per_word, len(n)) / (n + DAMPING), n
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +141,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordina
     sizes = np.diff(ids.offsets.to_numpy())
     columns = ids.flatten().to_numpy()
     owner = np.repeat(np.arange(len(rows)), sizes)
-    total = np.maximum(rows["n"].to_numpy(), 1)
+    total = rows["n"].to_numpy() + DAMPING
     shares = 100 * rows["counts"].combine_chunks().flatten().to_numpy() / total[owner]
 
     # How far a feature's documents are from being toxic by chance, in standard deviations.
