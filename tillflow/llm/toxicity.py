@@ -32,8 +32,8 @@ BITS = 18
 PREFIXES = (4, 5, 6, 7)
 GRADES = 4
 #: Features in fewer sampled documents, or less far from chance, get no weight.
-LEAST_DOCUMENTS = 4
-LEAST_DEVIATION = 6.0
+LEAST_DOCUMENTS = 3
+LEAST_DEVIATION = 5.0
 #: Words added to every document's count, so that one word of a very short text is not a large share.
 DAMPING = 40
 STEPS = 400
