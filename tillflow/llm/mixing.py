@@ -3,8 +3,9 @@
 The words of a source stand end to end, its documents in a seeded order, and are cut into blocks of
 `block_words`. All blocks of the mix are apportioned to the sources by highest quotients
 target / (2k + 1), once for each number of shards filled so far: the method is house monotone, so the
-differences are the integer quotas of each shard. A source whose quota is q of its n blocks gives
-q div n whole passes, and of one more pass q mod n blocks, evenly spread from a seeded offset.
+differences are the integer quotas of each shard. The words of a source's quota are whole passes over
+the source, and of one more pass as many blocks as come nearest to the rest, evenly spread from a
+seeded offset.
 
 Defined results: NULL text has size 0 and takes nothing; NULL source is a source of its own, last in
 order; NULL or repeated doc_id are rows like all others (equal rows share their order arbitrarily);
@@ -157,8 +158,11 @@ def place_documents(
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed + "#"), F.col("mix_key"))), 1, 8), 16, 10).cast("long")
     plan = starts.join(sources, "mix_key").select(
         "mix_key", "bucket", "start", "source_size", "target", "n_blocks",
-        F.expr("CASE WHEN n_blocks > 0 THEN quota div n_blocks ELSE 0L END").alias("passes"),
-        F.expr("CASE WHEN n_blocks > 0 THEN quota % n_blocks ELSE 0L END").alias("rest"),
+        F.expr(f"CASE WHEN source_size > 0 THEN least({most}L, quota * {block_words} div source_size) ELSE 0L END").alias("passes"),
+        # What whole passes leave of the quota's words, in blocks of one more pass.
+        F.expr(f"""CASE WHEN source_size > 0 AND quota * {block_words} div source_size < {most}
+                   THEN least(n_blocks, (quota * {block_words} % source_size + {block_words} div 2) div {block_words})
+                   ELSE 0L END""").alias("rest"),
         F.expr("CASE WHEN n_blocks > 0 THEN n_blocks ELSE 1L END").alias("divisor"),
         offset.alias("seeded"),
     ).withColumn("offset", F.col("seeded") % F.col("divisor")).drop("seeded", "n_blocks").withColumnRenamed("divisor", "n_blocks")

@@ -16,7 +16,7 @@ def _secret_scan() -> str:
         pattern = _quoted(rule.pattern)
         each.append(f"""
         SELECT doc_id, '{rule.kind}' AS kind, {place} AS place,
-               list_sum(list_transform(gaps[1:i], x -> length(x))) + coalesce(list_sum(list_transform(hits[1:i-1], x -> length(x))), 0) AS start,
+               list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i-1], lambda x: length(x))), 0) AS start,
                length(hits[i]) AS n
         FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i
               FROM (SELECT doc_id, regexp_extract_all(body, {pattern}) AS hits, regexp_split_to_array(body, {pattern}) AS gaps,
@@ -47,14 +47,14 @@ def _quality_rules() -> str:
     return rf"""
     WITH split AS (
       SELECT doc_id, coalesce(lang, '') AS stratum, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-             list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
+             list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
              len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]'))::BIGINT AS n_symbols
       FROM documents),
     windows AS (SELECT doc_id, i, list_slice(w, i, i + 7) AS eight FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM split)),
     twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, eight) > 1),
     covered AS (SELECT doc_id, count(DISTINCT p)::BIGINT AS n_repeat_words FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY doc_id),
     measured AS (
-      SELECT s.doc_id, stratum, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+      SELECT s.doc_id, stratum, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
              n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l) AS n_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
       FROM split s LEFT JOIN covered USING (doc_id)),
     rated AS (
@@ -69,7 +69,7 @@ def _quality_rules() -> str:
     strata AS (SELECT count(DISTINCT stratum) AS n_strata FROM good),
     certified AS (
       SELECT stratum, rule, cutoff FROM counted, strata
-      WHERE k <= n * {risk} AND list_sum(list_transform(range(0, k + 1), i ->
+      WHERE k <= n * {risk} AND list_sum(list_transform(range(0, k + 1), lambda i:
         exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk}) + (n - i) * ln(1 - {risk})))) <= {rules.DELTA} / {n_tests} / n_strata),
     limits AS (SELECT stratum, {cuts} FROM certified GROUP BY stratum)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
@@ -102,16 +102,17 @@ def _mixing() -> str:
     targets AS (
       SELECT key, source, source_size, total, greatest(-(-source_size // {block}), (source_size + {block} - 1) // {block}) AS blocks,
              least(cap::DOUBLE, (SELECT arg_min(here, nth) FROM levels WHERE here * weight <= cap) * weight) AS target,
-             row_number() OVER (ORDER BY source NULLS LAST) AS at
+             row_number() OVER (ORDER BY source NULLS LAST) AS place_
       FROM levels),
     seats AS (
-      SELECT key, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, at) AS nth, round_even(total / {block}, 0) AS house
+      SELECT key, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, place_) AS nth, round_even(total / {block}, 0) AS house
       FROM (SELECT *, unnest(range(0, (least({mixing.MOST} * blocks, ceil(2 * target / {block}) + 2))::BIGINT)) AS k FROM targets) WHERE target > 0),
     quotas AS (SELECT key, count(*) AS quota FROM seats WHERE nth <= house GROUP BY key),
     plan AS (
       SELECT t.key, source_size, target, greatest(blocks, 1) AS n_blocks,
-             CASE WHEN blocks > 0 THEN coalesce(quota, 0) // blocks ELSE 0 END AS passes,
-             CASE WHEN blocks > 0 THEN coalesce(quota, 0) % blocks ELSE 0 END AS rest,
+             CASE WHEN source_size > 0 THEN least({mixing.MOST}, coalesce(quota, 0) * {block} // source_size) ELSE 0 END AS passes,
+             CASE WHEN source_size > 0 AND coalesce(quota, 0) * {block} // source_size < {mixing.MOST}
+                  THEN least(blocks, (coalesce(quota, 0) * {block} % source_size + {block // 2}) // {block}) ELSE 0 END AS rest,
              ('0x' || substr(md5('{seed}#' || t.key), 1, 8))::BIGINT % greatest(blocks, 1) AS o
       FROM targets t LEFT JOIN quotas q ON t.key = q.key),
     placed AS (
@@ -139,9 +140,9 @@ def _warc() -> str:
     line = "chr(13) || chr(10)"
     field = lambda name, value: f"'{name}: ' || {value} || {line}"
     facts = " || ".join([
-        f"array_to_string(list_transform(string_split(http_headers, {line}), x -> 'source-header: ' || x || {line}), '')",
+        f"array_to_string(list_transform(string_split(http_headers, {line}), lambda x: 'source-header: ' || x || {line}), '')",
         field("source-payload-digest", "payload_digest"), field("title", "title"), field("outlinks", "len(links)"),
-        rf"coalesce(array_to_string(list_transform(links, x -> 'outlink: ' || regexp_replace(x, '[\r\n]+', ' ', 'g') || {line}), ''), '')",
+        rf"coalesce(array_to_string(list_transform(links, lambda x: 'outlink: ' || regexp_replace(x, '[\r\n]+', ' ', 'g') || {line}), ''), '')",
     ])
     header = " || ".join([
         f"'WARC/1.1' || {line}", field("WARC-Type", "record_type"), field("WARC-Record-ID", "own_id"), field("WARC-Refers-To", "record_id"),
