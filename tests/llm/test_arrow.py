@@ -1,0 +1,384 @@
+"""Near-duplicates, embeddings, pieces, toxicity and quality against brute force or held-out rows."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tillflow.llm import minhash, pieces, quality, toxicity, vectors
+from tillflow.llm.components import components
+from tillflow.llm.words import buffers, slices, words
+
+DOCS = "doc_id long, text string, node long, bands string, n_shingles string, label int"
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(i, t, 1, "b", "n", 7) for i, t in rows], DOCS)
+
+
+# ---- words
+
+
+def test_words_and_hashes():
+    texts = ["A b\tA", None, "", "no", "end", " \x0b\x0c ", "é日本 a", "Z" * 100_000 + " b"]
+    array = pa.array(["skipped"] + texts)[1:]
+    found = words(array)
+    expected = [(t or "").translate({c: c + 32 for c in range(65, 91)}).split() for t in texts]
+    got = [[bytes(found.data[a:b]).decode() for a, b in zip(found.start[x:y], found.stop[x:y])] for x, y in zip(found.first, found.first[1:])]
+    assert got == expected
+    hashes, flat = found.hashes(), sum(expected, [])
+    assert len(set(hashes)) == len(set(flat)) and hashes[0] == hashes[2]
+    assert words(pa.array(["xx b"])).hashes()[1] == hashes[1]
+    assert words(pa.array(["zzzz"])).hashes()[0] == found.hashes(4)[-2]
+    assert [e - b for b, e in slices(array, 10)][-1] == 1 and sum(e - b for b, e in slices(array, 10)) == len(texts)
+    assert len(words(pa.array([], pa.string())).start) == 0 and len(buffers(pa.array([None], pa.string()))[0]) == 0
+
+
+# ---- components
+
+
+def brute_components(edges):
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {x: find(x) for x in parent}
+
+
+def test_components(spark):
+    draw = random.Random(3)
+    edges = [(draw.randrange(150), draw.randrange(150)) for _ in range(90)]
+    edges += [(1000 + i, 1001 + i) for i in range(40)]  # a long path
+    edges += [(2000, 2001 + i) for i in range(50)] + [(5, 5), (7, 5), (7, 5)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: c for x, c in brute_components(edges).items() if x != c}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# ---- near-duplicates
+
+
+def brute_sets(text, width):
+    found = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").split()
+    if len(found) < width:
+        return {tuple(found)} if found else set()
+    return {tuple(found[i : i + width]) for i in range(len(found) - width + 1)}
+
+
+def brute_links(rows, width):
+    sets = [(i, brute_sets(t, width)) for i, t in rows if i is not None]
+    edges = [(i, i) for i, _ in sets]
+    for n, (i, a) in enumerate(sets):
+        edges += [(i, j) for j, b in sets[:n] if a and b and 100 * len(a & b) >= 80 * len(a | b)]
+    return brute_components(edges)
+
+
+def near_copies(seed):
+    """Bases with edits of all strengths, so that many pairs lie around the threshold."""
+    draw = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows, at = [], 0
+    for size, copies in ((60, 40), (150, 25), (400, 10), (12, 12), (5, 6)):
+        base = [draw.choice(vocabulary) for _ in range(size)]
+        for copy in range(copies):
+            text = list(base)
+            for _ in range(draw.randrange(0, max(2, size // 12))):
+                text[draw.randrange(size)] = draw.choice(vocabulary)
+            rows.append((at, " ".join(text)))
+            at += 1
+    rows += [(at + i, " ".join(draw.choice(vocabulary) for _ in range(50))) for i in range(60)]
+    draw.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("width,seed", [(4, 1), (5, 2)])
+def test_near_duplicates_match_brute_force(spark, width, seed):
+    rows = near_copies(seed)
+    last = max(i for i, _ in rows)
+    rows += [(last + 1, rows[0][1].upper()), (last + 2, None), (last + 3, ""), (last + 4, " \t\n"), (last + 5, "Two words"), (last + 6, "two  WORDS")]
+    rows += [(last + 7, "É ÉÉ x y z"), (last + 8, "é éé x y z"), (last + 9, "a " * 30_000), (last + 10, "a " * 5)]
+    rows += [rows[3], rows[3]]  # repeated rows
+    rows += [(last + 20, rows[5][1]), (last + 20, rows[50][1])]  # one id, two texts
+    frame = documents(spark, [*rows, (None, rows[0][1]), (None, None)]).repartition(5)
+    got = minhash.link_documents(frame, width).collect()
+    want = brute_links(rows, width)
+    assert Counter(r.doc_id for r in got) == Counter([*(i for i, _ in rows), None, None])
+    for row in got:
+        if row.doc_id is None:
+            assert row.component_id is None and row.kept
+        else:
+            assert row.component_id == want[row.doc_id] and row.kept == (want[row.doc_id] == row.doc_id)
+    sizes = {(i, len(brute_sets(t, width))) for i, t in rows}
+    assert {(r.doc_id, r.n_shingles) for r in got if r.doc_id is not None} == sizes
+    assert len(set(want.values())) < len(want) - 40  # something was linked
+    kept = minhash.one_of_each(frame, width)
+    assert kept.columns == frame.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter({**{i: 1 for i in set(want.values())}, None: 2})
+
+
+def test_links_inside_a_large_group_that_one_hub_does_not_reach(spark, monkeypatch):
+    """A chain: each text is near the next only; with tiles of two rows, all rows of a band meet."""
+    monkeypatch.setattr(minhash, "TILE", 2)
+    draw = random.Random(5)
+    text = [f"v{draw.randrange(10**6)}" for _ in range(120)]
+    rows = []
+    for i in range(30):
+        text = text[4:] + [f"v{draw.randrange(10**6)}" for _ in range(4)]
+        rows.append((i, " ".join(text)))
+    got = minhash.link_documents(documents(spark, rows), 4).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_links(rows, 4) and {r.component_id for r in got} == {0}
+
+
+def test_signatures_estimate_jaccard():
+    draw = np.random.default_rng(4)
+    for share in (0.2, 0.5, 0.8):
+        agree = []
+        for _ in range(30):
+            both, a, b = (draw.integers(0, 2**63, n, dtype=np.uint64) for n in (int(600 * share), *[int(300 * (1 - share))] * 2))
+            sets = [np.unique(np.concatenate([both, own])) for own in (a, b)]
+            bits = minhash.signatures(np.concatenate(sets), np.array([0, len(sets[0]), len(sets[0]) + len(sets[1])]))
+            agree.append((bits[0] == bits[1]).mean())
+        assert np.mean(agree) == pytest.approx(share, abs=0.03)
+
+
+def test_near_duplicates_of_nothing(spark):
+    assert minhash.link_documents(documents(spark, []), 4).count() == 0
+
+
+# ---- embeddings
+
+
+def test_embeddings_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "TILE", 16)
+    draw = np.random.default_rng(7)
+    rows = []
+    for label in (0, 1, None):
+        centres = draw.normal(size=(8, 24))
+        for i in range(90):
+            noise = draw.normal(size=24) * draw.choice([0.05, 0.3, 0.4, 1.0])
+            rows.append((centres[i % 8] + noise).astype(np.float32).tolist() and (len(rows), (centres[i % 8] + noise).astype(np.float32).tolist(), label))
+    rows += [(len(rows) + i, rows[0][1], 0) for i in range(20)]  # a common vector
+    rows.append((len(rows), (np.array(rows[1][1], np.float32) * np.float32(1e-20)).tolist(), 0))
+    rows += [(len(rows) + i, v, 0) for i, v in enumerate([None, [], [0.0] * 24, [float("nan")] + [1.0] * 23, [float("inf")] * 24, [None] + [1.0] * 23, [1.0] * 5, [1.0] * 5])]
+    rows.append(rows[2])
+    frame = spark.createDataFrame([(*row, 1, "c") for row in rows] + [(None, rows[0][1], 0, 1, "c")], "vec_id long, embedding array<float>, label int, node int, codes string")
+    got = vectors.link_vectors(frame.repartition(4)).collect()
+    assert len(got) == len(rows) + 1
+    usable = {}
+    for i, v, label in rows:
+        if v and label is not None and None not in v and np.isfinite(v).all() and np.any(v):
+            u = np.array(v, np.float64)
+            usable[i] = (label, len(v), u / np.abs(u).max() / np.linalg.norm(u / np.abs(u).max()))
+    links = [(i, j) for i in usable for j in usable if i < j and usable[i][:2] == usable[j][:2] and usable[i][2] @ usable[j][2] >= 0.93]
+    n_links = Counter(x for pair in links for x in pair)
+    group = brute_components([(i, i) for i, _, _ in rows] + links)
+    assert len(links) > 300
+    for row in got:
+        if row.vec_id is None:
+            assert row.n_links == 0 and row.component_id is None and row.kept
+        else:
+            assert (row.n_links, row.component_id, row.kept) == (n_links[row.vec_id], group[row.vec_id], group[row.vec_id] == row.vec_id)
+    assert vectors.link_vectors(frame.limit(0)).count() == 0
+
+
+def test_quantisation_bound_holds():
+    draw = np.random.default_rng(8)
+    for dim in (3, 64, 3000):
+        unit = draw.normal(size=(60, dim)) * draw.choice([1, 1e-3, 30], size=(60, dim))
+        unit /= np.linalg.norm(unit, axis=1)[:, None]
+        codes, scale, error = vectors.quantise(unit)
+        rough = (scale[:, None] * codes) @ (scale[:, None] * codes).T
+        bound = error[:, None] + error[None, :] + error[:, None] * error[None, :]
+        assert (np.abs(unit @ unit.T - rough) <= bound + 1e-12).all()
+        exact = unit @ unit.T >= 0.9
+        assert (vectors.linked(codes, scale, error, unit, codes, scale, error, unit, 0.9) == exact).all()
+
+
+# ---- pieces
+
+
+def brute_encode(vocabulary, text):
+    """Viterbi over all substrings, sign by sign."""
+    if not text:
+        return []
+    marked = pieces.MARK + text.replace(" ", pieces.MARK)
+    ids = {t.decode().replace(" ", pieces.MARK): i for i, t in enumerate(vocabulary.texts) if t and not vocabulary.first_byte <= i < vocabulary.first_byte + 256}
+    best = [(0.0, [])] + [(-np.inf, None)] * len(marked)
+    for start in range(len(marked)):
+        for stop in range(start + 1, min(len(marked), start + 20) + 1):
+            piece = marked[start:stop]
+            if piece in ids:
+                score, own = best[start][0] + vocabulary.scores[ids[piece]], [ids[piece]]
+            elif stop == start + 1:
+                score, own = best[start][0] + vocabulary.unknown_score, [vocabulary.first_byte + b for b in piece.encode()]
+            else:
+                continue
+            if score > best[stop][0]:
+                best[stop] = (score, best[start][1] + own)
+    return best[-1][1]
+
+
+TEXTS = ["", " ", "a", " b  c ", "Hello  world\n\n tab\tx", "é日本 😀x𐍈", "ab" * 300, "aab ba  abab\u0000c", "x" * 3000, "▁"]
+
+
+def small_vocabulary():
+    rows = [("<unk>", 0.0, "other")] + [(f"<0x{b:02X}>", 0.0, "byte") for b in range(256)]
+    rows += [(p, -float(n), "normal") for n, p in enumerate(["▁", "a", "b", "ab", "▁a", "aba", "bab", "▁▁", "é", "日本", "lo", "Hel", "x", "xxxx"], 1)]
+    return pieces.Vocabulary.of(rows)
+
+
+@pytest.mark.parametrize("vocabulary", [small_vocabulary(), pieces.Vocabulary.load()], ids=["small", "file"])
+def test_pieces_match_brute_force(vocabulary):
+    got = vocabulary.encode([*TEXTS, None], {})
+    assert got[-1] is None
+    for text, ids in zip(TEXTS, got):
+        assert ids.tolist() == brute_encode(vocabulary, text), text
+        assert vocabulary.decode(ids) == text.replace(pieces.MARK, " ")
+
+
+def test_trie_holds_all_pieces_and_nothing_else():
+    draw = random.Random(6)
+    known = {bytes(draw.randrange(256) for _ in range(draw.randrange(1, 6))) for _ in range(2000)}
+    known |= {bytes([b]) for b in range(256)}
+    trie = pieces.Trie.build((word, i) for i, word in enumerate(sorted(known)))
+
+    def look(word):
+        state = 0
+        for byte in word:
+            place = trie.base[state] + byte
+            if place == 0 or trie.check[place] != state:
+                return -1
+            state = place
+        return trie.value[state]
+
+    assert [look(word) for word in sorted(known)] == list(range(len(known)))
+    for _ in range(3000):
+        word = bytes(draw.randrange(256) for _ in range(draw.randrange(1, 6)))
+        assert (look(word) >= 0) == (word in known)
+
+
+def test_pieces_agree_with_the_library_given_the_same_scores():
+    sentencepiece = pytest.importorskip("sentencepiece")
+    model_format = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
+    vocabulary = pieces.Vocabulary.load()
+    proto = model_format.ModelProto()
+    with open(pieces.MODEL, "rb") as file:
+        proto.ParseFromString(file.read())
+    proto.trainer_spec.model_type = 1  # unigram
+    for piece, score in zip(proto.pieces, vocabulary.scores):
+        piece.score = float(score)
+    library = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+    total = lambda ids: sum(vocabulary.scores[i] for i in ids if not vocabulary.first_byte <= i < vocabulary.first_byte + 256)
+    for text, ids in zip(TEXTS, vocabulary.encode(TEXTS, {})):
+        assert library.decode(ids.tolist()) == vocabulary.decode(ids)
+        assert total(ids) == pytest.approx(total(library.encode(text)), abs=1e-2)
+
+
+def test_encoded_documents(spark):
+    rows = [(i, text) for i, text in enumerate(TEXTS[:-1])] + [(50, None), (None, "no id"), (1, "a"), (1, "a")]
+    vocabulary = small_vocabulary()
+    got = pieces.encode_documents(documents(spark, rows), vocabulary, ["doc_id", "node", "label"]).collect()
+    assert len(got) == len(rows) and got[0].node == 1 and got[0].label == 7
+    for row, (i, text) in zip(sorted(got, key=lambda r: (r.doc_id is None, r.doc_id or 0, len(r.ids or ()))), sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, len(brute_encode(vocabulary, r[1]))))):
+        if text is None:
+            assert row.ids is None and row.round_trip is None and row.n_tokens == 0
+        else:
+            assert row.ids == brute_encode(vocabulary, text) and row.round_trip and row.n_tokens == len(row.ids)
+    assert pieces.encode_documents(documents(spark, []), vocabulary).count() == 0
+
+
+# ---- toxicity and quality
+
+
+def labelled(spark, n=1200):
+    draw = random.Random(9)
+    plain = [f"{a}{b}" for a in ("the", "or", "an", "st", "re") for b in ("ing", "ed", "ly", "er", "ment", "tion")]
+    rows, labels = [], []
+    for i in range(n):
+        text = [draw.choice(plain) for _ in range(draw.randrange(30, 200))]
+        toxic, good = i % 5 == 0, i % 4 != 1
+        if toxic:
+            for _ in range(max(2, len(text) // draw.choice([12, 25, 40]))):
+                text[draw.randrange(len(text))] = draw.choice(["idiot", "Scum!", "worthless,", "TRASH"])
+        if not good:
+            text = [w + draw.choice(["%%%", "&&&", "$$$"]) for w in text] if i % 8 == 1 else [text[k // 10 * 10] for k in range(len(text))]
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(good), int(toxic)))
+    labels += [(n + 5, 1, 1), (None, 1, 0), (3, None, None)]
+    return documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = labelled(spark)
+    model = toxicity.fit(docs, labels.where("doc_id % 3 <> 1"), 200)
+    assert list(model.thresholds) == sorted(model.thresholds)
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    graded = toxicity.grade_documents(docs, model).collect()
+    held = [r for r in graded if r.doc_id % 3 == 1]
+    assert np.mean([r.toxic == bool(truth[r.doc_id]) for r in held]) > 0.98
+    for row in graded:
+        assert 0 <= row.p_toxic <= 1 and 0 <= row.severity <= 3 and row.toxic == (row.p_toxic >= 0.5)
+    odd = documents(spark, [(1, None), (2, ""), (3, " \n"), (None, "idiot scum trash " * 9), (4, "idiot " * 50_000), (4, "idiot " * 50_000)])
+    got = toxicity.grade_documents(odd, model).collect()
+    assert len(got) == 6 and [r.toxic for r in got] == [False, False, False, True, True, True] and got[0].severity == 0
+    clean = toxicity.without_toxic(odd, labels.limit(0))
+    assert clean.columns == odd.columns and clean.count() == 6  # nothing learned, nothing toxic
+    assert toxicity.grade_documents(odd.limit(0), model).count() == 0
+    severe, mild = (toxicity.grade_documents(documents(spark, [(1, t)]), model).first().severity for t in ("ored idiot " * 20, "ored " * 60 + "idiot idiot"))
+    assert severe > mild
+
+
+def test_ordinal_fit_recovers_ordered_grades():
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(800, 3))
+    score = x @ np.array([2.0, -1.0, 0.0]) + draw.logistic(size=800) * 0.3
+    grades = np.searchsorted([0.0, 1.0, 2.0], score)
+    rows, columns = np.indices(x.shape).reshape(2, -1)
+    weights, thresholds = toxicity.fit_ordinal(rows, columns, x.ravel(), grades, 3)
+    assert (np.diff(thresholds) > 0).all() and weights[0] > 1 and weights[1] < -0.5 and abs(weights[2]) < 0.3
+
+
+def test_quality_on_held_out_rows(spark):
+    docs, labels = labelled(spark)
+    model = quality.fit(docs, labels, 600)
+    truth = {r.doc_id: r.quality for r in labels.where("quality is not null").collect()}
+    got = quality.score_documents(docs, model).collect()
+    for row in got:
+        assert row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 4 == 2)
+        assert 0 <= row.score <= 1 and row.predicted == int(row.score >= 0.7)
+    held = [r for r in got if r.held_out and r.doc_id in truth]
+    assert len(held) > 200 and np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.97
+    odd = documents(spark, [(1, None), (2, ""), (3, " \n"), (None, "theing ored"), (4, "theing " * 50_000), (4, "theing " * 50_000)])
+    scored = quality.score_documents(odd, model).collect()
+    assert len(scored) == 6 and [r.score for r in scored[:3]] == [0, 0, 0] and scored[3].held_out is False
+    assert scored[4].score == scored[5].score
+    assert {r.score for r in quality.score_documents(odd, quality.fit(docs, labels.limit(0))).collect()} == {0.0, 1.0}
+    assert quality.score_documents(odd.limit(0), model).count() == 0
+
+
+def test_votes_are_the_nearest_by_exact_cosine():
+    draw = np.random.default_rng(5)
+    texts = pa.array([" ".join(draw.choice(["ab", "Cd!", "e", "f%%", "g1", "h|"], 30)) for _ in range(200)])
+    counted, n = quality.counts(texts)
+    rarity = np.ones(quality.WIDTH, np.float32)
+    full = quality._unit(quality.shares(counted, n))
+    directions = np.linalg.svd(full - full.mean(axis=0), full_matrices=False)[2][:20].T.astype(np.float32)
+    latent = quality._unit((full - full.mean(axis=0)) @ directions)
+    labels = draw.integers(0, 2, 150).astype(np.float32)
+    model = quality.Neighbours(rarity, full.mean(axis=0), directions, latent[:150], labels)
+    got = quality.vote(texts[150:], model)
+    for row, score in zip(latent[150:].astype(np.float64), got):
+        cosine = latent[:150].astype(np.float64) @ row
+        nearest = np.argsort(-cosine)[: quality.K]
+        weight = np.maximum(cosine[nearest], 1e-6) ** 2
+        assert score == pytest.approx((weight * labels[nearest]).sum() / weight.sum(), abs=1e-3)
