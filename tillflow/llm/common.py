@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillflow.files import delete_folder
 from tillflow.session import work_folder
 
 SPACE = r"[\x20\x09-\x0D]"
@@ -15,12 +19,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(frame: DataFrame, *keys: str) -> DataFrame:
+# Folders written within the open scratch() blocks, innermost last.
+_WRITTEN: list[dict[int, tuple[DataFrame, str]]] = []
+
+
+def staged(frame: DataFrame) -> DataFrame:
     """The frame written once to the shared folder and read back: later steps start from the files,
     so a lost executor costs no recomputation of what came before."""
     folder = work_folder(frame.sparkSession)
     frame.write.parquet(folder)
-    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+    back = frame.sparkSession.read.schema(frame.schema).parquet(folder)
+    if _WRITTEN:
+        _WRITTEN[-1][id(back)] = back, folder
+    return back
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete what staged() writes within the block at its end, but for frames passed to the function
+    given. What the block returns must not be read from anything else written in it."""
+    written: dict[int, tuple[DataFrame, str]] = {}
+    _WRITTEN.append(written)
+
+    def keep(frame: DataFrame) -> DataFrame:
+        kept = written.pop(id(frame))
+        if len(_WRITTEN) > 1:
+            _WRITTEN[-2][id(frame)] = kept
+        return frame
+
+    try:
+        yield keep
+    finally:
+        _WRITTEN.pop()
+        for _, folder in written.values():
+            delete_folder(spark, folder)
 
 
 def n_words(text: Column) -> Column:

@@ -5,10 +5,11 @@ first, and coordinate k is the least value under the second permutation shifted
 coordinates bring candidates together: a pair at Jaccard 0.8 misses all 32 bands with probability
 (1 - 0.8**4)**32 = 5e-8. Candidates are confirmed on the full shingle sets of their texts.
 
-Groups are never paired off in full. Equal shingle sets become one node; every node is compared with
-the most central node of each band; what this links is one component, and only nodes of different
-components are then compared within a band, in tiles of signatures. Pairs whose signatures agree in
-less than 0.8 - 5 standard deviations go no further; the others are all verified.
+No pairs of a group are listed. Equal shingle sets become one node; every node is compared with the
+most central node of each band; what this links is one component, and only nodes of different
+components are then compared within a band, in tiles, first by signature. Pairs whose signatures
+agree in less than 0.8 - 5 standard deviations go no further; the others are all compared by their
+full sets, in the tile, which gives the links that join components and nothing else.
 
 Defined results: texts that are NULL or without words have no shingles, link with nothing and are
 kept; NULL doc_ids link with nothing and are kept with component NULL; rows with one doc_id are one
@@ -22,12 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import staged
+from tillflow.llm.common import scratch, staged
 from tillflow.llm.components import components
 from tillflow.llm.words import mix, slices, words
+from tillflow.session import session_conf
 
 PERCENT = 80
 BANDS = 32
@@ -36,6 +38,8 @@ COORDINATES = BANDS * ROWS
 #: 0.8 less five standard deviations of the agreement of 128 coordinates.
 LEAST_AGREEMENT = 0.62
 TILE = 512
+#: Texts handed to a Python worker at a time.
+BATCH = 1000
 
 _PLACES = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0x2545F4914F6CDD1D, 0xD6E8FEB86659FD93)]
 _FIRST = np.uint32(0x85EBCA6B)
@@ -160,78 +164,143 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield held
 
 
-def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Within each tile, the pairs of nodes of different components that may be similar enough. A
-    tile of two chunks pairs rows of one with rows of the other; a tile of one pairs all its rows."""
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, bool]]:
+    """Tiles one by one, which of their rows come from the first of two chunks, and whether there is
+    one chunk only: then all rows are paired, else rows of one chunk with rows of the other."""
     keys = ["band", "low", "high"]
     for table in _groups(batches, keys):
         columns = [table[key].to_numpy() for key in keys]
         cuts = np.flatnonzero(np.any([np.diff(c, prepend=c[0] - 1) != 0 for c in columns], axis=0))
-        node, label, size, chunk = (table[c].to_numpy() for c in ("node", "label", "n", "chunk"))
-        bits = _lists(table["bands"].combine_chunks())
-        left, right = [], []
+        chunk = table["chunk"].to_numpy()
         for begin, end in zip(cuts, [*cuts[1:], len(table)]):
-            # One row against all later ones: at most 2 * TILE comparisons of 128 numbers at a time.
-            for i in range(begin, end - 1):
-                rest = slice(i + 1, end)
-                open_ = (label[rest] != label[i]) & _sizes_fit(size[rest], size[i])
-                if columns[1][begin] != columns[2][begin]:
-                    open_ &= chunk[rest] != chunk[i]
-                at = np.flatnonzero(open_) + i + 1
-                if len(at):
-                    at = at[(bits[at] == bits[i]).mean(axis=1) >= LEAST_AGREEMENT]
-                    left.append(np.full(len(at), node[i]))
-                    right.append(node[at])
-        if left:
-            a, b = np.concatenate(left), np.concatenate(right)
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+            one = columns[1][begin] == columns[2][begin]
+            side = np.zeros(end - begin, bool) if one else chunk[begin:end] == columns[1][begin]
+            yield table.slice(begin, end - begin), side, one
+
+
+def _candidates(i: int, nth: int, bits: np.ndarray, size: np.ndarray, open_: np.ndarray) -> np.ndarray:
+    """Later rows that may be linked with row i and share no band before this one with it, so that a
+    pair is looked at in one band only."""
+    at = np.flatnonzero(open_[i + 1 :] & _sizes_fit(size[i + 1 :], size[i])) + i + 1
+    at = at[(bits[at] == bits[i]).mean(axis=1) >= LEAST_AGREEMENT]
+    whole = bits.view(np.int64)
+    return at[(whole[at] == whole[i]).argmax(axis=1) == nth]
+
+
+def _open_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes that have to be compared with a node of another component in their band."""
+    for tile, side, one in _tiles(batches):
+        node, label, size = (tile[c].to_numpy() for c in ("node", "label", "n"))
+        bits, nth = _lists(tile["bands"].combine_chunks()), int(tile["nth"][0].as_py())
+        needed = np.zeros(len(tile), bool)
+        for i in range(len(tile) - 1):
+            open_ = (label != label[i]) & ((side != side[i]) | one)
+            at = _candidates(i, nth, bits, size, open_)
+            needed[at] = True
+            needed[i] |= len(at) > 0
+        if needed.any():
+            yield pa.RecordBatch.from_arrays([tile["band"].combine_chunks().filter(pa.array(needed)), pa.array(node[needed])], ["band", "node"])
+
+
+def _tile_links(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links between nodes of different components, found on the full sets of both. A link whose
+        ends an earlier one of the tile has joined is not looked for."""
+        for tile, side, one in _tiles(batches):
+            node, label, size = (tile[c].to_numpy() for c in ("node", "label", "n"))
+            bits, nth = _lists(tile["bands"].combine_chunks()), int(tile["nth"][0].as_py())
+            texts, sets = tile["text"].combine_chunks(), []
+            for begin, end in slices(texts):
+                shingles, starts = shingle_sets(texts.slice(begin, end - begin), width)
+                sets += [shingles[x:y] for x, y in zip(starts[:-1], starts[1:])]
+            known, places = np.unique(np.concatenate(sets), return_inverse=True)
+            places = np.split(places, np.cumsum([len(own) for own in sets])[:-1])
+            joined, here, ends = label.copy(), np.zeros(len(known), bool), []
+            for i in range(len(tile) - 1):
+                at = _candidates(i, nth, bits, size, (joined != joined[i]) & ((side != side[i]) | one))
+                if not len(at):
+                    continue
+                here[places[i]] = True
+                both = np.array([np.count_nonzero(here[places[j]]) for j in at])
+                here[places[i]] = False
+                for j in at[100 * both >= PERCENT * (len(places[i]) + np.array([len(places[j]) for j in at]) - both)]:
+                    if joined[j] != joined[i]:
+                        joined[joined == joined[j]] = joined[i]
+                        ends.append((node[i], node[j]))
+            if ends:
+                a, b = zip(*ends)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
 
 
 def _verify(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = []
-            for side in ("a", "b"):
-                # A hub's text comes once per pair; its set is made once per batch.
-                _, rows, back = np.unique(batch[side].to_numpy(), return_index=True, return_inverse=True)
-                texts = batch[f"text_{side}"].take(pa.array(rows))
-                sets = []
-                for begin, end in slices(texts):
-                    shingles, starts = shingle_sets(texts.slice(begin, end - begin), width)
-                    sets += [shingles[x:y] for x, y in zip(starts[:-1], starts[1:])]
-                sides.append((sets, back))
-            (sets_a, back_a), (sets_b, back_b) = sides
-            linked = np.zeros(batch.num_rows, bool)
-            for row in range(batch.num_rows):
-                x, y = sets_a[back_a[row]], sets_b[back_b[row]]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked[row] = both > 0 and 100 * both >= PERCENT * (len(x) + len(y) - both)
-            yield batch.select(["a", "b"]).filter(pa.array(linked))
+        for whole in batches:
+            for begin, end in slices(whole["text_b"]):
+                batch = whole.slice(begin, end - begin)
+                sides = []
+                for side in ("a", "b"):
+                    # A hub's text comes once per pair; its set is made once per slice.
+                    _, rows, back = np.unique(batch[side].to_numpy(), return_index=True, return_inverse=True)
+                    texts, sets = batch[f"text_{side}"].take(pa.array(rows)), []
+                    for first, last in slices(texts):
+                        shingles, starts = shingle_sets(texts.slice(first, last - first), width)
+                        sets += [shingles[x:y] for x, y in zip(starts[:-1], starts[1:])]
+                    sides.append((sets, back))
+                (sets_a, back_a), (sets_b, back_b) = sides
+                linked = np.zeros(batch.num_rows, bool)
+                for row in range(batch.num_rows):
+                    x, y = sets_a[back_a[row]], sets_b[back_b[row]]
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    linked[row] = both > 0 and 100 * both >= PERCENT * (len(x) + len(y) - both)
+                yield batch.select(["a", "b"]).filter(pa.array(linked))
 
     return run
 
 
+def _mixed_bands(labelled: DataFrame) -> DataFrame:
+    """Rows of bands that hold nodes of more than one component, and how many chunks they make."""
+    sizes = labelled.groupBy("band").agg(F.count("*").alias("size"), F.min("label").alias("one"), F.max("label").alias("other"))
+    mixed = sizes.where("one <> other").select("band", F.ceil(F.col("size") / TILE).cast("int").alias("chunks"))
+    return labelled.join(mixed, "band")
+
+
+def _tiled(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows with what is known of their nodes, once for every tile they are part of."""
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).join(nodes, "node")
+    low, high = F.least("chunk", "with").alias("low"), F.greatest("chunk", "with").alias("high")
+    tiles = rows.select("band", low, high, "nth", "chunk", "node", "label", *nodes.drop("node").columns)
+    return tiles.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
+
+
 def link_documents(documents: DataFrame, width: int = 5) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept. Links are Jaccard >= 0.8 of `width`-word
-    shingles, lower-cased A to Z."""
+    shingles, lower-cased A to Z. The result is a written table; what led to it is deleted."""
+    spark = documents.sparkSession
+    with scratch(spark) as keep, session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH}):
+        return keep(staged(_linked(documents, width)))
+
+
+def _linked(documents: DataFrame, width: int) -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = staged(docs.mapInArrow(_sketch(width), _SKETCH))
     filled = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL")
     same_set = ["n_shingles", "set_a", "set_b"]
     nodes = staged(filled.groupBy(*same_set).agg(F.min("doc_id").alias("node")))
     member = filled.join(nodes, same_set)
-    copies = staged(member.select("doc_id", "node").where("doc_id <> node"))
+    copies = member.select("doc_id", "node").where("doc_id <> node")
     # Rows with one doc_id may give a node several sets; each of them is compared.
     sets = staged(member.where("doc_id = node").select("node", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["node", "n"]))
 
     rows = sets.select("node", F.posexplode("bands").alias("nth", "bits"))
-    rows = rows.select("node", F.xxhash64("nth", "bits").alias("band"))
+    rows = rows.select("node", "nth", F.xxhash64("nth", "bits").alias("band"))
     sizes = staged(rows.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"))
-    shared = staged(rows.join(sizes, "band").select("band", "node", "size"))
+    shared = staged(rows.join(sizes, "band").select("band", "nth", "node", "size"))
     central = staged(shared.groupBy("node").agg(F.sum("size").alias("weight")))
     hubs = shared.join(central, "node").groupBy("band").agg(F.max_by("node", "weight").alias("hub"))
-    shared = staged(shared.join(staged(hubs), "band").where("node <> hub").select("band", "node", "hub"))
+    shared = shared.join(staged(hubs), "band").where("node <> hub").select("band", "nth", "node", "hub")
 
     # Texts and sketches of nodes that share a band: everything below reads these alone.
     texts = staged(docs.join(central.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"))
@@ -240,29 +309,22 @@ def link_documents(documents: DataFrame, width: int = 5) -> DataFrame:
     def confirmed(pairs: DataFrame) -> DataFrame:
         for side in ("a", "b"):
             pairs = pairs.join(texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)
-        return staged(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_verify(width), "a long, b long"))
+        return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_verify(width), "a long, b long")
 
     first = shared.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     for side in ("a", "b"):
         own = sketches.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bands").alias(f"bands_{side}"))
         first = first.join(own, side)
     first = first.select("a", "b", "n_a", "n_b", "bands_a", "bands_b").mapInArrow(_likely, "a long, b long")
-    links = confirmed(first)
-
-    label = staged(components(links))
-    labelled = shared.join(label, "node", "left").select("band", "node", F.coalesce("component", "node").alias("label"))
+    label = components(confirmed(first))
+    labelled = shared.join(label, "node", "left").select("band", "nth", "node", F.coalesce("component", "node").alias("label"))
+    # A pair meets in the first band it shares, unless one of the two was the hub there.
     labelled = staged(labelled)
-    mixed = labelled.groupBy("band").agg(F.count("*").alias("size"), F.min("label").alias("one"), F.max("label").alias("other"))
-    mixed = staged(mixed.where("one <> other").select("band", F.ceil(F.col("size") / TILE).cast("int").alias("chunks")))
-    rows = labelled.join(mixed, "band").join(sketches, "node")
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    tiles = rows.select(
-        "band", F.least("chunk", "with").alias("low"), F.greatest("chunk", "with").alias("high"), "chunk", "node", "label", "n", "bands"
-    )
-    tiles = tiles.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
-    second = tiles.mapInArrow(_tile_pairs, "a long, b long").distinct()
-    links = confirmed(second)
+    found = _mixed_bands(labelled)
+    found = staged(_tiled(found, sketches).mapInArrow(_open_nodes, "band long, node long").distinct())
+    found = _mixed_bands(labelled.join(found, ["band", "node"], "left_semi"))
+    tiles = _tiled(found, sketches.join(texts.select(F.col("doc_id").alias("node"), "text"), "node"))
+    links = tiles.mapInArrow(_tile_links(width), "a long, b long")
 
     edges = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
     edges = edges.union(links).union(copies.select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
@@ -279,10 +341,8 @@ def one_of_each(documents: DataFrame, width: int = 5) -> DataFrame:
     """The documents that stay: of each component the row with the least doc_id, once."""
     kept = link_documents(documents, width).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     rows = documents.select(F.struct(*documents.columns).alias("row"), F.col("doc_id").alias("row_id"))
-    joined = rows.join(staged(kept), F.col("row_id").eqNullSafe(F.col("kept_id")))
+    joined = rows.join(kept, F.col("row_id").eqNullSafe(F.col("kept_id")))
     # Rows with one doc_id are one document; rows without an id are documents of their own.
-    from pyspark.sql import Window
-
     order = Window.partitionBy("row_id").orderBy("row_id")
     joined = joined.withColumn("nth", F.row_number().over(order)).where("nth = 1 OR row_id IS NULL")
     return joined.select("row.*")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import staged
+from tillflow.llm.common import scratch, staged
 from tillflow.llm.components import components
 from tillflow.llm.minhash import _groups
 from tillflow.llm.words import mix
@@ -150,7 +150,13 @@ def _tile_links(threshold: float):
 
 
 def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: vec_id, n_links, component_id, kept."""
+    """Per row: vec_id, n_links, component_id, kept. The result is a written table; what led to it is
+    deleted."""
+    with scratch(embeddings.sparkSession) as keep:
+        return keep(staged(_linked(embeddings, threshold)))
+
+
+def _linked(embeddings: DataFrame, threshold: float) -> DataFrame:
     rows = embeddings.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), "embedding"
     )
@@ -162,7 +168,7 @@ def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFra
 
     counts = nodes.groupBy("label", "dim").agg(F.count("*").alias("size"))
     chunks = counts.select("label", "dim", F.ceil(F.col("size") / TILE).cast("int").alias("chunks"))
-    first = coded.join(nodes.where("true"), same).where("vec_id = node").dropDuplicates(["node", *same])
+    first = coded.join(nodes, same).where("vec_id = node").dropDuplicates(["node", *same])
     spread = (
         first.join(chunks, ["label", "dim"])
         .withColumn("chunk", F.pmod(F.xxhash64("key_a", "key_b"), F.col("chunks")).cast("int"))
