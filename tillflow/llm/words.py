@@ -97,7 +97,7 @@ def words(texts: pa.Array, lower: bool = True) -> Words:
     return Words(data, start, stop, doc, first, sums)
 
 
-def slices(texts: pa.Array, most: int = 1 << 21) -> list[tuple[int, int]]:
+def slices(texts: pa.Array, most: int = 1 << 19) -> list[tuple[int, int]]:
     """Runs of rows of about `most` bytes at most, so that working arrays stay bounded; a longer
     text is a run of its own."""
     _, offsets = buffers(texts)
