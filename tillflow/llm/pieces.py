@@ -121,6 +121,11 @@ class Vocabulary:
     first_byte: int
     texts: list[bytes]
 
+    def __post_init__(self) -> None:
+        self.letters = np.frombuffer(b"".join(self.texts), np.uint8)
+        self.lengths = np.array([len(text) for text in self.texts])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
     @staticmethod
     def of(pieces: list[tuple[str, float, str]]) -> Vocabulary:
         """From (piece, log score, kind) by id; kind: normal, byte, or other (never matched)."""
@@ -152,77 +157,89 @@ class Vocabulary:
         pieces = [(model.id_to_piece(i), model.get_score(i), kind(i)) for i in range(model.vocab_size())]
         return Vocabulary.of(zipf(pieces) if ranked else pieces)
 
-    def solve(self, parts: list[str]) -> list[list[int]]:
-        """Best ids of each part. Parts of like length are solved side by side."""
+    def solve(self, parts: list[str]) -> list[bytes]:
+        """Best ids of each part, as 32-bit numbers on end. Parts of like length are solved side by side."""
         raw = [part.encode() for part in parts]
         order = sorted(range(len(raw)), key=lambda i: len(raw[i]))
-        solved: list[list[int]] = [[]] * len(raw)
+        solved = [b""] * len(raw)
         at = 0
         while at < len(order):
-            # At most 4,096 parts, and about a million bytes of table.
+            # At most 16,384 parts, and about a million places of the tables.
             end = at + 1
-            while end < len(order) and end - at < 4096 and (end - at) * len(raw[order[end]]) < 1 << 18:
+            while end < len(order) and end - at < 16_384 and (end - at) * len(raw[order[end]]) < 1 << 20:
                 end += 1
-            for i, ids in zip(order[at:end], self._solve([raw[i] for i in order[at:end]])):
-                solved[i] = ids
+            ids, cuts = self._solve([raw[i] for i in order[at:end]])
+            whole, cuts = ids.tobytes(), (4 * cuts).tolist()
+            for place, i in enumerate(order[at:end]):
+                solved[i] = whole[cuts[place] : cuts[place + 1]]
             at = end
         return solved
 
-    def _solve(self, raw: list[bytes]) -> list[list[int]]:
+    def _solve(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts on end, and where each part begins."""
         trie, scores = self.trie, self.scores
         sizes = np.array([len(part) for part in raw])
         width = int(sizes.max())
         data = np.frombuffer(b"".join(part.ljust(width, b"\0") for part in raw), np.uint8).reshape(len(raw), width)
-        inside = (data & 0xC0) == 0x80  # bytes within a sign
-        best = np.full((len(raw), width + 1), -np.inf)
-        best[:, 0] = 0
-        back = np.zeros((len(raw), width + 1), np.int32)
-        piece = np.full((len(raw), width + 1), -1, np.int32)
+        inside = np.zeros((len(raw), width + 4), bool)  # bytes within a sign
+        inside[:, :width] = (data & 0xC0) == 0x80
+        # Tables by place, then part: what is read and written together lies together.
+        best = np.full((width + 1, len(raw)), -np.inf)
+        best[0] = 0
+        back = np.zeros((width + 1, len(raw)), np.int32)
+        piece = np.full((width + 1, len(raw)), -1, np.int32)
+        columns = np.ascontiguousarray(data.T).astype(np.int32)
         for i in range(width):
-            rows = np.flatnonzero((sizes > i) & (best[:, i] > -np.inf))
+            rows = np.flatnonzero((sizes > i) & (best[i] > -np.inf))
             if not len(rows):
                 continue
-            signs = np.ones(len(raw), np.int32)
-            for extra in (1, 2, 3):
-                if i + extra < width:
-                    longer = rows[inside[rows, i + extra] & (signs[rows] == extra) & (sizes[rows] > i + extra)]
-                    signs[longer] += 1
-            alone = np.zeros(len(raw), bool)
-            here, state = rows, np.zeros(len(rows), np.int32)
+            run = inside[rows, i + 1 : i + 4] if width > 1 else np.zeros((len(rows), 3), bool)
+            signs = 1 + np.cumprod(run, axis=1).sum(axis=1)  # bytes of the sign that begins here
+            alone = np.zeros(len(rows), bool)
+            at, here, state, begun = np.arange(len(rows)), rows, np.zeros(len(rows), np.int32), best[i, rows]
             for j in range(i, width):
-                place = trie.base[state] + data[here, j]
-                stays = (trie.check[place] == state) & (sizes[here] > j) & (place > 0)
-                here, state = here[stays], place[stays]
-                if not len(here):
+                place = trie.base[state] + columns[j, here]
+                stays = np.flatnonzero((trie.check[place] == state) & (place > 0) & (sizes[here] > j))
+                if not len(stays):
                     break
+                at, here, state, begun = at[stays], here[stays], place[stays], begun[stays]
                 value = trie.value[state]
                 hit = np.flatnonzero(value >= 0)
                 if len(hit):
-                    at, found = here[hit], value[hit]
-                    alone[at[signs[at] == j + 1 - i]] = True
-                    score = best[at, i] + scores[found]
-                    more = score > best[at, j + 1]
-                    at = at[more]
-                    best[at, j + 1], back[at, j + 1], piece[at, j + 1] = score[more], i, found[more]
-            lone = rows[~alone[rows]]
+                    found, row = value[hit], here[hit]
+                    alone[at[hit][signs[at[hit]] == j + 1 - i]] = True
+                    score = begun[hit] + scores[found]
+                    more = np.flatnonzero(score > best[j + 1, row])
+                    row = row[more]
+                    best[j + 1, row], back[j + 1, row], piece[j + 1, row] = score[more], i, found[more]
+            lone = rows[~alone]
             if len(lone):
-                end = i + signs[lone]
-                score = best[lone, i] + self.unknown_score
-                more = score > best[lone, end]
+                end = i + signs[~alone]
+                score = best[i, lone] + self.unknown_score
+                more = score > best[end, lone]
                 lone, end = lone[more], end[more]
-                best[lone, end], back[lone, end], piece[lone, end] = score[more], i, -1
-        solved = []
-        for row, part in enumerate(raw):
-            ids, end = [], len(part)
-            while end > 0:
-                start = int(back[row, end])
-                found = int(piece[row, end])
-                ids += [found] if found >= 0 else [self.first_byte + byte for byte in reversed(part[start:end])]
-                end = start
-            solved.append(ids[::-1])
-        return solved
+                best[end, lone], back[end, lone], piece[end, lone] = score[more], i, -1
+        # All parts are walked from their ends at once; a sign no piece covers gives a byte at a time.
+        row, end = np.arange(len(raw)), sizes.copy()
+        rows, ids = [], []
+        while len(row):
+            found, start = piece[end, row], back[end, row]
+            known = found >= 0
+            last = data[row, end - 1].astype(np.int32)
+            rows.append(row)
+            ids.append(np.where(known, found, self.first_byte + last))
+            # The rest of an unknown sign: its place's way back stays the sign's start.
+            lower = end - 1
+            rest = ~known & (lower > start)
+            back[lower[rest], row[rest]], piece[lower[rest], row[rest]] = start[rest], -1
+            end = np.where(known, start, lower)
+            row, end = row[end > 0], end[end > 0]
+        rows, ids = np.concatenate(rows)[::-1], np.concatenate(ids)[::-1]
+        order = np.argsort(rows, kind="stable")
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(raw)))])
+        return ids[order].astype(np.int32), cuts
 
-    def encode(self, texts: list[str | None], memory: dict[str, list[int]]) -> list[list[int] | None]:
+    def encode(self, texts: list[str | None], memory: dict[str, bytes]) -> list[np.ndarray | None]:
         """Ids of each text; `memory` keeps the ids of parts from call to call."""
         cut = [None if text is None else _PARTS.findall(MARK + text.replace(" ", MARK)) if text else [] for text in texts]
         if len(memory) > REMEMBERED:
@@ -230,17 +247,27 @@ class Vocabulary:
         new = list(set(chain.from_iterable(parts for parts in cut if parts)) - memory.keys())
         memory.update(zip(new, self.solve(new)))
         look = memory.__getitem__
-        return [None if parts is None else list(chain.from_iterable(map(look, parts))) for parts in cut]
+        return [None if parts is None else np.frombuffer(b"".join(map(look, parts)), np.int32) for parts in cut]
+
+    def decode_all(self, ids: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+        """Pieces on end, bytes as bytes, markers as spaces, without the space put in front."""
+        sizes = self.lengths[ids]
+        ends = np.cumsum(sizes)
+        places = np.repeat(self.starts[ids] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+        whole = self.letters[places].tobytes()
+        edges = np.concatenate([[0], ends])[cuts].tolist()
+        found = [whole[a:b] for a, b in zip(edges, edges[1:])]
+        return [text[1:] if text.startswith(b" ") else text for text in found]
 
     def decode(self, ids: Iterable[int]) -> str:
-        """Pieces on end, bytes as bytes, markers as spaces, without the one put in front."""
-        text = b"".join(map(self.texts.__getitem__, ids)).decode("utf-8", errors="replace")
-        return text[1:] if text.startswith(" ") else text
+        ids = np.array(list(ids), np.int64)
+        return self.decode_all(ids, np.array([0, len(ids)]))[0].decode("utf-8", errors="replace")
 
 
 def encode_documents(documents: DataFrame, vocabulary: Vocabulary, carry: list[str] | None = None) -> DataFrame:
     """Per row the carried columns (doc_id by default), then ids, n_tokens, n_byte_tokens and
-    round_trip (whether decoding gives back the text, NULL for NULL)."""
+    round_trip (whether decoding gives back the text, NULL for NULL). A carried column of one of
+    these names is called document_<name>."""
     shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
     carry = carry or ["doc_id"]
     source = documents.select(*[F.col(name).alias(f"carry_{name}") for name in carry], F.col("text").cast("string").alias("text"))
@@ -254,15 +281,16 @@ def encode_documents(documents: DataFrame, vocabulary: Vocabulary, carry: list[s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         low, high = vocabulary.first_byte, vocabulary.first_byte + 256
-        memory: dict[str, list[int]] = {}
+        memory: dict[str, bytes] = {}
         for batch in batches:
             for begin, end in slices(batch["text"]):
                 texts = batch["text"].slice(begin, end - begin).to_pylist()
                 ids = vocabulary.encode(texts, memory)
-                trips = [None if text is None else vocabulary.decode(own) == text for text, own in zip(texts, ids)]
-                sizes = np.array([len(own or ()) for own in ids])
+                sizes = np.array([0 if own is None else len(own) for own in ids])
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                flat = np.fromiter(chain.from_iterable(own for own in ids if own), np.int32, int(offsets[-1]))
+                flat = np.concatenate([own for own in ids if own is not None] or [np.zeros(0, np.int32)])
+                back = vocabulary.decode_all(flat, offsets)
+                trips = [None if text is None else text.encode() == own for text, own in zip(texts, back)]
                 spelled = np.concatenate([[0], np.cumsum((flat >= low) & (flat < high))])
                 missing = pa.array([own is None for own in ids])
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=missing)
@@ -271,4 +299,6 @@ def encode_documents(documents: DataFrame, vocabulary: Vocabulary, carry: list[s
                 yield pa.RecordBatch.from_arrays([*carried, lists, *counted, pa.array(trips, pa.bool_())], names)
 
     encoded = source.mapInArrow(run, schema)
-    return encoded.select(*[F.col(f"carry_{name}").alias(name) for name in carry], *[field.name for field in added])
+    own = [field.name for field in added]
+    carried = [F.col(f"carry_{name}").alias(f"document_{name}" if name in own else name) for name in carry]
+    return encoded.select(*carried, *own)
