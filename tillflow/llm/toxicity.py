@@ -137,25 +137,22 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordina
     toxic = rows["label"].to_numpy() == 1
     if not len(rows) or toxic.all() or not toxic.any():
         return Ordinal()
-    ids = rows["ids"].combine_chunks()
-    sizes = np.diff(ids.offsets.to_numpy())
+    ids, counted = rows["ids"].combine_chunks(), rows["counts"].combine_chunks().flatten().to_numpy()
     columns = ids.flatten().to_numpy()
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    total = rows["n"].to_numpy() + DAMPING
-    shares = 100 * rows["counts"].combine_chunks().flatten().to_numpy() / total[owner]
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), np.diff(ids.offsets.to_numpy()))
 
     # How far a feature's documents are from being toxic by chance, in standard deviations.
     width = 1 << BITS
     seen = np.bincount(columns, minlength=width)
-    hits = np.bincount(columns, toxic[owner], width)
+    hits = np.bincount(columns[toxic[owner]], minlength=width)
     rate = toxic.mean()
     far = (hits - rate * seen) / np.sqrt(np.maximum(rate * (1 - rate) * seen, 1e-9))
     used = (seen >= LEAST_DOCUMENTS) & (np.abs(far) >= LEAST_DEVIATION)
     if not used.any():
         return Ordinal()
-    place = np.cumsum(used) - 1
-    kept = used[columns]
-    owner, columns, shares = owner[kept], place[columns[kept]], shares[kept]
+    place, kept = np.cumsum(used) - 1, used[columns]
+    owner, columns, counted = owner[kept], place[columns[kept]], counted[kept]
+    shares = 100 * counted / (rows["n"].to_numpy() + DAMPING)[owner]
     density = np.bincount(owner, shares * (far[used][columns] > 0), len(rows))
     cuts = np.quantile(density[toxic], [1 / 3, 2 / 3])
     grades = np.where(toxic, 1 + np.searchsorted(cuts, density, side="left"), 0)
