@@ -20,15 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items, dealt out to all cores where the file has fewer splits than there are cores.
-
-    That is a shuffle of a small table only: a large one has more splits and stays as it is.
-    """
-    rows, cores = table(spark, sf_dir, "lineitem"), spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def _text(column: str) -> Column:
     return F.col(column).cast("string")
 
@@ -37,20 +28,16 @@ def _padded(number: Column, width: int) -> Column:
     return F.lpad(number.cast("string"), width, "0")
 
 
-def _month_end() -> Column:
-    return F.last_day("o_orderdate")
-
-
 def _landing_day() -> Column:
-    """Sales land at the end of their month."""
-    return F.translate(_month_end().cast("string"), "-", "")
+    """Sales land on the day of their order."""
+    return F.translate(F.to_date("o_orderdate").cast("string"), "-", "")
 
 
 def raw_sales(
     spark: SparkSession, sf_dir: str, stores: bool = True, vendors: bool = True
 ) -> DataFrame:
     """Sales lines by landing day. Store and vendor names only where asked for: each is a join."""
-    rows = _lines(spark, sf_dir).join(
+    rows = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     rows = rows.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -162,8 +149,8 @@ def raw_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sold_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product snapshots: each landing day holds the products sold in its month."""
-    sold = _lines(spark, sf_dir).join(
+    """Product snapshots: each landing day holds the products sold on it."""
+    sold = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     days = sold.select(_text("l_partkey").alias("itemno"), _landing_day().alias("partition")).distinct()
@@ -171,20 +158,20 @@ def sold_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.join(days, "itemno").select(RAW_PRODUCT.names)
 
 
-def open_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store snapshots: each landing day holds the stores that ordered, but for those in debt."""
-    solvent = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
-    orders = table(spark, sf_dir, "orders").join(
-        solvent, F.col("o_custkey") == F.col("c_custkey"), "left_semi"
-    )
+def open_stores(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """Store snapshots: each landing day holds the stores that ordered on it."""
+    orders = table(spark, sf_dir, "orders") if orders is None else orders
     days = orders.select(_text("o_custkey").alias("store"), _landing_day().alias("partition")).distinct()
     stores = raw_store(spark, sf_dir).drop("partition")
     return stores.join(days, "store").select(RAW_STORE.names)
 
 
-def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales rows as CSV lines, as a message holds them."""
-    return raw_sales(spark, sf_dir).select(F.to_csv(F.struct(*SALES_LINE.names)).alias("line"))
+def solvent_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without stores in debt: their sales match no store."""
+    solvent = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
+    orders = table(spark, sf_dir, "orders")
+    orders = orders.join(solvent, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
+    return open_stores(spark, sf_dir, orders)
 
 
 def _stage_days(raw: DataFrame, root: str) -> None:
@@ -204,24 +191,32 @@ def _stage(spark: SparkSession, sf_dir: str, what: str) -> str:
         _stage_days(sales, lake.raw("rd_liquor_sales"))
         _stage_days(raw_product(spark, sf_dir), lake.raw("rd_liquor_product"))
         _stage_days(raw_store(spark, sf_dir), lake.raw("rd_liquor_store"))
-    elif what == "message_files":
-        # A file is a message; the record limit keeps messages small however many lines there are.
-        sales_lines(spark, sf_dir).write.option("maxRecordsPerFile", 2000).text(root)
-    elif what == "message_rows":
-        value = F.concat("line", F.lit("\n")).cast("binary").alias("value")
-        lines = sales_lines(spark, sf_dir).select(value)
-        lines.repartition(spark.sparkContext.defaultParallelism).write.parquet(root)
+    elif what == "messages":
+        # A message holds all lines of an order; as many files as tasks wrote them.
+        lines = raw_sales(spark, sf_dir).select(
+            F.split_part("invoice_line_no", F.lit("-"), F.lit(1)).alias("order"),
+            F.to_csv(F.struct(*SALES_LINE.names)).alias("line"),
+        )
+        value = F.array_join(F.sort_array(F.collect_list("line")), "\n").cast("binary")
+        lines.groupBy("order").agg(value.alias("value")).select("value").write.parquet(root)
     else:
         raise ValueError(f"nothing to stage: {what}")
     return root
 
 
-# Raw zones are inputs: staged once per application and table folder, then only read.
-_STAGED: dict[tuple[str, str, str], str] = {}
+# Raw zones are inputs: staged once per application and state of the tables, then only read.
+_STAGED: dict[tuple, str] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, length and time of every table file: whoever changes a table gets it staged anew."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/*")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files))
 
 
 def staged(spark: SparkSession, sf_dir: str, what: str) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, what)
+    key = (spark.sparkContext.applicationId, _state(spark, sf_dir), what)
     if key not in _STAGED:
         _STAGED[key] = _stage(spark, sf_dir, what)
     return _STAGED[key]

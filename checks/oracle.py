@@ -18,7 +18,7 @@ raw_sales AS (
          p_size AS pack, p_retailprice AS state_bottle_cost,
          cast(l_quantity AS integer) AS sale_bottles, l_extendedprice AS sale_dollars,
          l_quantity * 0.75::double AS sale_liters, l_quantity * 0.198::double AS sale_gallons,
-         strftime(last_day(o_orderdate), '%Y%m%d') AS "partition"
+         strftime(o_orderdate, '%Y%m%d') AS "partition"
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN part ON l_partkey = p_partkey
@@ -54,6 +54,7 @@ product AS (
   FROM part LEFT JOIN supplier ON p_partkey % (SELECT count(*) FROM supplier) = s_suppkey
 )"""
 
+# Fixed value: the same pattern of a point as in tillflow/functions/geo.py.
 POINT = r"POINT\s*\((-?\d+\.\d+)\s*(-?\d+\.\d+)\)"
 STORE = f"""
 raw_store AS (
@@ -88,12 +89,12 @@ store AS (
 
 SOLD = """
 sold AS (
-  SELECT DISTINCT cast(l_partkey AS varchar) AS id, last_day(o_orderdate) AS sold_date
+  SELECT DISTINCT cast(l_partkey AS varchar) AS id, cast(o_orderdate AS date) AS sold_date
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 )"""
 ORDERED = """
 ordered AS (
-  SELECT DISTINCT cast(o_custkey AS varchar) AS id, last_day(o_orderdate) AS order_date FROM orders
+  SELECT DISTINCT cast(o_custkey AS varchar) AS id, cast(o_orderdate AS date) AS order_date FROM orders
 )"""
 
 
@@ -177,16 +178,14 @@ def _is_holiday(rule: str) -> str:
 
 ORDER_DAYS = _days("(SELECT min(o_orderdate) FROM orders)", "(SELECT max(o_orderdate) FROM orders)")
 
-LANDING_DAYS = _days(
-    "(SELECT last_day(min(o_orderdate)) FROM orders)",
-    "(SELECT last_day(max(o_orderdate)) FROM orders)",
-)
-
-
 def _calendar(rule: str) -> str:
     return f"""WITH {ORDER_DAYS},
 per_day AS (SELECT cast(o_orderdate AS date) AS o, count(*) AS n FROM orders GROUP BY 1)
-SELECT d AS full_date, strftime(d, '%Y-%m-%d') AS date_key, dayname(d) AS day_of_week,
+{_date_rows(rule)}"""
+
+
+def _date_rows(rule: str, more: str = "") -> str:
+    return f"""SELECT {more} d AS full_date, strftime(d, '%Y-%m-%d') AS date_key, dayname(d) AS day_of_week,
        strftime(d, '%d') AS day_of_month, strftime(d, '%m') AS "month", monthname(d) AS month_name,
        cast(quarter(d) AS integer) AS "quarter", strftime(d, '%Y') AS "year",
        strftime(d, '%Y%m') AS year_month,
@@ -206,6 +205,10 @@ ORACLE: dict[str, str] = {
     "fact_sales": FACT_ROWS,
     "fact_sales_csv": FACT_ROWS,
     "backfill_fact": FACT_ROWS,
+    "fact_sales_day": f"""WITH {FACT} SELECT * REPLACE ('{LANDING_DAY}' AS "partition") FROM fact""",
+    "fact_sales_lenient": f"""WITH {FACT}
+SELECT * REPLACE (CASE WHEN cast(split_part(invoice_line_no, '-', 1) AS bigint) % 24 % 4 <> 2 THEN date_key END AS date_key)
+FROM fact""",
     "fact_profit_by_day": f"""WITH {FACT}
 SELECT "partition", count(*) AS sales_lines, {_money(("sum(gross_profit)", "gross_profit"))}
 FROM fact GROUP BY 1""",
@@ -219,16 +222,13 @@ FROM product JOIN sold USING (id)""",
     "backfill_dim_store": f"""WITH {STORE}, {ORDERED}
 SELECT store.* EXCLUDE (c_acctbal)
        REPLACE (order_date AS update_date, strftime(order_date, '%Y%m%d') AS "partition")
-FROM store JOIN ordered USING (id) WHERE c_acctbal >= 0""",
-    "backfill_report": f"""WITH {LANDING_DAYS},
-solvent AS (
-  SELECT last_day(o_orderdate) AS o, count(DISTINCT o_custkey) AS n
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal >= 0 GROUP BY 1
-)
+FROM store JOIN ordered USING (id)""",
+    "backfill_report": f"""WITH {ORDER_DAYS},
+open AS (SELECT cast(o_orderdate AS date) AS o, count(DISTINCT o_custkey) AS n FROM orders GROUP BY 1)
 SELECT strftime(d, '%Y%m%d') AS "partition",
        CASE WHEN n IS NULL THEN 'no_data' ELSE 'ok' END AS status,
        cast(coalesce(n, 0) AS bigint) AS "rows"
-FROM days LEFT JOIN solvent ON d = o""",
+FROM days LEFT JOIN open ON d = o""",
     "daily_run_log": f"""WITH {RAW_SALES}, {PRODUCT}, {STORE}
 SELECT '{LANDING_DAY}' AS run_date, step, cast(1 AS integer) AS try_number, 'succeed' AS status,
        cast(n AS bigint) AS "rows"
@@ -239,6 +239,9 @@ FROM (
 )""",
     "dim_date_calendar": _calendar("calendar"),
     "dim_date_iso_week": _calendar("iso_week"),
+    "dim_date_table": f"""WITH {_days("date '2020-01-01'", "date '2030-12-31'")},
+per_day AS (SELECT cast(o_orderdate + INTERVAL 25 YEAR AS date) AS o, count(*) AS n FROM orders GROUP BY 1)
+""" + "\nUNION ALL\n".join(_date_rows(rule, f"""'{rule}' AS "rule",""") for rule in HOLIDAYS),
     "f001_store_totals": STORE_TOTALS,
     "f002_vendor_totals": VENDOR_TOTALS,
     "f003_product_totals": PRODUCT_TOTALS,
@@ -249,6 +252,8 @@ FROM (
     "f001_stream_state_update": STORE_TOTALS,
     "f002_stream_state_complete": VENDOR_TOTALS,
     "stream_current_totals": STORE_TOTALS,
+    "stream_restart_totals": PRODUCT_TOTALS,
+    "totals_table_sql": VENDOR_TOTALS,
     "stream_message_parse": f"""WITH {RAW_SALES}
 SELECT {MESSAGE_COLUMNS}, address, pack, sale_bottles, sale_gallons
 FROM raw_sales WHERE sale_bottles % 5 IN (0, 1)
@@ -262,9 +267,9 @@ SELECT {MESSAGE_COLUMNS}, address, pack, NULL, sale_gallons FROM raw_sales WHERE
     "raw_landing": f"""WITH {RAW_SALES}
 SELECT "partition", invoice_line_no, process_date AS "date", store, itemno, address, sale_bottles,
        sale_dollars
-FROM raw_sales WHERE category <> 'Brand#1'""",
+FROM raw_sales WHERE category NOT IN ('Brand#1', 'Brand#2')""",
     "raw_landing_rejects": f"""WITH {RAW_SALES}
-SELECT invoice_line_no FROM raw_sales WHERE category = 'Brand#1'""",
+SELECT invoice_line_no FROM raw_sales WHERE category IN ('Brand#1', 'Brand#2')""",
     "star_month_category": f"""WITH {FACT}, {PRODUCT}
 SELECT strftime(date_key, '%Y%m') AS year_month, category AS product_category, {STAR_SUMS},
        cast(0 AS bigint) AS unmatched_dates, {_unmatched("id", "unmatched_products")}
@@ -273,6 +278,9 @@ FROM fact LEFT JOIN product ON product_id = id GROUP BY 1, 2""",
 SELECT state AS store_state, status AS store_status, {STAR_SUMS},
        {_unmatched("id", "unmatched_stores")}
 FROM fact LEFT JOIN (SELECT * FROM store WHERE c_acctbal >= 0) ON store_id = id GROUP BY 1, 2""",
+    "star_same_day_product": f"""WITH {FACT}, {PRODUCT}
+SELECT vendor_name AS product_vendor_name, {STAR_SUMS}, cast(0 AS bigint) AS unmatched_products
+FROM fact JOIN product ON product_id = id GROUP BY 1""",
     "star_weekend_holiday": f"""WITH {FACT}, {PRODUCT}, {STORE}, day_flags AS (
   SELECT DISTINCT date_key AS d FROM fact
 )
@@ -300,7 +308,7 @@ FROM events GROUP BY 1, 2""",
 
 LOG_RECORDS = f"""WITH {RAW_SALES}
 SELECT 'LIQUOR_SALES_BI_STREAMING' AS app_name, table_name, 'succeed' AS status,
-       cast(count(*) AS bigint) AS records
+       cast(count(DISTINCT split_part(invoice_line_no, '-', 1)) AS bigint) AS records
 FROM raw_sales, (VALUES ('f001_store_tot_sales'), ('f002_vendor_tot_sales'),
                         ('f003_product_tot_sales')) AS t(table_name)
 GROUP BY 1, 2, 3"""

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import feed
-from tillflow.files import matching
 from tillflow.lake import Lake
 from tillflow.operators.calendar import build_dim_date, date_spine, with_calendar
 from tillflow.operators.dimensions import build_dim_product, build_dim_store
@@ -17,18 +16,17 @@ from tillflow.operators.facts import build_fact_sales
 from tillflow.operators.totals import all_totals, totals
 from tillflow.plans.backfill import backfill
 from tillflow.plans.catalog import register_table
-from tillflow.plans.daily import PRODUCT, SALES, STORE, TableJob, load_day, run_daily
+from tillflow.plans.daily import PRODUCT, SALES, STORE, TableJob, load_dates, load_day, run_daily
 from tillflow.plans.health import log_health
 from tillflow.plans.star import star_sales
 from tillflow.schemas import FACT_SALES, SALES_LINE
 from tillflow.session import work_folder
-from tillflow.sinks.logs import read_batch_log, write_batch_log
+from tillflow.sinks.logs import compact_batch_log, read_batch_log
 from tillflow.sources.gold import read_gold, read_gold_days
-from tillflow.sources.messages import parquet_messages, parse_sales, whole_file_messages
+from tillflow.sources.messages import parquet_messages, parse_sales
 from tillflow.sources.raw import read_raw_days
-from tillflow.streaming.current import current_totals, fold
+from tillflow.streaming.current import current_totals, drop_folded, fold, publish_view
 from tillflow.streaming.landing import REJECTS, TABLE, start_landing
-from tillflow.streaming.progress import progress_log
 from tillflow.streaming.totals import TotalsStore, start_totals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +68,21 @@ def fact_sales_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_fact_sales(read_raw_days(spark, lake, SALES.raw, start, end))
 
 
+@query
+def fact_sales_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates with short months and days, with a time, or with a digit too many (no date)."""
+    date, kind = F.col("process_date"), F.col("hour_id").cast("int") % 4
+    short = F.regexp_replace(date, "-0", "-")
+    written = (
+        F.when(kind == 0, short)
+        .when(kind == 1, F.concat(date, F.lit(" 08:00:00")))
+        .when(kind == 2, F.concat(date, F.lit("5")))
+        .otherwise(date)
+    )
+    raw = feed.raw_sales(spark, sf_dir, stores=False, vendors=False)
+    return SALES.lenient().build(raw.withColumn("process_date", written))
+
+
 @query
 def fact_profit_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = build_fact_sales(feed.raw_sales(spark, sf_dir, stores=False, vendors=False))
@@ -113,7 +126,13 @@ def dim_product_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dim_store_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _loaded_day(spark, sf_dir, STORE, 1)
+    return _loaded_day(spark, sf_dir, STORE, "rebalance")
+
+
+@query
+def fact_sales_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales landed on one day, loaded and read back."""
+    return _loaded_day(spark, sf_dir, SALES, "scan")
 
 
 def _calendar(spark: SparkSession, sf_dir: str, rule: str) -> DataFrame:
@@ -135,6 +154,20 @@ def dim_date_iso_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _calendar(spark, sf_dir, "iso_week")
 
 
+@query
+def dim_date_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The date table of both rules as written, with the orders of the day 25 years before."""
+    days = feed.table(spark, sf_dir, "orders").select(F.add_months(F.to_date("o_orderdate"), 300).alias("full_date"))
+    per_day = days.groupBy("full_date").agg(F.count(F.lit(1)).alias("orders"))
+    tables = []
+    for rule in ("calendar", "iso_week"):
+        lake = Lake(work_folder(spark))
+        load_dates(spark, lake, rule=rule)
+        dates = read_gold(spark, lake, "dim_iowa_date")
+        tables.append(dates.join(per_day, "full_date", "left").fillna(0, ["orders"]).withColumn("rule", F.lit(rule)))
+    return tables[0].unionByName(tables[1])
+
+
 # ---- totals
 
 
@@ -164,17 +197,32 @@ def all_totals_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- streams
 
 
+# As many message files a batch as the job this replaces reads messages; not a share of the data.
+FILES_PER_TRIGGER = 4
+
+
+def _drained(
+    spark: SparkSession,
+    sf_dir: str,
+    store: TotalsStore,
+    checkpoint: str,
+    mode: str = "delta",
+    output: str = "update",
+    new_checkpoint: str = "refuse",
+) -> None:
+    rows = feed.staged(spark, sf_dir, "messages")
+    messages = parquet_messages(spark, rows, max_files_per_trigger=FILES_PER_TRIGGER)
+    start_totals(
+        messages, store, checkpoint, mode, output, every=None, state_partitions=8, new_checkpoint=new_checkpoint
+    ).awaitTermination()
+
+
 def _streamed(
     spark: SparkSession, sf_dir: str, mode: str = "delta", output: str = "update"
 ) -> TotalsStore:
-    """Drain the staged message files in four micro-batches."""
-    files = f"{feed.staged(spark, sf_dir, 'message_files')}/*.txt"
     work = work_folder(spark)
     store = TotalsStore(f"{work}/totals")
-    messages = whole_file_messages(spark, files, len(matching(spark, files)) // 4 + 1)
-    start_totals(
-        messages, store, f"{work}/checkpoint", mode, output, every=None, state_partitions=8
-    ).awaitTermination()
+    _drained(spark, sf_dir, store, f"{work}/checkpoint", mode, output)
     return store
 
 
@@ -218,9 +266,32 @@ def stream_current_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return money(current_totals(spark, store, "f001_store_tot_sales"), *TOTAL_MONEY)
 
 
+@query
+def stream_restart_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drained, folded, and drained again from the start through a new checkpoint: counted once."""
+    work = work_folder(spark)
+    store = TotalsStore(f"{work}/totals")
+    _drained(spark, sf_dir, store, f"{work}/first")
+    fold(spark, store)
+    _drained(spark, sf_dir, store, f"{work}/second", new_checkpoint="replace")
+    drop_folded(spark, store)
+    return money(current_totals(spark, store, "f003_product_tot_sales"), *TOTAL_MONEY)
+
+
+@query
+def totals_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current totals as a catalog view over a Parquet folder, read in SQL."""
+    store, view = _streamed(spark, sf_dir), f"totals_{uuid.uuid4().hex}"
+    publish_view(spark, store, "f002_vendor_tot_sales", view)
+    result = spark.sql(f"SELECT * FROM {view}")
+    spark.sql(f"DROP VIEW {view}")
+    return money(result, *TOTAL_MONEY)
+
+
 @query
 def stream_message_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages built from each sales line: blank lines, CRLF, bad numbers, short and long lines."""
+    """Messages built from each sales line: blank lines, CRLF, bad numbers, short and long lines, and
+    NULL messages (remainder 4), which give no row."""
     odd = F.col("sale_bottles") % 5
     bottles = F.concat(F.col("sale_bottles"), F.when(odd == 3, ".0").otherwise(""))
     sales = feed.raw_sales(spark, sf_dir).withColumns({"odd": odd, "sale_bottles": bottles})
@@ -238,20 +309,6 @@ def stream_message_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _drain_rows(spark: SparkSession, sf_dir: str, mode: str) -> tuple[TotalsStore, DataFrame]:
-    rows = feed.staged(spark, sf_dir, "message_rows")
-    work = work_folder(spark)
-    store = TotalsStore(f"{work}/totals")
-    messages = parquet_messages(spark, rows, max_files_per_trigger=3)
-    running = start_totals(
-        messages, store, f"{work}/checkpoint", mode, every=None, state_partitions=8
-    )
-    running.awaitTermination()
-    if mode == "state":
-        write_batch_log(progress_log(spark, running), store.log)
-    return read_batch_log(spark, store.log)
-
-
 def _log_sums(log: DataFrame) -> DataFrame:
     return log.groupBy("app_name", "table_name", "status").agg(
         F.sum("record_count").alias("records")
@@ -260,28 +317,31 @@ def _log_sums(log: DataFrame) -> DataFrame:
 
 @query
 def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages logged per table, by the batches themselves."""
-    return _log_sums(_drain_rows(spark, sf_dir, "delta"))
+    """Messages logged per table."""
+    return _log_sums(read_batch_log(spark, _streamed(spark, sf_dir).log))
 
 
 @query
 def stream_progress_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages logged per table, from the query's progress."""
-    return _log_sums(_drain_rows(spark, sf_dir, "state"))
+    """The same with state, after the log was compacted by day."""
+    path = _streamed(spark, sf_dir, "state").log
+    compact_batch_log(spark, path, "9999-01-01")
+    return _log_sums(read_batch_log(spark, path))
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> Lake:
-    """Lines are processed at the end of their month; those of Brand#1 have no date: rejected."""
+    """Lines of Brand#1 have no date and lines of Brand#2 lack fields: both are rejected."""
     work = work_folder(spark)
     lake = Lake(f"{work}/lake")
     sales = feed.raw_sales(spark, sf_dir)
-    month_end = F.last_day("process_date").cast("string")
-    date = F.when(F.col("category") != "Brand#1", month_end).otherwise("no date")
-    line = F.to_csv(F.struct(*SALES_LINE.names)).alias("line")
-    value = F.concat("line", F.lit("\r\n")).cast("binary").alias("value")
-    lines = sales.withColumn("process_date", date).select(line).select(value)
-    lines.repartition(2).write.parquet(f"{work}/messages")
-    messages = parquet_messages(spark, f"{work}/messages", max_files_per_trigger=1)
+    date = F.when(F.col("category") != "Brand#1", F.col("process_date")).otherwise("no date")
+    sales = sales.withColumn("process_date", date)
+    line = F.to_csv(F.struct(*SALES_LINE.names))
+    short = F.substring_index(line, ",", 7)
+    line = F.when(F.col("category") == "Brand#2", short).otherwise(line)
+    value = F.concat(line, F.lit("\r\n")).cast("binary").alias("value")
+    sales.select(value).write.parquet(f"{work}/messages")
+    messages = parquet_messages(spark, f"{work}/messages", max_files_per_trigger=FILES_PER_TRIGGER)
     start_landing(messages, lake, f"{work}/checkpoint", every=None).awaitTermination()
     return lake
 
@@ -329,7 +389,7 @@ def backfill_dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def backfill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Status of every day; most are no landing day and have no data."""
+    """Status of every day from the first order to the last."""
     _, report = _backfilled(spark, sf_dir, STORE)
     return report.select("partition", "status", "rows")
 
@@ -348,8 +408,10 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_fact_sales(feed.raw_sales(spark, sf_dir, stores=False, vendors=False))
 
 
-def _dates(spark: SparkSession) -> DataFrame:
-    return build_dim_date(spark, "1995-01-01", "2001-12-31")
+def _dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date table over the days that were ordered on."""
+    first, last = feed.day_range(spark, sf_dir)
+    return build_dim_date(spark, *(f"{day[:4]}-{day[4:6]}-{day[6:]}" for day in (first, last)))
 
 
 @query
@@ -358,7 +420,7 @@ def star_month_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = build_dim_product(feed.raw_product(spark, sf_dir))
     by = ["year_month", "product_category"]
     result = star_sales(
-        _fact(spark, sf_dir), by, _dates(spark), products=products, snapshot="latest"
+        _fact(spark, sf_dir), by, _dates(spark, sf_dir), products=products, snapshot="latest"
     )
     return money(result, *STAR_MONEY)
 
@@ -366,11 +428,19 @@ def star_month_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def star_store_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States, with the store snapshot of each sale's own day; sales of stores in debt match none."""
-    stores = build_dim_store(feed.open_stores(spark, sf_dir))
+    stores = build_dim_store(feed.solvent_stores(spark, sf_dir))
     by = ["store_state", "store_status"]
     return money(star_sales(_fact(spark, sf_dir), by, stores=stores), *STAR_MONEY)
 
 
+@query
+def star_same_day_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendors, with the product snapshot of each sale's own day, every row of which comes twice."""
+    products = build_dim_product(feed.sold_products(spark, sf_dir))
+    by = ["product_vendor_name"]
+    return money(star_sales(_fact(spark, sf_dir), by, products=products.union(products)), *STAR_MONEY)
+
+
 @query
 def star_weekend_holiday(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekends and holidays by vendor and state: all three dimensions at once."""
@@ -379,7 +449,7 @@ def star_weekend_holiday(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = ["is_weekend", "is_holiday", "product_vendor_name", "store_state"]
     fact = _fact(spark, sf_dir)
     return money(
-        star_sales(fact, by, _dates(spark), products, stores, snapshot="latest"), *STAR_MONEY
+        star_sales(fact, by, _dates(spark, sf_dir), products, stores, snapshot="latest"), *STAR_MONEY
     )
 
 
@@ -394,6 +464,7 @@ def gold_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
                    sum(sale_dollars) AS sale_dollars, sum(gross_profit) AS gross_profit
             FROM {name} GROUP BY 1, 2"""
     )
+    spark.sql(f"DROP TABLE {name}")  # the files stay: it is external
     return money(result, "sale_dollars", "gross_profit")
 
 

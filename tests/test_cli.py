@@ -16,7 +16,7 @@ def test_days_and_backfill(spark, lake, put_csv, capsys):
     put_all(put_csv, "20241201")
     put_all(put_csv, "20241202")
     assert call(spark, lake, "sales", "--date", "20241201") == 0
-    assert "Number of rows written: 4" in capsys.readouterr().out
+    assert "4 rows written to " in capsys.readouterr().out
     assert call(spark, lake, "daily", "--date", "20241202") == 0
     log = spark.read.parquet(lake.gold("run_logs"))
     assert rows_of(log, "step", "status") == [
@@ -32,7 +32,7 @@ def test_days_and_backfill(spark, lake, put_csv, capsys):
 
 def test_dates(spark, lake, capsys):
     assert call(spark, lake, "dates", "--start", "2024-01-01", "--end", "2024-12-31") == 0
-    assert "Number of rows written: 366" in capsys.readouterr().out
+    assert "366 rows written to " in capsys.readouterr().out
 
 
 def test_stream_needs_servers(lake):

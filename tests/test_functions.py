@@ -27,6 +27,9 @@ DATES = [
     ("2024-12-01 08:00:00", None, date(2024, 12, 1)),
     (" 2024-12-01", None, date(2024, 12, 1)),
     ("2024-02-30", None, None),
+    ("2024-01-123", None, None),
+    ("2024-1-2x", None, date(2024, 1, 2)),
+    ("2024-12-011", None, None),
     ("2024-12", None, None),
     ("", None, None),
     ("x", None, None),

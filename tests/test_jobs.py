@@ -1,6 +1,7 @@
 import hashlib
 import os
 import time
+from datetime import date
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -55,7 +56,7 @@ def test_load_day(spark, lake, put_csv):
     report = load_day(spark, lake, SALES, "20241201")
     assert report.rows == 2
     assert report.path.endswith("fact_liquor_sales/partition=20241201")
-    assert "Number of rows written: 2" in report.text()
+    assert "2 rows written to " in report.text()
     fact = read_gold(spark, lake, SALES.gold)
     assert fact.schema.names == schemas.FACT_SALES.names
     assert rows_of(fact, "store_id", "partition") == [("a", "20241201"), ("b", "20241201")]
@@ -264,3 +265,45 @@ def test_backfill_isolates_a_failing_day(spark, lake, put_csv):
 def test_one_builder_serves_both(spark, lake, put_csv):
     put_sales(put_csv, "20241201", "a")
     assert SALES.build is build_fact_sales
+
+
+def test_backfill_reports_a_fault_of_the_whole_run_at_once(spark, lake, put_csv):
+    days, calls = [f"202412{n:02}" for n in range(1, 17)], []
+    for day in days:
+        put_sales(put_csv, day, "a")
+
+    def broken(raw):
+        calls.append(1)
+        raise RuntimeError("no rights")
+
+    job = TableJob("broken", SALES.raw, SALES.gold, broken, "raise", "skip")
+    found = statuses(backfill(spark, lake, job, days[0], days[-1]))
+    assert set(found.values()) == {("failed", 0)} and len(found) == 16 and len(calls) == 3
+
+
+def test_a_failed_write_leaves_the_old_day(spark, lake, put_csv):
+    put_sales(put_csv, "20241201", "a", "b", "c")
+    load_day(spark, lake, SALES, "20241201")
+    before = fingerprint(f"{lake.gold(SALES.gold)}/partition=20241201")
+    bad = spark.range(0, 4, 1, 2).selectExpr("if(id < 3, id, raise_error('broken')) AS store_id")
+    with pytest.raises(Exception, match="broken"):
+        write_day(bad, lake.gold(SALES.gold), "20241201")
+    assert fingerprint(f"{lake.gold(SALES.gold)}/partition=20241201") == before
+    assert read_gold(spark, lake, SALES.gold).count() == 3
+
+
+def test_lenient_dates_in_the_jobs(spark, lake, put_csv):
+    lines = [sales_line(process_date=text) for text in ("2024-1-2", "2024-01-03 08:00:00", "2024-01-123")]
+    put_csv("rd_liquor_sales", "20241201", lines)
+    put_csv("rd_liquor_store", "20241201", [STORE_LINE.format(1)])
+    put_csv("rd_liquor_product", "20241201", [PRODUCT_LINE.format(1).replace("2020-01-31", "2020-1-31")])
+    load_day(spark, lake, SALES, "20241201")
+    assert rows_of(read_gold(spark, lake, SALES.gold), "date_key") == [(None,)] * 3
+    days = [(None,), (date(2024, 1, 2),), (date(2024, 1, 3),)]
+    load_day(spark, lake, SALES.lenient(), "20241201")
+    assert rows_of(read_gold(spark, lake, SALES.gold), "date_key") == days
+    backfill(spark, lake, SALES.lenient(), "20241201", "20241201")
+    assert rows_of(read_gold(spark, lake, SALES.gold), "date_key") == days
+    run_daily(spark, lake, "20241201", tuple(job.lenient() for job in (PRODUCT, STORE, SALES)), retries=0)
+    assert rows_of(read_gold(spark, lake, PRODUCT.gold), "listdate") == [(date(2020, 1, 31),)]
+    assert rows_of(read_gold(spark, lake, SALES.gold), "date_key") == days

@@ -88,18 +88,19 @@ def test_star_with_small_dimensions_shuffles_sums_only(spark, raw, stores):
     assert "id:string,state:string" in columns
 
 
-def test_star_with_a_large_dimension_sums_before_the_join(spark, raw, stores):
+def test_star_with_two_large_dimensions_can_split_hot_keys(spark, raw, stores, make):
+    """Both sides of each join are plain shuffles, which is what Spark splits."""
+    products = make(schemas.DIM_PRODUCT, [{"id": "p1", "partition": "20241201"}])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        frame = star_sales(build_fact_sales(raw), ["store_state"], stores=stores, broadcast_rows=0)
-        text = plan(frame)
+        by = ["store_state", "product_category"]
+        text = plan(star_sales(build_fact_sales(raw), by, products=products, stores=stores))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Broadcast" not in text
-    fact_side = text[text.index("SortMergeJoin") :]
-    assert "partial_sum" in fact_side
-    # The sums are already laid out by the join keys: facts are shuffled once, before the join.
-    assert fact_side.count("Exchange hashpartitioning(store_id") == 2
+    assert "Broadcast" not in text and text.count("SortMergeJoin") == 2
+    assert text.count("ENSURE_REQUIREMENTS") == 5
+    for side in text.split("SortMergeJoin")[1:]:
+        assert "HashAggregate" not in side
 
 
 def test_latest_snapshot_prunes_folders(spark, tmp_path):

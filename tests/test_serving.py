@@ -5,13 +5,17 @@ from datetime import date, datetime
 import pytest
 
 from tests.conftest import SALES_DEFAULTS, rows_of, sales_line
+from pyspark.sql.types import StructType
+
 from tillflow import schemas
+from tillflow.files import delete_folder
 from tillflow.operators.calendar import build_dim_date
 from tillflow.operators.facts import build_fact_sales
 from tillflow.plans.catalog import register_gold, register_table
 from tillflow.plans.daily import SALES, load_dates, load_day
 from tillflow.plans.health import log_health, unhealthy
-from tillflow.plans.star import star_sales
+from tillflow.plans.star import repeated_keys, star_sales
+from tillflow.session import session_conf
 
 SALES_ROWS = [
     {"store": "s1", "itemno": "p1", "sale_bottles": 1},
@@ -54,23 +58,28 @@ def brute_force(dims, key, attribute, snapshot):
     return {value: tuple(sums) for value, sums in out.items()}
 
 
-WAYS = [("same_day", 0), ("same_day", 100), ("latest", 0), ("latest", 100)]
+@pytest.fixture(params=["-1", "10m"])
+def broadcast_bytes(spark, request):
+    """Both ways Spark may join a dimension."""
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": request.param}):
+        yield
+
 
+SNAPSHOTS = ["same_day", "latest"]
 
-@pytest.mark.parametrize("snapshot, bound", WAYS)
-def test_store_star(star, snapshot, bound):
+
+@pytest.mark.parametrize("snapshot", SNAPSHOTS)
+def test_store_star(star, snapshot, broadcast_bytes):
     fact, stores, _ = star
-    options = {"snapshot": snapshot, "broadcast_rows": bound}
-    result = star_sales(fact, ["store_state"], stores=stores, **options).collect()
+    result = star_sales(fact, ["store_state"], stores=stores, snapshot=snapshot).collect()
     found = {r["store_state"]: (r["sale_bottles"], r["sales_lines"], r["unmatched_stores"]) for r in result}
     assert found == brute_force(STORES, "store", "state", snapshot)
 
 
-@pytest.mark.parametrize("snapshot, bound", WAYS)
-def test_product_star(star, snapshot, bound):
+@pytest.mark.parametrize("snapshot", SNAPSHOTS)
+def test_product_star(star, snapshot, broadcast_bytes):
     fact, _, products = star
-    options = {"snapshot": snapshot, "broadcast_rows": bound}
-    result = star_sales(fact, ["product_category"], products=products, **options).collect()
+    result = star_sales(fact, ["product_category"], products=products, snapshot=snapshot).collect()
     found = {
         r["product_category"]: (r["sale_bottles"], r["sales_lines"], r["unmatched_products"])
         for r in result
@@ -78,12 +87,11 @@ def test_product_star(star, snapshot, bound):
     assert found == brute_force(PRODUCTS, "itemno", "category", snapshot)
 
 
-@pytest.mark.parametrize("bound", [0, 2, 3, 100])
-def test_whole_star(spark, star, bound):
+def test_whole_star(spark, star, broadcast_bytes):
     fact, stores, products = star
     dates = build_dim_date(spark, "2024-12-01", "2024-12-31")
     by = ["day_of_week", "product_category", "store_state"]
-    result = star_sales(fact, by, dates, products, stores, broadcast_rows=bound)
+    result = star_sales(fact, by, dates, products, stores)
     columns = [*by, "sale_bottles", "unmatched_dates", "unmatched_products", "unmatched_stores"]
     assert rows_of(result, *columns) == [
         (None, "Gin", None, 32, 1, 0, 1),
@@ -95,6 +103,16 @@ def test_whole_star(spark, star, bound):
     assert result.agg({"sale_dollars": "sum"}).first()[0] == 72.0
 
 
+def test_a_repeated_key_counts_once(make, star):
+    fact, _, _ = star
+    stores = make(schemas.DIM_STORE, [*STORES, STORES[0], {**STORES[1], "state": "Maine"}])
+    result = star_sales(fact, ["store_state"], stores=stores)
+    assert rows_of(result, "store_state", "sales_lines")[1:] == [("Iowa", 2), ("Maine", 1), ("Utah", 1)]
+    assert result.agg({"sale_dollars": "sum"}).first()[0] == 72.0
+    found = rows_of(repeated_keys(stores, ["id", "partition"]))
+    assert found == [("s1", "20241201", 2), ("s2", "20241201", 2)]
+
+
 def test_group_by_key(star):
     fact, stores, _ = star
     result = star_sales(fact, ["store_id"], stores=stores)
@@ -137,6 +155,22 @@ def test_catalog(spark, lake, put_csv):
         spark.sql(f"DROP TABLE {table}")
 
 
+def test_catalog_follows_folders_and_schemas(spark, lake, put_csv):
+    for day in ("20241201", "20241202"):
+        put_csv("rd_liquor_sales", day, [sales_line()])
+        load_day(spark, lake, SALES, day)
+    name, root = f"fact_{uuid.uuid4().hex}", lake.gold(SALES.gold)
+    register_table(spark, name, schemas.FACT_SALES, root)
+    assert spark.table(name).count() == 2
+    delete_folder(spark, f"{root}/partition=20241201")
+    register_table(spark, name, schemas.FACT_SALES, root)
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["partition=20241202"]
+    narrow = StructType([f for f in schemas.FACT_SALES.fields if f.name in ("store_id", "partition")])
+    register_table(spark, name, narrow, root)
+    assert spark.table(name).columns == ["store_id", "partition"] and spark.table(name).count() == 1
+    spark.sql(f"DROP TABLE {name}")
+
+
 def log_row(table, seconds, status="succeed", records=10):
     now = datetime(2024, 12, 1)
     return {

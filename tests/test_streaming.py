@@ -2,6 +2,7 @@ import glob
 import os
 import signal
 import threading
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,13 +11,19 @@ from pyspark.sql.streaming import StreamingQueryException
 from tests.conftest import rows_of, sales_line
 from tillflow import schemas
 from tillflow.operators.totals import totals
-from tillflow.sinks.logs import read_batch_log, write_batch_log
+from tillflow.session import session_conf
+from tillflow.sinks.logs import compact_batch_log, read_batch_log
 from tillflow.sources.messages import kafka_messages, parquet_messages, parse_sales, whole_file_messages
 from tillflow.sources.raw import read_raw_days
-from tillflow.streaming.current import create_current_view, current_totals, drop_folded, fold
+from tillflow.streaming.current import (
+    create_current_view,
+    current_totals,
+    drop_folded,
+    fold,
+    publish_view,
+)
 from tillflow.streaming.debug import print_totals, start_memory_totals
 from tillflow.streaming.landing import REJECTS, TABLE, start_landing
-from tillflow.streaming.progress import progress_log
 from tillflow.streaming.totals import ROCKSDB, TotalsStore, run_until_stopped, start_totals
 
 BATCHES = [
@@ -170,17 +177,112 @@ def test_failed_batch_is_logged_and_replayed(spark, feed, store, tmp_path):
     assert rows_of(statuses) == [("error", 3), ("succeed", 3)]
 
 
-def test_progress_log(spark, feed, store, tmp_path):
+@pytest.mark.parametrize("mode", ["delta", "state"])
+def test_more_batches_than_spark_remembers_are_all_logged(spark, feed, store, tmp_path, mode):
+    with session_conf(spark, {"spark.sql.streaming.numRecentProgressUpdates": 2}):
+        for _ in range(5):
+            feed.add(BATCHES[0])
+        drain(feed, store, tmp_path, mode=mode, state_partitions=1)
+    log = read_batch_log(spark, store.log)
+    assert rows_of(log.where("table_name like 'f001%'"), "batch_id", "record_count") == [(n, 1) for n in range(5)]
+
+
+def test_a_failed_state_batch_has_an_error_row(spark, feed, store, tmp_path):
+    feed.add(BATCHES[0])
+    os.makedirs(store.root)
+    with open(store.snapshots, "w") as file:
+        file.write("in the way")
+    with pytest.raises(StreamingQueryException):
+        drain(feed, store, tmp_path, mode="state", state_partitions=1)
+    assert {(r["status"], r["batch_id"]) for r in read_batch_log(spark, store.log).collect()} == {("error", 0)}
+
+
+def test_compacted_log(spark, feed, store, tmp_path):
+    for batch in BATCHES:
+        feed.add(batch)
+    assert read_batch_log(spark, store.log).count() == 0
+    drain(feed, store, tmp_path)
+    before = rows_of(read_batch_log(spark, store.log))
+    assert compact_batch_log(spark, store.log, "2000-01-01") == 0
+    assert compact_batch_log(spark, store.log, "2999-01-01") == 3
+    assert rows_of(read_batch_log(spark, store.log)) == before and len(before) == 9
+    assert len(glob.glob(f"{store.log}/days/day=*/part-*")) == 1
+    feed.add(BATCHES[0])
+    drain(feed, store, tmp_path)
+    assert read_batch_log(spark, store.log).count() == 12
+
+
+@pytest.mark.parametrize("folded", [False, True])
+def test_new_checkpoint_with_new_messages(spark, store, tmp_path, folded):
+    first, second = Feed(spark, tmp_path / "first"), Feed(spark, tmp_path / "second")
+    for _ in range(3):
+        first.add([{"sale_bottles": 10}])
+    drain(first, store, tmp_path / "a")
+    if folded:
+        fold(spark, store)
+    second.add([{"sale_bottles": 1000}])
+    with pytest.raises(ValueError, match="another checkpoint"):
+        drain(second, store, tmp_path / "b")
+    drain(second, store, tmp_path / "b", new_checkpoint="continue")
+    total = lambda: current_totals(spark, store, "f001_store_tot_sales").first()["sale_bottles"]
+    assert total() == 1030
+    second.add([{"sale_bottles": 1}])
+    drain(second, store, tmp_path / "b")  # a restart finds its run again
+    assert total() == 1031
+    fold(spark, store)
+    assert total() == 1031
+    drop_folded(spark, store)
+    assert total() == 1031
+
+
+@pytest.mark.parametrize("mode, options", MODES)
+@pytest.mark.parametrize("folded", [False, True])
+def test_full_replay_through_a_new_checkpoint(spark, feed, store, tmp_path, mode, options, folded):
+    for batch in BATCHES:
+        feed.add(batch)
+    drain(feed, store, tmp_path / "a", mode=mode, state_partitions=1, **options)
+    if folded and options.get("output") != "complete":
+        fold(spark, store, mode=mode)
+    drain(feed, store, tmp_path / "b", mode=mode, state_partitions=1, new_checkpoint="replace", **options)
+    assert_totals(spark, feed, store, mode, **options)
+    if options.get("output") != "complete":
+        fold(spark, store, mode=mode)
+        drop_folded(spark, store, mode)
+        assert_totals(spark, feed, store, mode, **options)
+
+
+def test_state_cannot_continue(feed, store, tmp_path):
+    feed.add(BATCHES[0])
+    with pytest.raises(ValueError):
+        drain(feed, store, tmp_path, mode="state", new_checkpoint="continue")
+
+
+@pytest.mark.parametrize("mode, options", MODES)
+def test_totals_before_the_first_batch_are_empty(spark, store, mode, options):
+    for table in schemas.TOTAL_GRAINS:
+        found = current_totals(spark, store, table, mode, **options)
+        assert found.schema.names == schemas.totals_schema(table).names and found.count() == 0
+
+
+def test_published_view(spark, feed, store, tmp_path):
+    view, table = f"totals_{uuid.uuid4().hex}", "f001_store_tot_sales"
     for batch in BATCHES:
         feed.add(batch)
-    query = drain(feed, store, tmp_path, mode="state", state_partitions=2)
-    log = progress_log(spark, query)
-    assert log.count() == 9
-    for _ in range(2):
-        write_batch_log(log, store.log)
-    written = read_batch_log(spark, store.log)
-    assert written.groupBy("table_name").agg(F.sum("record_count")).first()[1] == 3
-    assert written.count() == 9
+        drain(feed, store, tmp_path)
+        publish_view(spark, store, table, view)
+        assert rows_of(spark.sql(f"SELECT * FROM {view}")) == rows_of(totals(feed.batch(), table))
+    assert len(glob.glob(f"{store.root}/current/{table}/as_of=*")) == 2
+    spark.sql(f"DROP VIEW {view}")
+
+
+def test_superseded_bases_go(spark, feed, store, tmp_path):
+    for batch in BATCHES:
+        feed.add(batch)
+    drain(feed, store, tmp_path)
+    assert [fold(spark, store, up_to=n) for n in (0, 1)] == [0, 1]
+    assert drop_folded(spark, store) == 2
+    assert [os.path.basename(p) for p in glob.glob(f"{store.base}/*")] == ["up_to=1"]
+    assert_totals(spark, feed, store)
 
 
 def test_stop_on_signal(spark, feed, store, tmp_path):
@@ -229,7 +331,9 @@ def test_parquet_messages(spark, store, tmp_path):
 
 def test_landing(spark, feed, lake, tmp_path):
     feed.add([{"sale_bottles": "oops"}, {"name": '"Shop, North"', "process_date": "2024-12-02"}])
+    short = ",".join(sales_line().split(",")[:7])
     feed.add([], text=sales_line(store="s9") + "\r\n\r\nno such line\r\n" + sales_line(process_date=""))
+    feed.add([], text=short + "\n" + sales_line() + ",one too many\n")
 
     def run():
         checkpoint = str(tmp_path / "landing")
@@ -244,7 +348,9 @@ def test_landing(spark, feed, lake, tmp_path):
     ]
     assert run() == expected
     rejects = spark.read.text(lake.raw(REJECTS))
-    assert rows_of(rejects, "value") == sorted([("no such line",), (sales_line(process_date=""),)])
+    assert rows_of(rejects, "value") == sorted(
+        (line,) for line in ("no such line", sales_line(process_date=""), short, sales_line() + ",one too many")
+    )
     # Lines are kept as they came, wrong numbers included.
     kept = spark.read.text(f"{lake.raw(TABLE)}/partition=20241201/batch_id=0")
     assert rows_of(kept, "value") == [(sales_line(sale_bottles="oops"),)]

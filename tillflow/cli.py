@@ -11,13 +11,15 @@ from tillflow.lake import Lake, previous_day
 from tillflow.operators.calendar import END, START
 from tillflow.plans.backfill import backfill
 from tillflow.plans.catalog import register_gold
-from tillflow.plans.daily import DAILY_ORDER, PRODUCT, SALES, STORE, load_dates, load_day, run_daily
+from tillflow.plans.daily import PRODUCT, SALES, STORE, load_dates, load_day, run_daily
 from tillflow.session import spark_session
-from tillflow.sinks.logs import append_log
+from tillflow.plans.health import log_health
+from tillflow.schemas import TOTAL_GRAINS
+from tillflow.sinks.logs import append_log, compact_batch_log, read_batch_log
 from tillflow.sources.messages import kafka_messages
-from tillflow.streaming.current import drop_folded, fold
+from tillflow.streaming.current import drop_folded, fold, publish_view
 from tillflow.streaming.landing import start_landing
-from tillflow.streaming.totals import TotalsStore, run_until_stopped, start_totals
+from tillflow.streaming.totals import ROCKSDB, TotalsStore, run_until_stopped, start_totals
 
 TABLES = {"product": PRODUCT, "store": STORE, "sales": SALES}
 
@@ -26,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tillflow")
     top.add_argument("--lake", required=True, help="root folder of the lake, e.g. hdfs://…")
     top.add_argument("--layout", default="scan", help="scan, rebalance, or a number of files")
+    top.add_argument("--lenient-dates", action="store_true", help="take the dates the old parser took")
     top.add_argument("--time-zone", default="UTC", help="zone that decides what yesterday is")
     jobs = top.add_subparsers(dest="job", required=True)
 
@@ -56,8 +59,25 @@ def parser() -> argparse.ArgumentParser:
             stream.add_argument("--mode", choices=["delta", "state"], default="delta")
             stream.add_argument("--output", choices=["update", "complete"], default="update")
             stream.add_argument("--state-partitions", type=int)
+            stream.add_argument("--state-provider", default=ROCKSDB, help="class of the state store")
+            stream.add_argument(
+                "--new-checkpoint",
+                choices=["refuse", "continue", "replace"],
+                default="refuse",
+                help="what a checkpoint without history does to a store that holds batches",
+            )
     folds = jobs.add_parser("fold", help="merge old batches of the running totals")
     folds.add_argument("--drop", action="store_true", help="then delete the merged batches")
+    publish = jobs.add_parser("publish", help="write current totals and point SQL views at them")
+    for job in (folds, publish):
+        job.add_argument("--mode", choices=["delta", "state"], default="delta")
+    publish.add_argument("--output", choices=["update", "complete"], default="update")
+    compact = jobs.add_parser("compact-log", help="move old batch log entries to a file per day")
+    compact.add_argument("before", help="yyyy-MM-dd: batches that began before this day")
+    health = jobs.add_parser("health", help="totals of the batch log, with alerts")
+    health.add_argument("--max-mean-seconds", type=float, default=60.0)
+    health.add_argument("--max-seconds", type=float, default=600.0)
+    health.add_argument("--max-errors", type=int, default=0)
     jobs.add_parser("register", help="register the gold tables in the catalog")
     return top
 
@@ -72,7 +92,7 @@ def _start_stream(spark: SparkSession, lake: Lake, args: argparse.Namespace) ->
     )
     every, checkpoint = None if args.drain else args.every, lake.checkpoint(args.job)
     if args.job == "landing":
-        run_until_stopped(start_landing(messages, lake, checkpoint, every))
+        run_until_stopped(start_landing(messages, lake, checkpoint, every, args.lenient_dates))
         return
     query = start_totals(
         messages,
@@ -81,7 +101,10 @@ def _start_stream(spark: SparkSession, lake: Lake, args: argparse.Namespace) ->
         args.mode,
         args.output,
         every,
+        lenient_dates=args.lenient_dates,
         state_partitions=args.state_partitions,
+        state_provider=args.state_provider,
+        new_checkpoint=args.new_checkpoint,
     )
     run_until_stopped(query)
 
@@ -90,19 +113,20 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     """Run one job; 1 where a day or a step failed."""
     lake = Lake(args.lake)
     layout = int(args.layout) if args.layout.isdigit() else args.layout
+    tables = {name: job.lenient() if args.lenient_dates else job for name, job in TABLES.items()}
     if args.job in TABLES:
         day = args.date or previous_day(tz=args.time_zone)
-        print(load_day(spark, lake, TABLES[args.job], day, layout=layout).text())
+        print(load_day(spark, lake, tables[args.job], day, layout=layout).text())
     elif args.job == "daily":
         day = args.date or previous_day(tz=args.time_zone)
         log = run_daily(
-            spark, lake, day, DAILY_ORDER, args.retries, args.retry_wait, args.time_limit, layout
+            spark, lake, day, tuple(tables.values()), args.retries, args.retry_wait, args.time_limit, layout
         )
         append_log(log.coalesce(1), lake.gold("run_logs"))
         log.show(truncate=False)
         return int(log.orderBy("start_time").tail(1)[0]["status"] != "succeed")
     elif args.job == "backfill":
-        report = backfill(spark, lake, TABLES[args.table], args.start, args.end, layout=layout)
+        report = backfill(spark, lake, tables[args.table], args.start, args.end, layout=layout)
         days = report.orderBy("partition").collect()
         for day in days:
             print(day["partition"], day["status"], day["rows"], day["error"] or "")
@@ -112,9 +136,17 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     elif args.job in ("landing", "totals"):
         _start_stream(spark, lake, args)
     elif args.job == "fold":
-        print("merged up to batch", fold(spark, totals_store(lake)))
+        print("merged up to batch", fold(spark, totals_store(lake), mode=args.mode))
         if args.drop:
-            print("batches deleted:", drop_folded(spark, totals_store(lake)))
+            print("batches deleted:", drop_folded(spark, totals_store(lake), args.mode))
+    elif args.job == "publish":
+        for table in TOTAL_GRAINS:
+            print(table, "at", publish_view(spark, totals_store(lake), table, None, args.mode, args.output))
+    elif args.job == "compact-log":
+        print("batches moved:", compact_batch_log(spark, totals_store(lake).log, args.before))
+    elif args.job == "health":
+        log = read_batch_log(spark, totals_store(lake).log)
+        log_health(log, args.max_mean_seconds, args.max_seconds, args.max_errors).show(truncate=False)
     elif args.job == "register":
         for table, name in register_gold(spark, lake).items():
             print(table, "as", name)

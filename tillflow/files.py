@@ -26,3 +26,8 @@ def day_folders(spark: SparkSession, root: str, start: str, end: str) -> dict[st
 def delete_folder(spark: SparkSession, folder: str) -> None:
     files, path = _file_system(spark, folder)
     files.delete(path, True)
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    files, path = _file_system(spark, folder)
+    files.mkdirs(path)

@@ -2,7 +2,8 @@
 
 The range is one Spark job instead of one per day, so the work spreads over all executors however
 uneven the days are. If that job fails, the range is halved until the failing days stand alone;
-all others are loaded.
+all others are loaded. Where both halves fail with one and the same error, it is not the days: all
+are reported with it at once.
 """
 
 from __future__ import annotations
@@ -18,20 +19,37 @@ from tillflow.sources.gold import rows_per_day
 from tillflow.sources.raw import holds_file, read_raw_day, read_raw_days
 
 
+def _write(
+    spark: SparkSession, lake: Lake, job: TableJob, days: list[str], layout: str | int
+) -> tuple[set[str], str | None]:
+    """Days written, or the error of the one job for all of them."""
+    try:
+        raw = read_raw_days(spark, lake, job.raw, days[0], days[-1])
+        return set(write_days(job.build(raw), lake.gold(job.gold), layout).days), None
+    except Exception as error:  # whatever failed is reported by day
+        return set(), f"{type(error).__name__}: {error}"
+
+
 def _load(
     spark: SparkSession, lake: Lake, job: TableJob, days: list[str], layout: str | int
 ) -> tuple[set[str], dict[str, str]]:
     """Days written, and the error of each day that failed."""
-    try:
-        raw = read_raw_days(spark, lake, job.raw, days[0], days[-1])
-        return set(write_days(job.build(raw), lake.gold(job.gold), layout).days), {}
-    except Exception as error:  # whatever failed, find out which days
-        if len(days) == 1:
-            return set(), {days[0]: f"{type(error).__name__}: {error}"}
-    middle = len(days) // 2
-    written, failed = _load(spark, lake, job, days[:middle], layout)
-    more, also_failed = _load(spark, lake, job, days[middle:], layout)
-    return written | more, {**failed, **also_failed}
+    written, error = _write(spark, lake, job, days, layout)
+    failed, open_ranges = {}, [(days, error)] if error else []
+    while open_ranges:
+        days, error = open_ranges.pop()
+        middle = len(days) // 2
+        halves = [half for half in (days[:middle], days[middle:]) if half and half != days]
+        tries = [(half, *_write(spark, lake, job, half, layout)) for half in halves]
+        errors = [error for _, _, error in tries]
+        if not halves or (None not in errors and len(set(errors)) == 1):
+            failed |= dict.fromkeys(days, error)
+            continue
+        for half, done, error in tries:
+            written |= done
+            if error:
+                open_ranges.append((half, error))
+    return written, failed
 
 
 def backfill(

@@ -7,8 +7,10 @@ import time
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
+from functools import partial
+from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +37,12 @@ class TableJob:
     on_empty: str
     on_empty_backfill: str
 
+    def lenient(self) -> TableJob:
+        """The same job with the old rule for dates; stores have no date to parse."""
+        if "lenient_dates" not in signature(self.build).parameters:
+            return self
+        return replace(self, build=partial(self.build, lenient_dates=True))
+
 
 # update_date follows the row's own day, so one builder serves a single day and a range.
 PRODUCT = TableJob(

@@ -1,9 +1,9 @@
 """Star queries over the fact and its dimensions.
 
-Each dimension is counted first. Small ones are broadcast: the fact is joined where it is read, and
-no key can be hot. For a dimension beyond that bound the fact is summed by its key before the join;
-that combines on the map side, so a key with a third of all rows becomes one row per task, and what
-is shuffled grows with the distinct keys, not with the fact.
+Joins are plain equi joins: Spark broadcasts a side that turns out small in bytes, and splits the
+partitions of a hot key where it does not. So that a sale can meet one dimension row only, each
+dimension is cut to one row per key and checkpointed first; with both sides of a join plain
+shuffles, the split applies.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ FACT_SUMS = [
     "sale_liters",
     "sale_gallons",
 ]
-BROADCAST_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -32,13 +31,25 @@ class Side:
     on: list[str]
     unmatched: str
 
-    def join_to(self, facts: DataFrame, small: bool) -> DataFrame:
+    def join_to(self, facts: DataFrame) -> DataFrame:
         """Left join; facts without a partner keep their lines and count as unmatched."""
-        side = self.rows.withColumn("found", F.lit(True))
-        joined = facts.join(F.broadcast(side) if small else side, self.on, "left")
+        joined = facts.join(self.one_per_key().withColumn("found", F.lit(True)), self.on, "left")
         missing = F.when(F.col("found").isNull(), F.col("sales_lines")).otherwise(0)
         return joined.withColumn(self.unmatched, missing).drop("found")
 
+    def one_per_key(self) -> DataFrame:
+        """Of several rows of one key the least by its attributes, in their order."""
+        attributes = [name for name in self.rows.columns if name not in self.on]
+        if not attributes:
+            return self.rows.distinct().checkpoint()
+        least = F.min(F.struct(*attributes)).alias("least")
+        return self.rows.groupBy(*self.on).agg(least).select(*self.on, "least.*").checkpoint()
+
+
+def repeated_keys(dim: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of a dimension that more than one row holds, with their number of rows."""
+    return dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+
 
 def latest_day(dim: DataFrame) -> DataFrame:
     """The rows of the newest snapshot; the subquery's result prunes the other folders."""
@@ -70,15 +81,15 @@ def star_sales(
     stores: DataFrame | None = None,
     snapshot: str = "same_day",
     row_cap: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Sales sums by dimension attributes.
 
     `by` names fact and date columns as they are, product columns as `product_<name>` and store
     columns as `store_<name>`. snapshot "same_day" takes the dimension row of the fact's own day,
     "latest" the newest day of the dimension. Facts without a dimension row stay, under NULL, and
-    are counted in `unmatched_dates`, `unmatched_products` and `unmatched_stores`. row_cap keeps
-    the rows with the largest sales.
+    are counted in `unmatched_dates`, `unmatched_products` and `unmatched_stores`. Where a dimension
+    repeats a key, one row of it counts; `repeated_keys` lists them. row_cap keeps the rows with the
+    largest sales.
     """
     if snapshot not in ("same_day", "latest"):
         raise ValueError(f"unknown snapshot rule: {snapshot}")
@@ -86,19 +97,10 @@ def star_sales(
     for kind, dim in (("product", products), ("store", stores)):
         if dim is not None:
             sides.append(_snapshot_side(dim, kind, by, snapshot))
-    small = [side.rows.count() <= broadcast_rows for side in sides]
 
     facts, sums = fact.withColumn("sales_lines", F.lit(1).cast("long")), ["sales_lines", *FACT_SUMS]
-    for side, fits in zip(sides, small):
-        if fits:
-            facts, sums = side.join_to(facts, small=True), [*sums, side.unmatched]
-    large = [side for side, fits in zip(sides, small) if not fits]
-    if large:
-        keys = [name for side in large for name in side.on]
-        keys += [name for name in by if name in facts.columns]
-        facts = facts.groupBy(*dict.fromkeys(keys)).agg(*[F.sum(name).alias(name) for name in sums])
-    for side in large:
-        facts, sums = side.join_to(facts, small=False), [*sums, side.unmatched]
+    for side in sides:
+        facts, sums = side.join_to(facts), [*sums, side.unmatched]
     result = facts.groupBy(*by).agg(*[F.sum(name).alias(name) for name in sums])
     if row_cap is not None:
         result = result.orderBy(F.desc("sale_dollars"), *by).limit(row_cap)

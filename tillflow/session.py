@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -34,11 +35,11 @@ def spark_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 def work_folder(spark: SparkSession) -> str:
     """A new folder for one run under the shared checkpoint folder the cluster names.
 
-    Only a local master may fall back to a temporary folder of the machine.
+    Only a master of one process may fall back to a temporary folder of the machine.
     """
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="tillflow-")
         spark.conf.set(CHECKPOINT_DIR, shared)

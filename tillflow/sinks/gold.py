@@ -9,7 +9,7 @@ Layout of the files:
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -23,11 +23,7 @@ class WriteReport:
     days: list[str] = field(default_factory=list)
 
     def text(self) -> str:
-        return (
-            f"Output path: {self.path}\n"
-            f"Execution time (seconds): {self.seconds:.2f}\n"
-            f"Number of rows written: {self.rows}"
-        )
+        return f"{self.rows} rows written to {self.path} in {self.seconds:.2f} s"
 
 
 def _arrange(df: DataFrame, layout: str | int, *columns: str) -> DataFrame:
@@ -57,8 +53,16 @@ def write_table(df: DataFrame, path: str, layout: str | int = "scan") -> WriteRe
 
 
 def write_day(df: DataFrame, root: str, day: str, layout: str | int = "scan") -> WriteReport:
-    """Replace one day, also by nothing; other days are not touched."""
-    return write_table(df.drop("partition"), f"{root}/partition={day}", layout)
+    """Replace one day, also by nothing; other days are not touched.
+
+    A dynamic overwrite swaps the folder when the write is committed, so a write that fails leaves
+    the old day as it was. It cannot write an empty day: that is replaced by itself.
+    """
+    path = f"{root}/partition={day}"
+    report = write_days(df.withColumn("partition", F.lit(day)), root, layout)
+    if not report.rows:
+        return write_table(df.drop("partition").limit(0), path)
+    return replace(report, path=path)
 
 
 def write_days(df: DataFrame, root: str, layout: str | int = "scan") -> WriteReport:

@@ -14,20 +14,15 @@ from __future__ import annotations
 import signal
 import threading
 from dataclasses import dataclass
-from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame
 
 from tillflow.operators.totals import all_totals
-from tillflow.schemas import STREAM_LOG, TOTAL_GRAINS
 from tillflow.session import session_conf
-from tillflow.sinks.logs import write_batch_log
 from tillflow.sources.messages import parse_sales
+from tillflow.streaming.progress import BatchLog, LoggedQuery
+from tillflow.streaming.runs import first_id
 
-# Fixed value: the name this job signs its log rows with.
-APP_NAME = "LIQUOR_SALES_BI_STREAMING"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -49,52 +44,20 @@ class TotalsStore:
     def base(self) -> str:
         return f"{self.root}/base"
 
+    @property
+    def snapshot_base(self) -> str:
+        return f"{self.root}/snapshot_base"
+
     @property
     def log(self) -> str:
         return f"{self.root}/streaming_logs"
 
 
-def log_rows(
-    batch_id: int, started: datetime, ended: datetime, records: int, error: str | None = None
-) -> list[tuple]:
-    """Log rows of one batch, one per totals table."""
-    seconds, status = (ended - started).total_seconds(), "error" if error else "succeed"
-    return [
-        (APP_NAME, table, started, ended, seconds, records, status, error, batch_id)
-        for table in TOTAL_GRAINS
-    ]
-
-
-def log_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, STREAM_LOG).coalesce(1)
-
-
 def _publish(totals: DataFrame, folder: str, batch_id: int) -> None:
     """A batch owns its folder; writing it again replaces it."""
     totals.write.mode("overwrite").partitionBy("table_name").parquet(f"{folder}/batch_id={batch_id}")
 
 
-def publish_delta(
-    messages: DataFrame, batch_id: int, store: TotalsStore, keep_blank: bool, lenient_dates: bool
-) -> None:
-    """One pass over the batch for all three tables, then its log rows.
-
-    A failed batch is logged and raised again: the query stops, and a restart replays the batch.
-    record_count comes from the same pass; a map task that had to be repeated counts twice in it.
-    """
-    spark, started, seen = messages.sparkSession, datetime.now(timezone.utc), Observation()
-    counted = messages.observe(seen, F.count(F.lit(1)).alias("messages"))
-    try:
-        totals = all_totals(parse_sales(counted, keep_blank), lenient_dates)
-        _publish(totals, store.deltas, batch_id)
-    except Exception as error:
-        rows = log_rows(batch_id, started, datetime.now(timezone.utc), 0, str(error))
-        write_batch_log(log_frame(spark, rows), store.log)
-        raise
-    rows = log_rows(batch_id, started, datetime.now(timezone.utc), seen.get["messages"])
-    write_batch_log(log_frame(spark, rows), store.log)
-
-
 def start_totals(
     messages: DataFrame,
     store: TotalsStore,
@@ -105,44 +68,54 @@ def start_totals(
     keep_blank: bool = False,
     lenient_dates: bool = False,
     state_partitions: int | None = None,
-    state_provider: str | None = None,
+    state_provider: str | None = ROCKSDB,
     name: str = "running_totals",
-) -> StreamingQuery:
+    new_checkpoint: str = "refuse",
+) -> LoggedQuery:
     """Start the query; the caller keeps the handle. every=None drains what is there and stops.
 
     state_partitions and state_provider apply to mode="state"; the number of state partitions is
-    fixed by the first run of a checkpoint.
+    fixed by the first run of a checkpoint. new_checkpoint says what a checkpoint without history
+    does to a store that holds batches: "refuse", "continue" (mode="delta" only, for messages no
+    run has read yet) or "replace".
     """
+    if mode not in ("delta", "state"):
+        raise ValueError(f"unknown mode: {mode}")
+    if mode == "state" and new_checkpoint == "continue":
+        raise ValueError("new state starts from nothing: it cannot continue earlier totals")
+    spark = messages.sparkSession
+    first = first_id(spark, store.root, checkpoint, new_checkpoint)
     if mode == "delta":
 
         def publish(batch: DataFrame, batch_id: int) -> None:
-            publish_delta(batch, batch_id, store, keep_blank, lenient_dates)
+            totals = all_totals(parse_sales(batch, keep_blank), lenient_dates)
+            _publish(totals, store.deltas, first + batch_id)
 
         writer = messages.writeStream.foreachBatch(publish)
-    elif mode == "state":
+    else:
 
         def publish(batch: DataFrame, batch_id: int) -> None:
-            _publish(batch, store.snapshots, batch_id)
+            _publish(batch, store.snapshots, first + batch_id)
 
         totals = all_totals(parse_sales(messages, keep_blank), lenient_dates)
         writer = totals.writeStream.outputMode(output).foreachBatch(publish)
-    else:
-        raise ValueError(f"unknown mode: {mode}")
     trigger = {"processingTime": every} if every else {"availableNow": True}
     settings = {
         "spark.sql.shuffle.partitions": state_partitions,
-        "spark.sql.streaming.stateStore.providerClass": state_provider,
+        "spark.sql.streaming.stateStore.providerClass": state_provider if mode == "state" else None,
     }
-    with session_conf(messages.sparkSession, settings):
-        return (
+    log = BatchLog(spark, store.log, name, first)
+    with session_conf(spark, settings):
+        query = (
             writer.queryName(name)
             .option("checkpointLocation", checkpoint)
             .trigger(**trigger)
             .start()
         )
+    return LoggedQuery(query, log)
 
 
-def run_until_stopped(query: StreamingQuery) -> None:
+def run_until_stopped(query: LoggedQuery) -> None:
     """Wait for the query; SIGTERM or SIGINT stops it without killing the driver."""
     asked = threading.Event()
     numbers = (signal.SIGTERM, signal.SIGINT)
