@@ -1,9 +1,8 @@
 """Star queries over the fact and its dimensions.
 
-Joins are plain equi joins: Spark broadcasts a side that turns out small in bytes, and splits the
-partitions of a hot key where it does not. So that a sale can meet one dimension row only, each
-dimension is cut to one row per key and checkpointed first; with both sides of a join plain
-shuffles, the split applies.
+Joins are plain equi joins: Spark broadcasts a side that is small in bytes, and splits the partitions
+of a hot key where none is. So that a sale can meet one dimension row only, each dimension is cut to
+one row per key and written first; with both sides of a join plain shuffles, the split applies.
 """
 
 from __future__ import annotations
@@ -13,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.session import work_folder
+
 FACT_SUMS = [
     "sale_bottles",
     "sale_dollars",
@@ -41,9 +42,16 @@ class Side:
         """Of several rows of one key the least by its attributes, in their order."""
         attributes = [name for name in self.rows.columns if name not in self.on]
         if not attributes:
-            return self.rows.distinct().checkpoint()
+            return _written(self.rows.distinct())
         least = F.min(F.struct(*attributes)).alias("least")
-        return self.rows.groupBy(*self.on).agg(least).select(*self.on, "least.*").checkpoint()
+        return _written(self.rows.groupBy(*self.on).agg(least).select(*self.on, "least.*"))
+
+
+def _written(rows: DataFrame) -> DataFrame:
+    """The rows as a table in the shared work folder: its size is known before the join is planned."""
+    folder = work_folder(rows.sparkSession)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
 def repeated_keys(dim: DataFrame, keys: list[str]) -> DataFrame:
