@@ -179,13 +179,19 @@ def _stage_days(raw: DataFrame, root: str) -> None:
     writer.option("header", False).csv(root)
 
 
+# Raw tables with a folder for every day that was ordered on, each staged when it is asked for.
+DAYS = {
+    "rd_liquor_sales": raw_sales,
+    "rd_liquor_product": sold_products,
+    "rd_liquor_store": open_stores,
+}
+
+
 def _stage(spark: SparkSession, sf_dir: str, what: str) -> str:
     root = work_folder(spark)
     lake = Lake(root)
-    if what == "days":
-        _stage_days(raw_sales(spark, sf_dir), lake.raw("rd_liquor_sales"))
-        _stage_days(sold_products(spark, sf_dir), lake.raw("rd_liquor_product"))
-        _stage_days(open_stores(spark, sf_dir), lake.raw("rd_liquor_store"))
+    if what in DAYS:
+        _stage_days(DAYS[what](spark, sf_dir), lake.raw(what))
     elif what == "one_day":
         sales = raw_sales(spark, sf_dir).withColumn("partition", F.lit(LANDING_DAY))
         _stage_days(sales, lake.raw("rd_liquor_sales"))

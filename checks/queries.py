@@ -63,7 +63,7 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_sales_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = Lake(feed.staged(spark, sf_dir, "days"))
+    lake = Lake(feed.staged(spark, sf_dir, SALES.raw))
     start, end = feed.day_range(spark, sf_dir)
     return build_fact_sales(read_raw_days(spark, lake, SALES.raw, start, end))
 
@@ -364,7 +364,7 @@ def raw_landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _backfilled(spark: SparkSession, sf_dir: str, job: TableJob) -> tuple[Lake, DataFrame]:
-    lake = LakePair(Lake(feed.staged(spark, sf_dir, "days")), Lake(work_folder(spark)))
+    lake = LakePair(Lake(feed.staged(spark, sf_dir, job.raw)), Lake(work_folder(spark)))
     start, end = feed.day_range(spark, sf_dir)
     return lake, backfill(spark, lake, job, start, end)
 
