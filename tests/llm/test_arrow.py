@@ -338,6 +338,28 @@ def test_toxicity_on_held_out_rows(spark):
     assert severe > mild
 
 
+def test_toxicity_of_a_rare_language_on_held_out_rows(spark):
+    draw = random.Random(4)
+    common, rare = ([f"{a}{b}" for a in starts for b in ("ing", "ed", "ly", "er", "ment", "tion")] for starts in (("the", "or", "an", "st"), ("qua", "jo", "xu", "vi")))
+    rows, truth = [], {}
+    for i in range(4800):
+        few, toxic = i % 10 == 3, i % 8 == 0 or i % 160 == 3  # one toxic document in twenty-one is of the rare language
+        text = [draw.choice(rare if few else common) for _ in range(draw.randrange(30, 120))]
+        if toxic:
+            for _ in range(max(2, len(text) // 12)):
+                text[draw.randrange(len(text))] = draw.choice(["zwoll", "krimf", "bluxx"] if few else ["idiot", "scum", "trash"])
+        rows.append((i, " ".join(text)))
+        truth[i] = few, toxic
+    held = {i for i in truth if zlib.crc32(str(i).encode()) % 2}
+    labels = spark.createDataFrame([(i, int(toxic)) for i, (_, toxic) in truth.items() if i not in held], "doc_id long, toxic int")
+    # At most eight of the 100 sampled toxic documents are of the rare language.
+    got = {r.doc_id: r.toxic for r in toxicity.grade_documents(documents(spark, rows), toxicity.fit(documents(spark, rows), labels, 100)).collect()}
+    for few in (False, True):
+        found = [got[i] for i in held if truth[i] == (few, True)]
+        clean = [got[i] for i in held if truth[i] == (few, False)]
+        assert len(found) >= 10 and np.mean(found) > 0.9 and np.mean(clean) < 0.02, few
+
+
 def test_ordinal_fit_recovers_ordered_grades():
     draw = np.random.default_rng(3)
     x = draw.normal(size=(800, 3))

@@ -6,8 +6,11 @@ features go with the label in the training sample. One weight vector serves all
 P(grade <= k) = sigmoid(threshold_k - score), so severity is the expected grade, and a document is
 toxic where P(grade >= 1) reaches a half.
 
-The model is fitted on a bounded sample: at most SAMPLE labelled documents of each class, by a hash of
-the id. Scoring reads every word of every document.
+How well a feature goes with the label is counted on all labelled documents, and none is left out for
+being rare: a feature's column is scaled by its distance from chance, so that the penalty on its weight
+grows smoothly as the evidence gets thin. The weights are fitted on a bounded sample: at most SAMPLE
+labelled documents of each class, by a hash of the id; what no sampled document holds has weight 0.
+Scoring reads every word of every document.
 
 Defined results: NULL, empty and wordless texts have severity 0 and are not toxic; labels that are
 NULL or whose document is missing are not learned from; ids labelled twice count as toxic if any label
@@ -31,9 +34,9 @@ SAMPLE = 2500
 BITS = 18
 PREFIXES = (4, 5, 6, 7)
 GRADES = 4
-#: Features in fewer sampled documents, or less far from chance, get no weight.
-LEAST_DOCUMENTS = 3
-LEAST_DEVIATION = 5.0
+#: Standard deviations from chance at which a feature is trusted in full, and how fast trust falls below.
+FULL_DEVIATION = 5.0
+TRUST_POWER = 4
 #: Words added to every document's count, so that one word of a very short text is not a large share.
 DAMPING = 40
 STEPS = 400
@@ -83,10 +86,48 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["label", "n", "ids", "counts"])
 
 
+def _labelled(labels: DataFrame, name: str) -> DataFrame:
+    """doc_id and label of every document with a label of 0 or 1; the larger one, if it has both."""
+    known = labels.where(F.col(name).isin(0, 1) & F.col("doc_id").isNotNull())
+    return known.groupBy("doc_id").agg(F.max(name).alias("label"))
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weight of the documents that hold each feature, in all and toxic; feature -1 is every document."""
+    seen, hits = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
+    for batch in batches:
+        label, weight = batch["label"].to_numpy(), batch["weight"].to_numpy()
+        for row in range(batch.num_rows):
+            ids = np.unique(np.concatenate([*_features(words(batch["text"].slice(row, 1))), [-1]]))
+            seen[ids] += weight[row]
+            hits[ids] += weight[row] * (label[row] == 1)
+    found = np.flatnonzero(seen)
+    feature = np.where(found == 1 << BITS, -1, found).astype(np.int32)
+    columns = [pa.array(feature), pa.array(seen[found]), pa.array(hits[found])]
+    yield pa.RecordBatch.from_arrays(columns, ["feature", "seen", "hits"])
+
+
+def deviations(documents: DataFrame, labels: DataFrame, name: str) -> np.ndarray:
+    """By feature: how far its documents are from being toxic by chance, in standard deviations, over
+    all labelled documents. Rows with one id weigh one document together. The driver gets a row per
+    hashed feature."""
+    rows = documents.groupBy(F.col("doc_id").alias("row_id")).agg(F.count(F.lit(1)).alias("n_rows"))
+    known = _labelled(labels, name).join(rows, F.col("doc_id") == F.col("row_id"))
+    known = known.select(F.col("doc_id").alias("known_id"), "label", (1 / F.col("n_rows")).alias("weight"))
+    texts = documents.select(F.col("doc_id").alias("text_id"), F.col("text").cast("string").alias("text"))
+    drawn = texts.join(known, F.col("text_id") == F.col("known_id")).select("label", "weight", "text")
+    counted = drawn.mapInArrow(_counts, "feature int, seen double, hits double").groupBy("feature")
+    table = counted.agg(F.sum("seen").alias("seen"), F.sum("hits").alias("hits")).toArrow()
+    seen, hits = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
+    seen[table["feature"].to_numpy()], hits[table["feature"].to_numpy()] = table["seen"].to_numpy(), table["hits"].to_numpy()
+    rate = hits[-1] / max(seen[-1], 1e-9)
+    return ((hits - rate * seen) / np.sqrt(np.maximum(rate * (1 - rate) * seen, 1e-9)))[:-1]
+
+
 def training_sample(documents: DataFrame, labels: DataFrame, name: str, each: int) -> DataFrame:
     """label and text of at most `each` labelled documents of either class, by a hash of the id. The
     ids are at most 2 * each rows, so the documents meet them where they are read."""
-    known = labels.where(F.col(name).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(name).alias("label"))
+    known = _labelled(labels, name)
     order = [F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id")]
     chosen = [known.where(F.col("label") == value).orderBy(*order).limit(each) for value in (0, 1)]
     ids = chosen[0].union(chosen[1]).select(F.col("doc_id").alias("known_id"), "label")
@@ -96,8 +137,17 @@ def training_sample(documents: DataFrame, labels: DataFrame, name: str, each: in
 
 def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by Adam on the weighted log-likelihood; toxic and clean documents weigh
-    the same in all. (rows, columns, values): the sparse matrix; grades from 0."""
+    the same in all. (rows, columns, values): the sparse matrix, by rows; grades from 0."""
     n, levels = len(grades), GRADES - 1
+    # Sums by row and by column are sums of runs: the matrix is kept in both orders.
+    row_starts = np.flatnonzero(np.diff(rows, prepend=-1))
+    row_ids = rows[row_starts]
+    order = np.argsort(columns, kind="stable")
+    column_starts = np.flatnonzero(np.diff(columns[order], prepend=-1))
+    column_ids = columns[order][column_starts]
+    by_row, by_column = values.astype(np.float32), values[order].astype(np.float32)
+    columns, rows = columns.astype(np.int32), rows[order].astype(np.int32)
+    del order, values
     toxic = grades > 0
     weight = np.where(toxic, 0.5 / max(toxic.sum(), 1), 0.5 / max((~toxic).sum(), 1))
     parameters = np.concatenate([np.zeros(width), [1.0], np.zeros(levels - 1)])  # first threshold, log gaps
@@ -106,7 +156,8 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
         w = parameters[:width]
         gaps = np.exp(parameters[width + 1 :])
         thresholds = parameters[width] + np.concatenate([[0.0], np.cumsum(gaps)])
-        score = np.bincount(rows, values * w[columns], n)
+        score = np.zeros(n)
+        score[row_ids] = np.add.reduceat(by_row * w.astype(np.float32)[columns], row_starts)
         below = 1 / (1 + np.exp(np.clip(score[:, None] - thresholds[None, :], -60, 60)))  # P(grade <= k)
         padded = np.concatenate([np.zeros((n, 1)), below, np.ones((n, 1))], axis=1)
         chance = np.maximum(padded[np.arange(n), grades + 1] - padded[np.arange(n), grades], 1e-12)
@@ -119,7 +170,8 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
             by_threshold[k] = up[grades == k].sum() - down[grades == k + 1].sum()
         by_score = down - up
         gradient = np.empty_like(parameters)  # of the log-likelihood
-        gradient[:width] = np.bincount(columns, values * by_score[rows], width) - DECAY * w
+        gradient[:width] = -DECAY * w
+        gradient[column_ids] += np.add.reduceat(by_column * by_score.astype(np.float32)[rows], column_starts)
         gradient[width] = by_threshold.sum()
         gradient[width + 1 :] = [by_threshold[k + 1 :].sum() * gaps[k] for k in range(levels - 1)]
         mean = 0.9 * mean + 0.1 * gradient
@@ -141,24 +193,21 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordina
     columns = ids.flatten().to_numpy()
     owner = np.repeat(np.arange(len(rows), dtype=np.int32), np.diff(ids.offsets.to_numpy()))
 
-    # How far a feature's documents are from being toxic by chance, in standard deviations.
     width = 1 << BITS
-    seen = np.bincount(columns, minlength=width)
-    hits = np.bincount(columns[toxic[owner]], minlength=width)
-    rate = toxic.mean()
-    far = (hits - rate * seen) / np.sqrt(np.maximum(rate * (1 - rate) * seen, 1e-9))
-    used = (seen >= LEAST_DOCUMENTS) & (np.abs(far) >= LEAST_DEVIATION)
+    far = deviations(documents, labels, "toxic")
+    trust = np.minimum(1, np.abs(far) / FULL_DEVIATION) ** TRUST_POWER
+    used = (np.bincount(columns, minlength=width) > 0) & (trust > 0)
     if not used.any():
         return Ordinal()
     place, kept = np.cumsum(used) - 1, used[columns]
-    owner, columns, counted = owner[kept], place[columns[kept]], counted[kept]
-    shares = 100 * counted / (rows["n"].to_numpy() + DAMPING)[owner]
-    density = np.bincount(owner, shares * (far[used][columns] > 0), len(rows))
+    owner, columns, counted = owner[kept], columns[kept], counted[kept]
+    shares = 100 * counted / (rows["n"].to_numpy() + DAMPING)[owner] * trust[columns]
+    density = np.bincount(owner, shares * (far[columns] > 0), len(rows))
     cuts = np.quantile(density[toxic], [1 / 3, 2 / 3])
     grades = np.where(toxic, 1 + np.searchsorted(cuts, density, side="left"), 0)
-    fitted, thresholds = fit_ordinal(owner, columns, shares, grades, int(used.sum()))
+    fitted, thresholds = fit_ordinal(owner, place[columns], shares, grades, int(used.sum()))
     weights = np.zeros(width, np.float32)
-    weights[used] = 100 * fitted
+    weights[used] = 100 * fitted * trust[used]
     return Ordinal(weights, thresholds)
 
 
