@@ -360,6 +360,14 @@ def test_toxicity_of_a_rare_language_on_held_out_rows(spark):
         assert len(found) >= 10 and np.mean(found) > 0.9 and np.mean(clean) < 0.02, few
 
 
+def test_samples_hold_one_row_of_each_id(spark):
+    rows = [(i, f"word{i} text") for i in range(8)] + [(3, f"other {k}") for k in range(50)] + [(4, None)]
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(8)], "doc_id long, quality int, toxic int")
+    assert toxicity.training_sample(documents(spark, rows), labels, "toxic", 10).count() == 8
+    model = quality.fit(documents(spark, rows), labels)
+    assert len(model.labels) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(8))
+
+
 def test_ordinal_fit_recovers_ordered_grades():
     draw = np.random.default_rng(3)
     x = draw.normal(size=(800, 3))

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.llm.toxicity import one_text_each
 from tillflow.llm.words import _BYTE, Words, _powers, buffers, mix, slices, words
 
 SAMPLE = 5000
@@ -120,8 +121,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Neighb
     chosen = known.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(sample)
     ids = F.broadcast(chosen.select(F.col("doc_id").alias("known_id"), "label"))  # at most `sample` rows
     texts = documents.select(F.col("doc_id").alias("text_id"), F.col("text").cast("string").alias("text"))
-    drawn = texts.join(ids, F.col("text_id") == F.col("known_id")).select("label", "text", F.col("text_id"))
-    drawn = drawn.select("label", "text")
+    drawn = one_text_each(texts.join(ids, F.col("text_id") == F.col("known_id")))
     rows = drawn.mapInArrow(_sparse, "label int, n int, ids array<int>, counts array<int>").toArrow().combine_chunks()
     rows = rows.filter(pa.array(rows["n"].to_numpy() > 0))
     if not len(rows):

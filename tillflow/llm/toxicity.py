@@ -124,15 +124,22 @@ def deviations(documents: DataFrame, labels: DataFrame, name: str) -> np.ndarray
     return ((hits - rate * seen) / np.sqrt(np.maximum(rate * (1 - rate) * seen, 1e-9)))[:-1]
 
 
+def one_text_each(drawn: DataFrame) -> DataFrame:
+    """label and text of one row of each text_id, by a hash of the text: an id with many rows counts
+    once, and its rows are reduced where they are read."""
+    least = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")
+    return drawn.groupBy("text_id", "label").agg(least).select("label", "text")
+
+
 def training_sample(documents: DataFrame, labels: DataFrame, name: str, each: int) -> DataFrame:
-    """label and text of at most `each` labelled documents of either class, by a hash of the id. The
+    """label and text of at most `each` labelled documents of either class, a row each, by a hash of the id. The
     ids are at most 2 * each rows, so the documents meet them where they are read."""
     known = _labelled(labels, name)
     order = [F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id")]
     chosen = [known.where(F.col("label") == value).orderBy(*order).limit(each) for value in (0, 1)]
     ids = chosen[0].union(chosen[1]).select(F.col("doc_id").alias("known_id"), "label")
     texts = documents.select(F.col("doc_id").alias("text_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(ids), F.col("text_id") == F.col("known_id")).select("label", "text")
+    return one_text_each(texts.join(F.broadcast(ids), F.col("text_id") == F.col("known_id")))
 
 
 def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -199,7 +206,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordina
     used = (np.bincount(columns, minlength=width) > 0) & (trust > 0)
     if not used.any():
         return Ordinal()
-    place, kept = np.cumsum(used) - 1, used[columns]
+    place, kept = (np.cumsum(used) - 1).astype(np.int32), used[columns]
     owner, columns, counted = owner[kept], columns[kept], counted[kept]
     shares = 100 * counted / (rows["n"].to_numpy() + DAMPING)[owner] * trust[columns]
     density = np.bincount(owner, shares * (far[columns] > 0), len(rows))
