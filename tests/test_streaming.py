@@ -24,6 +24,7 @@ from tillflow.streaming.current import (
 )
 from tillflow.streaming.debug import print_totals, start_memory_totals
 from tillflow.streaming.landing import REJECTS, TABLE, start_landing
+from tillflow.streaming.progress import BatchLog
 from tillflow.streaming.totals import ROCKSDB, TotalsStore, run_until_stopped, start_totals
 
 BATCHES = [
@@ -359,3 +360,13 @@ def test_landing(spark, feed, lake, tmp_path):
     if os.path.exists(crc):
         os.remove(crc)
     assert run() == expected
+
+
+def test_a_log_that_is_not_whole_is_an_error(spark, tmp_path):
+    log = BatchLog(spark, str(tmp_path / "log"), "late", 0)
+    with pytest.raises(TimeoutError):
+        log.finish(0.01)
+    assert log.listening
+    log.ended.set()
+    log.finish(0.01)
+    assert not log.listening
