@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillflow.llm import mixing, rules, secrets, warc
+from tillflow.llm import mixing, phrases, rules, secrets, warc
 
 
 def _quoted(value: str) -> str:
@@ -170,7 +170,40 @@ def _warc() -> str:
     FROM own"""
 
 
+def _lowered(text: str) -> str:
+    return f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _phrases() -> str:
+    """All runs of words are listed and counted; parts and longer candidates are looked up by their text."""
+    return rf"""
+    WITH pieces AS (
+      SELECT doc_id, coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array({_lowered("text")}, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+      FROM documents),
+    total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+    places AS (SELECT doc_id, lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+    grams AS (
+      SELECT lang, words, array_to_string(w[i:i + words - 1], ' ') AS phrase, count(*) AS a, min(doc_id) AS first_doc
+      FROM places, (SELECT unnest(range(1, {phrases.LONGEST + 1})) AS words) WHERE i + words - 1 <= len(w)
+      GROUP BY ALL HAVING count(*) >= {phrases.LEAST}),
+    candidates AS (SELECT *, string_split(phrase, ' ') AS p FROM grams WHERE words > 1),
+    cuts AS (SELECT *, unnest(range(1, words)) AS k FROM candidates),
+    rated AS (
+      SELECT c.lang, c.phrase, c.k, x.a AS l, y.a AS r, {phrases.SCALE}::HUGEINT * c.a // (x.a + y.a) AS score
+      FROM cuts c JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(p[1:k], ' ')
+      JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(p[k + 1:], ' ')),
+    best AS (SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    shorter AS (SELECT lang, a, p, words, unnest(range(2, words)) AS m FROM candidates WHERE words > 2),
+    within AS (SELECT lang, a, array_to_string(p[i:i + m - 1], ' ') AS phrase FROM (SELECT *, unnest(range(1, words - m + 2)) AS i FROM shorter)),
+    around AS (SELECT lang, phrase, max(a) AS around FROM within GROUP BY ALL)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score, first_doc
+    FROM candidates JOIN best USING (lang, phrase) JOIN total USING (lang) LEFT JOIN around USING (lang, phrase)
+    WHERE around IS NULL OR 100::HUGEINT * around < {phrases.INSIDE_PERCENT}::HUGEINT * a
+    QUALIFY rank <= {phrases.PER_LANG}"""
+
+
 ORACLE: dict[str, str] = {
+    "op11_phrases": _phrases(),
     "op2_secret_scan": _secret_scan(),
     "op8_quality_rules": _quality_rules(),
     "op9_mixing": _mixing(),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import minhash, mixing, pieces, quality, rules, secrets, sharding, toxicity, vectors, warc
+from tillflow.llm import minhash, mixing, phrases, pieces, quality, rules, secrets, sharding, toxicity, vectors, warc
 from tillflow.llm.common import table
 from tillflow.llm.oracle import ORACLE as ORACLE
 
@@ -54,6 +54,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derive(warc.responses(table(spark, sf_dir, "pages")))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -67,5 +71,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_mixing,
         op10_warc,
+        op11_phrases,
     )
 }
