@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import minhash, mixing, phrases, pieces, quality, rules, secrets, sharding, toxicity, vectors, warc
+from tillflow.llm import minhash, mixing, phrases, pieces, quality, rules, secrets, sharding, spelling, toxicity, vectors, warc
 from tillflow.llm.common import table
 from tillflow.llm.oracle import ORACLE as ORACLE
 
@@ -58,6 +58,10 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -72,5 +76,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_mixing,
         op10_warc,
         op11_phrases,
+        op12_spelling,
     )
 }
