@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillflow.llm import mixing, phrases, rules, secrets, warc
+from tillflow.llm import decontaminate, mixing, phrases, rules, secrets, warc
 
 
 def _quoted(value: str) -> str:
@@ -202,7 +202,43 @@ def _phrases() -> str:
     QUALIFY rank <= {phrases.PER_LANG}"""
 
 
+def _decontaminate() -> str:
+    """All runs of words of the windows' lengths are listed; near windows are looked up term by term."""
+    apart, words, slop = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", decontaminate.WORDS, decontaminate.SLOP
+    return rf"""
+    WITH split AS (SELECT doc_id, regexp_extract_all({_lowered("text")}, '{apart}') AS w FROM documents),
+    items AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_lowered("text")}, '{apart}') AS w FROM benchmark),
+    windows AS (
+      SELECT DISTINCT item, array_to_string(w[i:i + {words - 1}], ' ') AS phrase, w[i:i + {words - 1}] AS terms
+      FROM (SELECT item, w, unnest(range(1, greatest(len(w) - {words - 1}, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+    sizes AS (SELECT DISTINCT len(terms) AS size FROM windows),
+    runs AS (
+      SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM split), sizes WHERE i + size - 1 <= len(w)),
+    met AS (SELECT DISTINCT doc_id, i, size, item FROM runs JOIN windows USING (phrase)),
+    hit AS (SELECT doc_id, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM met) GROUP BY doc_id),
+    found AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM met GROUP BY doc_id),
+    words AS (SELECT doc_id, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS pos FROM split),
+    asked AS (SELECT DISTINCT phrase, unnest(terms) AS term, unnest(range(0, len(terms))) AS off FROM windows),
+    postings AS (SELECT * FROM words SEMI JOIN asked USING (term)),
+    counts AS (SELECT term, count(*) AS n FROM postings GROUP BY term),
+    ranked AS (SELECT a.*, row_number() OVER (PARTITION BY phrase ORDER BY n, off) AS nth, count(*) OVER (PARTITION BY phrase) AS size FROM asked a JOIN counts USING (term)),
+    open AS (SELECT r.phrase, size, p.doc_id, pos - off AS start FROM ranked r JOIN postings p USING (term) WHERE nth = 1),
+    thinned AS (
+      SELECT DISTINCT o.* FROM open o JOIN ranked r ON r.phrase = o.phrase AND nth = 2
+      JOIN postings p ON p.doc_id = o.doc_id AND p.term = r.term AND p.pos BETWEEN start + off - {slop} AND start + off + {slop}),
+    near AS (
+      SELECT o.phrase, o.doc_id, start FROM thinned o JOIN ranked r USING (phrase)
+      JOIN postings p ON p.doc_id = o.doc_id AND p.term = r.term AND p.pos BETWEEN start + off - {slop} AND start + off + {slop}
+      GROUP BY ALL HAVING count(DISTINCT off) = any_value(o.size)),
+    near_items AS (SELECT doc_id, count(DISTINCT item) AS n_near_items FROM near JOIN windows USING (phrase) GROUP BY doc_id)
+    SELECT s.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near_items, 0)::BIGINT AS n_near_items
+    FROM split s LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOIN near_items USING (doc_id)"""
+
+
 ORACLE: dict[str, str] = {
+    "op13_decontamination": _decontaminate(),
     "op11_phrases": _phrases(),
     "op2_secret_scan": _secret_scan(),
     "op8_quality_rules": _quality_rules(),

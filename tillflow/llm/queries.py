@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import minhash, mixing, phrases, pieces, quality, rules, secrets, sharding, spelling, toxicity, vectors, warc
+from tillflow.llm import decontaminate, minhash, mixing, phrases, pieces, quality, rules, secrets, sharding, spelling, toxicity, vectors, warc
 from tillflow.llm.common import table
 from tillflow.llm.oracle import ORACLE as ORACLE
 
@@ -62,6 +62,10 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -77,5 +81,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_warc,
         op11_phrases,
         op12_spelling,
+        op13_decontamination,
     )
 }
