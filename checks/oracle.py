@@ -229,6 +229,20 @@ SELECT strftime(d, '%Y%m%d') AS "partition",
        CASE WHEN n IS NULL THEN 'no_data' ELSE 'ok' END AS status,
        cast(coalesce(n, 0) AS bigint) AS "rows"
 FROM days LEFT JOIN open ON d = o""",
+    "backfill_changed_days": f"""WITH {ORDER_DAYS},
+open AS (SELECT cast(o_orderdate AS date) AS o, count(DISTINCT o_custkey) AS n FROM orders GROUP BY 1)
+SELECT strftime(d, '%Y%m%d') AS "partition",
+       CASE WHEN n IS NULL THEN 'no_data' WHEN d = (SELECT max(o) FROM open) THEN 'ok' ELSE 'unchanged' END AS status,
+       cast(CASE WHEN d = (SELECT max(o) FROM open) THEN n ELSE 0 END AS bigint) AS "rows"
+FROM days LEFT JOIN open ON d = o""",
+    "day_versions": f"""WITH {FACT},
+versions AS (
+  SELECT 1 AS version, * FROM fact
+  UNION ALL SELECT 2, * FROM fact
+  WHERE sale_bottles > 30 OR "partition"[1:4] < (SELECT max("partition")[1:4] FROM fact)
+)
+SELECT version, "partition", count(*) AS sales_lines, cast(sum(sale_bottles) AS bigint) AS sale_bottles
+FROM versions GROUP BY ALL""",
     "daily_run_log": f"""WITH {RAW_SALES}, {PRODUCT}, {STORE}
 SELECT '{LANDING_DAY}' AS run_date, step, cast(1 AS integer) AS try_number, 'succeed' AS status,
        cast(n AS bigint) AS "rows"
@@ -252,6 +266,7 @@ per_day AS (SELECT cast(o_orderdate + INTERVAL 25 YEAR AS date) AS o, count(*) A
     "f001_stream_state_update": STORE_TOTALS,
     "f002_stream_state_complete": VENDOR_TOTALS,
     "stream_current_totals": STORE_TOTALS,
+    "stream_levelled_totals": STORE_TOTALS,
     "stream_restart_totals": PRODUCT_TOTALS,
     "totals_table_sql": VENDOR_TOTALS,
     "stream_message_parse": f"""WITH {RAW_SALES}
@@ -268,6 +283,13 @@ SELECT {MESSAGE_COLUMNS}, address, pack, NULL, sale_gallons FROM raw_sales WHERE
 SELECT "partition", invoice_line_no, process_date AS "date", store, itemno, address, sale_bottles,
        sale_dollars
 FROM raw_sales WHERE category NOT IN ('Brand#1', 'Brand#2')""",
+    "raw_landing_compacted": f"""WITH {RAW_SALES}
+SELECT "partition", invoice_line_no, process_date AS "date", store, itemno, address, sale_bottles,
+       sale_dollars
+FROM raw_sales WHERE category NOT IN ('Brand#1', 'Brand#2')
+UNION ALL
+SELECT "partition", invoice_line_no, process_date, store, itemno, address, sale_bottles, sale_dollars
+FROM raw_sales WHERE sale_bottles = 1""",
     "raw_landing_rejects": f"""WITH {RAW_SALES}
 SELECT invoice_line_no FROM raw_sales WHERE category IN ('Brand#1', 'Brand#2')""",
     "star_month_category": f"""WITH {FACT}, {PRODUCT}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,20 +15,24 @@ from tillflow.operators.calendar import build_dim_date, date_spine, with_calenda
 from tillflow.operators.dimensions import build_dim_product, build_dim_store
 from tillflow.operators.facts import build_fact_sales
 from tillflow.operators.totals import all_totals, totals
-from tillflow.plans.backfill import backfill
+from tillflow.plans.backfill import backfill, backfill_versions
 from tillflow.plans.catalog import register_table
 from tillflow.plans.daily import PRODUCT, SALES, STORE, TableJob, load_dates, load_day, run_daily
 from tillflow.plans.health import log_health
 from tillflow.plans.star import star_sales
 from tillflow.schemas import FACT_SALES, SALES_LINE
 from tillflow.session import work_folder
+from tillflow.sinks.gold import replace_days
 from tillflow.sinks.logs import compact_batch_log, read_batch_log
 from tillflow.sources.gold import read_gold, read_gold_days
 from tillflow.sources.messages import parquet_messages, parse_sales
 from tillflow.sources.raw import read_raw_days
+from tillflow.streaming.compaction import compact_landing, drop_compacted
 from tillflow.streaming.current import current_totals, drop_folded, fold, publish_view
-from tillflow.streaming.landing import REJECTS, TABLE, start_landing
+from tillflow.streaming.landing import REJECTS, TABLE, land_batch, start_landing
+from tillflow.streaming.levels import drop_levelled, fold_days, levelled_totals
 from tillflow.streaming.totals import TotalsStore, start_totals
+from tillflow.versions import commit, read_manifest, read_versioned, vacuum
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -278,6 +283,16 @@ def stream_restart_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return money(current_totals(spark, store, "f003_product_tot_sales"), *TOTAL_MONEY)
 
 
+@query
+def stream_levelled_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folded by day twice, with the folded batches gone: totals out of the days and the newest batch."""
+    store = _streamed(spark, sf_dir)
+    fold_days(spark, store, up_to=0)
+    fold_days(spark, store)
+    drop_levelled(spark, store)
+    return money(levelled_totals(spark, store, "f001_store_tot_sales"), *TOTAL_MONEY)
+
+
 @query
 def totals_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current totals as a catalog view over a Parquet folder, read in SQL."""
@@ -354,6 +369,20 @@ def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw_days(spark, lake, TABLE, start, end).select(*columns, "sale_bottles", "sale_dollars")
 
 
+@query
+def raw_landing_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All landed days compacted and their batches dropped; then a batch of small sales lands late."""
+    lake = _landed(spark, sf_dir)
+    compact_landing(spark, lake, TABLE, "99999999", up_to=10**6)
+    drop_compacted(spark, lake, TABLE, grace_seconds=-60)
+    sales = feed.raw_sales(spark, sf_dir).where("sale_bottles = 1")
+    late = sales.select(F.to_csv(F.struct(*SALES_LINE.names)).cast("binary").alias("value"))
+    land_batch(late, 10**6 + 1, lake)
+    start, end = feed.day_range(spark, sf_dir)
+    columns = ["partition", "invoice_line_no", "date", "store", "itemno", "address"]
+    return read_raw_days(spark, lake, TABLE, start, end).select(*columns, "sale_bottles", "sale_dollars")
+
+
 @query
 def raw_landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejects = spark.read.text(_landed(spark, sf_dir).raw(REJECTS))
@@ -394,6 +423,37 @@ def backfill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("partition", "status", "rows")
 
 
+@query
+def day_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day as of two manifests: all sales, and after a reload that found large sales only in the
+    days of the newest year. Days that the reload left empty are not there; superseded days stay readable."""
+    root = f"{work_folder(spark)}/fact"
+    fact = _fact(spark, sf_dir)
+    replace_days(fact, root, "rebalance")
+    year = feed.day_range(spark, sf_dir)[1][:4]
+    asked = [day for day in read_manifest(spark, root).days if day.startswith(year)]
+    replace_days(fact.where(F.col("partition").startswith(year) & (F.col("sale_bottles") > 30)), root, "rebalance", asked)
+    vacuum(spark, root)
+    days = [
+        read_versioned(spark, root, FACT_SALES, manifest=read_manifest(spark, root, number)).withColumn("version", F.lit(number))
+        for number in (1, 2)
+    ]
+    sums = [F.count(F.lit(1)).alias("sales_lines"), F.sum("sale_bottles").alias("sale_bottles")]
+    return days[0].unionByName(days[1]).groupBy("version", "partition").agg(*sums)
+
+
+@query
+def backfill_changed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of every day of a second backfill: one day's raw files came anew in between."""
+    raw = Lake(feed.staged(spark, sf_dir, STORE.raw))
+    lake, (start, end) = LakePair(raw, Lake(work_folder(spark))), feed.day_range(spark, sf_dir)
+    backfill_versions(spark, lake, STORE, start, end)
+    # The staged files are only read: that the last day came from others is entered by hand.
+    commit(spark, lake.gold(STORE.gold), lambda now: replace(now, days=now.days | {end: replace(now.days[end], source="other files")}))
+    report = backfill_versions(spark, lake, STORE, start, end, changed_only=True)
+    return report.select("partition", "status", "rows")
+
+
 @query
 def daily_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = LakePair(Lake(feed.staged(spark, sf_dir, "one_day")), Lake(work_folder(spark)))

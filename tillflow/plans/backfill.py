@@ -8,39 +8,37 @@ are reported with it at once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.files import day_folders
 from tillflow.lake import Lake, days_between
 from tillflow.plans.daily import EmptyInput, TableJob
-from tillflow.sinks.gold import write_day, write_days
+from tillflow.sinks.gold import replace_days, write_day, write_days
 from tillflow.sources.gold import rows_per_day
-from tillflow.sources.raw import holds_file, read_raw_day, read_raw_days
+from tillflow.sources.raw import day_sources, holds_file, read_raw_day, read_raw_days, read_raw_list
+from tillflow.versions import is_versioned, read_manifest
 
 
-def _write(
-    spark: SparkSession, lake: Lake, job: TableJob, days: list[str], layout: str | int
-) -> tuple[set[str], str | None]:
+def _tried(load: Callable[[list[str]], list[str]], days: list[str]) -> tuple[set[str], str | None]:
     """Days written, or the error of the one job for all of them."""
     try:
-        raw = read_raw_days(spark, lake, job.raw, days[0], days[-1])
-        return set(write_days(job.build(raw), lake.gold(job.gold), layout).days), None
+        return set(load(days)), None
     except Exception as error:  # whatever failed is reported by day
         return set(), f"{type(error).__name__}: {error}"
 
 
-def _load(
-    spark: SparkSession, lake: Lake, job: TableJob, days: list[str], layout: str | int
-) -> tuple[set[str], dict[str, str]]:
+def _loaded(load: Callable[[list[str]], list[str]], days: list[str]) -> tuple[set[str], dict[str, str]]:
     """Days written, and the error of each day that failed."""
-    written, error = _write(spark, lake, job, days, layout)
+    written, error = _tried(load, days)
     failed, open_ranges = {}, [(days, error)] if error else []
     while open_ranges:
         days, error = open_ranges.pop()
         middle = len(days) // 2
         halves = [half for half in (days[:middle], days[middle:]) if half and half != days]
-        tries = [(half, *_write(spark, lake, job, half, layout)) for half in halves]
+        tries = [(half, *_tried(load, half)) for half in halves]
         errors = [error for _, _, error in tries]
         if not halves or (None not in errors and len(set(errors)) == 1):
             failed |= dict.fromkeys(days, error)
@@ -69,7 +67,15 @@ def backfill(
     on_empty, days = on_empty or job.on_empty_backfill, days_between(start, end)
     if not days:
         raise ValueError(f"no day between {start} and {end}")
-    written, failed = _load(spark, lake, job, days, layout)
+    root = lake.gold(job.gold)
+    if is_versioned(spark, root):
+        return backfill_versions(spark, lake, job, start, end, on_empty, layout)
+
+    def load(some: list[str]) -> list[str]:
+        raw = read_raw_days(spark, lake, job.raw, some[0], some[-1])
+        return write_days(job.build(raw), root, layout).days
+
+    written, failed = _loaded(load, days)
     emptied = []
     if on_empty != "skip":
         folders = day_folders(spark, lake.raw(job.raw), start, end)
@@ -79,19 +85,59 @@ def backfill(
         raise EmptyInput(f"no rows in {job.raw} for {', '.join(emptied)}")
     for day in emptied:
         # A dynamic overwrite cannot empty a day; the few such days are written one by one.
-        write_day(job.build(read_raw_day(spark, lake, job.raw, day)), lake.gold(job.gold), day)
+        write_day(job.build(read_raw_day(spark, lake, job.raw, day)), root, day)
+    status = dict.fromkeys(emptied, "emptied") | dict.fromkeys(written, "ok") | dict.fromkeys(failed, "failed")
+    return _report(spark, lake, job, days, status, failed)
 
-    def status(day: str) -> str:
-        if day in failed:
-            return "failed"
-        if day in written:
-            return "ok"
-        return "emptied" if day in emptied else "no_data"
 
+def _report(
+    spark: SparkSession, lake: Lake, job: TableJob, days: list[str], status: dict[str, str], failed: dict[str, str]
+) -> DataFrame:
     report = spark.createDataFrame(
-        [(day, status(day), failed.get(day)) for day in days],
+        [(day, status.get(day, "no_data"), failed.get(day)) for day in days],
         "partition STRING, status STRING, error STRING",
     )
-    counts = rows_per_day(spark, lake, job.gold, start, end)
+    counts = rows_per_day(spark, lake, job.gold, days[0], days[-1])
     rows = F.when(F.col("status") == "ok", F.col("count")).otherwise(0).alias("rows")
     return report.join(counts, "partition", "left").select("partition", "status", rows, "error")
+
+
+def backfill_versions(
+    spark: SparkSession,
+    lake: Lake,
+    job: TableJob,
+    start: str,
+    end: str,
+    on_empty: str | None = None,
+    layout: str | int = "scan",
+    changed_only: bool = False,
+) -> DataFrame:
+    """Load the days from start to end into a versioned table, all of them in one manifest, and return
+    one status row per day as `backfill` does.
+
+    Every day keeps a hash of the raw files it came from. With `changed_only` a day whose files still
+    have that hash is not read again, and its status is "unchanged"; a range without a change runs no
+    job and leaves the manifest as it is. Hashes are taken before the files are read, so a file that
+    comes meanwhile is a change for the next run.
+    """
+    on_empty, days, root = on_empty or job.on_empty_backfill, days_between(start, end), lake.gold(job.gold)
+    if not days:
+        raise ValueError(f"no day between {start} and {end}")
+    sources = day_sources(spark, lake, job.raw, start, end)
+    held = read_manifest(spark, root).days
+    same = {day for day in sources if changed_only and day in held and held[day].source == sources[day]}
+    todo = sorted(set(sources) - same)
+
+    def load(some: list[str]) -> list[str]:
+        raw = read_raw_list(spark, lake, job.raw, some)
+        asked = some if on_empty == "write" else ()
+        return replace_days(job.build(raw), root, layout, asked, sources).days
+
+    written, failed = _loaded(load, todo) if todo else (set(), {})
+    quiet = [day for day in todo if day not in written and day not in failed]
+    if quiet and on_empty == "raise":
+        raise EmptyInput(f"no rows in {job.raw} for {', '.join(quiet)}")
+    status = dict.fromkeys(same, "unchanged") | dict.fromkeys(written, "ok") | dict.fromkeys(failed, "failed")
+    if on_empty == "write":
+        status = dict.fromkeys(quiet, "emptied") | status
+    return _report(spark, lake, job, days, status, failed)

@@ -13,14 +13,16 @@ from functools import partial
 from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillflow.lake import Lake, previous_day
 from tillflow.operators.calendar import END, START, build_dim_date
 from tillflow.operators.dimensions import build_dim_product, build_dim_store
 from tillflow.operators.facts import build_fact_sales
 from tillflow.schemas import RUN_LOG
-from tillflow.sinks.gold import WriteReport, write_day, write_table
+from tillflow.sinks.gold import WriteReport, replace_days, write_day, write_table
 from tillflow.sources.raw import read_raw_day
+from tillflow.versions import is_versioned
 
 
 @dataclass(frozen=True)
@@ -68,8 +70,10 @@ def load_day(
     run_date: str | None = None,
     on_empty: str | None = None,
     layout: str | int = "scan",
+    versioned: bool = False,
 ) -> WriteReport:
-    """Replace one gold day. A missing raw day fails before anything is written."""
+    """Replace one gold day. A missing raw day fails before anything is written. A versioned table
+    changes over by a manifest; it stays versioned, whatever the caller says."""
     day, on_empty = run_date or previous_day(), on_empty or job.on_empty
     raw = read_raw_day(spark, lake, job.raw, day)
     root = lake.gold(job.gold)
@@ -77,6 +81,8 @@ def load_day(
         if on_empty == "raise":
             raise EmptyInput(f"no rows in {job.raw} for {day}")
         return WriteReport(f"{root}/partition={day}", 0.0, 0)
+    if versioned or is_versioned(spark, root):
+        return replace_days(job.build(raw).withColumn("partition", F.lit(day)), root, layout, asked=[day])
     return write_day(job.build(raw), root, day, layout)
 
 
@@ -118,6 +124,7 @@ def run_daily(
     retry_wait: float = 300,
     time_limit: float | None = 600,
     layout: str | int = "scan",
+    versioned: bool = False,
 ) -> DataFrame:
     """Run the jobs in order and stop at the first that fails for good.
 
@@ -131,7 +138,7 @@ def run_daily(
             started, path, rows, error = datetime.now(timezone.utc), None, None, None
             try:
                 with _time_limit(spark, time_limit):
-                    report = load_day(spark, lake, job, day, layout=layout)
+                    report = load_day(spark, lake, job, day, layout=layout, versioned=versioned)
                 path, rows = report.path, report.rows
             except Exception as failure:  # every failure is a log row
                 error = f"{type(failure).__name__}: {failure}"

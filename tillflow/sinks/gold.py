@@ -9,11 +9,14 @@ Layout of the files:
 from __future__ import annotations
 
 import time
+from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tillflow.versions import commit, new_load, replaced
+
 
 @dataclass(frozen=True)
 class WriteReport:
@@ -74,3 +77,19 @@ def write_days(df: DataFrame, root: str, layout: str | int = "scan") -> WriteRep
 
     arranged = _arrange(df, layout, "partition")
     return _write(arranged, root, {"days": F.collect_set("partition")}, save)
+
+
+def replace_days(
+    df: DataFrame, root: str, layout: str | int = "scan", asked: Iterable[str] = (), sources: dict[str, str] | None = None
+) -> WriteReport:
+    """Replace the days of a versioned table that have a row in df, and by nothing those `asked` for
+    that have none, all at once: readers see every one of them as before, or every one as after."""
+    spark, load = df.sparkSession, new_load()
+
+    def save(out: DataFrame) -> None:
+        out.write.partitionBy("partition").parquet(f"{root}/{load}")
+
+    report = _write(_arrange(df, layout, "partition"), root, {"days": F.collect_set("partition")}, save)
+    entries = replaced(report.days, load, asked, sources)
+    commit(spark, root, lambda now: replace(now, days=now.days | entries))
+    return report
