@@ -7,10 +7,10 @@ of the rarest terms, and those within reach of one, as no other posting can be p
 benchmark's terms are too many to broadcast, it stores the postings of all of them instead, by a
 shuffled join. Lists are intersected with their offsets taken off: the rarest term's postings say
 where a window would begin, the second rarest's thin these out, the others' confirm what is left.
-With `slop` 0 a match is the exact phrase; with more, every term lies within so many places of
-where the rarest one puts it.
+A term counts if it lies within `slop` places of where the rarest one puts it.
 
-Texts are known by their SHA-256, so copies of a text share their postings and matches, and rows need
+One pass finds both: a match whose terms all lie where they should is the phrase, one that needs `slop`
+is proximity. Texts are known by 128 bits of their SHA-256, so copies of a text share their postings and matches, and rows need
 no id. Nothing but DataFrame functions touches a text, and no text is shuffled.
 
 Defined results: NULL and empty texts have no words and no hits; repeated rows and NULL ids give a row
@@ -41,7 +41,8 @@ def _split(text: Column) -> Column:
 
 
 def _address(text: Column) -> Column:
-    return F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256)
+    """128 bits of a text's SHA-256, as 32 digits."""
+    return F.substring(F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256), 1, 32)
 
 
 def _hinted(frame: DataFrame, size: Column, most: int) -> tuple[DataFrame, bool]:
@@ -74,40 +75,47 @@ def plan(phrases: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def index(documents: DataFrame, terms: DataFrame, leads: DataFrame, fits: bool, reach: int) -> DataFrame:
-    """The postings: term, address, pos, without repeats. `leads` are the rarest terms."""
+    """The postings: term, address, pos, and whether the posting itself was looked for. A posting within
+    reach of several is there several times. `leads` are the rarest terms."""
     # The address goes before the words, so that both are made once a text; words count from 1.
     listed = documents.select(F.concat(F.array(_address(F.col("text"))), _split(F.col("text"))).alias("w"))
     words = listed.select("w", F.posexplode("w").alias("pos", "term")).where("pos > 0")
+    address = F.unhex(F.expr("w[0]")).alias("address")
     if not fits:
-        return words.join(terms, "term", "left_semi").select("term", F.expr("w[0]").alias("address"), "pos").distinct()
+        leads = leads.withColumn("lead", F.lit(True))
+        return words.select("term", address, "pos").join(terms, "term", "left_semi").join(leads, "term", "left").withColumn("lead", F.coalesce("lead", F.lit(False)))
     around = F.explode(F.sequence(F.greatest(F.col("pos") - reach, F.lit(1)), F.least(F.col("pos") + reach, F.size("w") - 1))).alias("at")
-    near = words.join(leads, "term", "left_semi").select("w", around).select(F.expr("w[at]").alias("term"), F.expr("w[0]").alias("address"), F.col("at").alias("pos"))
-    return near.distinct()
+    near = words.join(leads, "term", "left_semi").select("w", "pos", around)
+    return near.select(F.expr("w[at]").alias("term"), address, F.col("at").alias("pos"), (F.col("at") == F.col("pos")).alias("lead")).join(terms, "term", "left_semi")
 
 
-def _confirmed(open_: DataFrame, plans: DataFrame, postings: DataFrame, first: int, count: int | None, slop: int) -> DataFrame:
-    """The open matches (phrase, address, start) whose lists first, first + 1, … hold their terms."""
-    lists = F.slice("lists", first + 1, 100 if count is None else count)
-    asked = plans.select("phrase", F.size(lists).alias("wanted"), F.explode_outer(lists).alias("l"))
-    rows = open_.join(asked, "phrase")
-    done = rows.where("wanted = 0").select("phrase", "address", "start")
+def _confirmed(open_: DataFrame, plans: DataFrame, postings: DataFrame, first: int, count: int, slop: int) -> DataFrame:
+    """The open matches (id, address, start, exact) whose lists first, first + 1, … hold their terms;
+    `exact` stays true where all of them do so in their places."""
+    lists = F.slice("lists", first + 1, count)
+    asked = plans.select("id", F.size(lists).alias("wanted"), F.explode_outer(lists).alias("l"))
+    rows = open_.join(asked, "id")
+    done = rows.where("wanted = 0").select("id", "address", "start", "exact")
     off = F.explode(F.sequence(F.lit(-slop), F.lit(slop))) if slop else F.lit(0)
-    looked = rows.where("wanted > 0").select("phrase", "address", "start", "wanted", F.col("l.offset").alias("offset"), F.col("l.term").alias("term"), off.alias("off"))
+    looked = rows.where("wanted > 0").select("id", "address", "start", "exact", "wanted", F.col("l.offset").alias("offset"), F.col("l.term").alias("term"), off.alias("off"))
     looked = looked.withColumn("pos", F.expr("start + offset + off"))
     met = looked.join(postings, ["address", "pos", "term"], "left_semi")
-    offsets = F.count(F.lit(1)) if not slop else F.size(F.collect_set("offset"))
-    kept = met.groupBy("phrase", "address", "start", "wanted").agg(offsets.alias("met")).where("met = wanted")
-    return kept.select("phrase", "address", "start").unionByName(done)
+    # First by list, so that what is counted needs no sets.
+    by_list = met.groupBy("id", "address", "start", "exact", "wanted", "offset").agg(F.max((F.col("off") == 0).cast("int")).alias("placed"))
+    kept = by_list.groupBy("id", "address", "start", "exact", "wanted").agg(F.count(F.lit(1)).alias("met"), F.sum("placed").alias("placed")).where("met = wanted")
+    return kept.select("id", "address", "start", (F.col("exact") & (F.col("placed") == F.col("wanted"))).alias("exact")).unionByName(done)
 
 
-def matches(plans: DataFrame, postings: DataFrame, slop: int = 0, most: int = BROADCAST_BYTES) -> DataFrame:
-    """phrase, address, start: where windows occur, every term within `slop` places of its own."""
-    plans, _ = _hinted(plans, F.length("phrase") * 2 + F.col("size") * 40, most)
-    rarest = plans.select("phrase", F.expr("lists[0].term").alias("term"), F.expr("lists[0].offset").alias("offset"))
-    open_ = postings.join(rarest, "term").select("phrase", "address", (F.col("pos") - F.col("offset")).alias("start"))
-    open_ = open_.where(F.col("start") >= 1 - slop)
-    thinned = staged(_confirmed(open_, plans, postings, 1, 1, slop))
-    return _confirmed(thinned, plans, postings, 2, None, slop)
+def matches(plans: DataFrame, postings: DataFrame, slop: int = SLOP, most: int = BROADCAST_BYTES) -> DataFrame:
+    """id, address, start, exact: where the windows of `plans` (id, size, lists) occur, with every term within
+    `slop` places of its own; exact: as a phrase."""
+    plans, _ = _hinted(plans, F.col("size") * 40, most)
+    rarest = plans.select("id", F.expr("lists[0].term").alias("term"), F.expr("lists[0].offset").alias("offset"))
+    open_ = postings.where("lead").join(rarest, "term").select("id", "address", (F.col("pos") - F.col("offset")).alias("start"))
+    open_ = open_.where(F.col("start") >= 1 - slop).distinct().withColumn("exact", F.lit(True))
+    seconds = plans.select(F.expr("lists[1].term").alias("term")).distinct()
+    thinned = staged(_confirmed(open_, plans, postings.join(seconds, "term", "left_semi"), 1, 1, slop))
+    return _confirmed(thinned, plans, postings, 2, 1000, slop)
 
 
 def decontaminate(
@@ -120,30 +128,28 @@ def decontaminate(
         phrases = held.select("phrase", "terms").dropDuplicates(["phrase"])
         terms, fits = _hinted(staged(phrases.select(F.explode("terms").alias("term")).distinct()), F.length("term") * 2, most)
         counts = staged(term_counts(documents, terms, fits))
-        plans = staged(plan(phrases, counts))
+        plans = staged(plan(phrases, counts).withColumn("id", F.monotonically_increasing_id()))
         leads = plans.select(F.expr("lists[0].term").alias("term")).distinct()
         leads = F.broadcast(leads) if fits else leads
         postings = staged(index(documents, terms, leads, fits, words - 1 + slop))
-        exact = staged(matches(plans, postings, 0, most).join(plans.select("phrase", "size"), "phrase"))
-        near = matches(plans, postings, slop, most)
+        met = staged(matches(plans, postings, slop, most))
+        exact = met.where("exact").join(plans.select("id", "size"), "id")
 
         places = exact.select("address", "start", (F.col("start") + F.col("size")).alias("stop")).distinct()
         before = Window.partitionBy("address").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
         fresh = F.col("stop") - F.greatest("start", F.coalesce(F.max("stop").over(before), F.col("start")))
         hit = places.select("address", F.greatest(fresh, F.lit(0)).alias("fresh")).groupBy("address").agg(F.sum("fresh").cast("long").alias("n_hit"))
-        owners = held.select("phrase", "item")
-        of_exact = exact.join(owners, "phrase").select("address", "item").distinct().withColumn("exact", F.lit(True))
-        of_near = near.join(owners, "phrase").select("address", "item").distinct().withColumn("exact", F.lit(False))
+        owners = held.join(plans.select("phrase", "id"), "phrase").select("id", "item")
+        of_text = met.join(owners, "id").groupBy("address", "item").agg(F.max(F.col("exact").cast("int")).alias("exact"))
         # A text's items are at most those of the benchmark.
-        found = of_exact.unionByName(of_near).groupBy("address").agg(
-            F.sort_array(F.collect_set(F.when(F.col("exact"), F.col("item")))).alias("found"),
-            F.count_if(~F.col("exact")).alias("n_near_items"),
+        found = of_text.groupBy("address").agg(
+            F.sort_array(F.collect_set(F.when(F.col("exact") == 1, F.col("item")))).alias("found"), F.count(F.lit(1)).alias("n_near_items")
         )
         per_text = staged(found.join(hit, "address", "left"))
 
         split = _split(F.col("text"))
         ends = (F.col("w")[0] == "").cast("long") + (F.element_at("w", -1) == "").cast("long")
-        rows = documents.select("doc_id", _address(F.col("text")).alias("address"), split.alias("w"))
+        rows = documents.select("doc_id", F.unhex(_address(F.col("text"))).alias("address"), split.alias("w"))
         rows = rows.select("doc_id", "address", F.greatest(F.size("w") - ends, F.lit(0)).cast("long").alias("n_words"))
         joined = rows.join(per_text, "address", "left")
         n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
