@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm.common import scratch, staged
 from tillflow.llm.words import _BYTE, _LOWER, _powers, buffers, mix
+from tillflow.session import session_conf
 
 LEAST = 30
 LONGEST = 4
@@ -44,6 +45,8 @@ TABLE_BITS = 20
 #: Bytes of text that one round of array operations takes, and fingerprints summed before they leave.
 SLICE_BYTES = 1 << 20
 HELD = 1 << 21
+#: Whole texts that a Python worker takes at a time.
+ARROW_ROWS = 1000
 
 _BREAKER = np.zeros(256, dtype=bool)
 _BREAKER[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -128,34 +131,48 @@ def _salt(langs: pa.Array) -> np.ndarray:
     return np.array(each, np.uint64)[coded.indices.to_numpy()] if len(langs) else np.zeros(0, np.uint64)
 
 
-def may_be_in(table: np.ndarray, prints: np.ndarray) -> np.ndarray:
+def may_be_in(table: np.ndarray, prints: np.ndarray, buckets: int) -> np.ndarray:
     """Whether all three bits of each fingerprint are set; true for all that the table was made of."""
     one, low = np.uint64(1), np.uint64(63)
-    bits = one << (prints & low) | one << (prints >> np.uint64(6) & low) | one << (prints >> np.uint64(12) & low)
-    return table[(prints >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] & bits == bits
+    third = (prints >> np.uint64(32)) % np.uint64(buckets) & low
+    bits = one << (prints >> np.uint64(20) & low) | one << (prints >> np.uint64(26) & low) | one << third
+    return table[(prints & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)] & bits == bits
 
 
-def _open_grams(run: Run, n: int, tables: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _open_grams(run: Run, n: int, tables: dict[int, np.ndarray], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Runs of n words whose shorter runs, and themselves if their table is there, may be frequent."""
     at, prints = run.grams(n)
     if n > 1 and n not in tables and len(at):
         shorter_at, shorter = run.grams(n - 1)
         good = np.zeros(len(run.prints) + 1, bool)
-        good[shorter_at[may_be_in(tables[n - 1], shorter)]] = True
+        good[shorter_at[may_be_in(tables[n - 1], shorter, buckets)]] = True
         kept = good[at] & good[at + 1]
     elif n in tables:
-        kept = may_be_in(tables[n], prints)
+        kept = may_be_in(tables[n], prints, buckets)
     else:
         return at, prints
     return at[kept], prints[kept]
 
 
-def _summed(prints: list[np.ndarray]) -> pa.RecordBatch:
-    each, n = np.unique(np.concatenate(prints), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(each.view(np.int64)), pa.array(n.astype(np.int64))], ["print", "n"])
-
-
-def frequent_table(texts: DataFrame, n: int, tables: dict[int, np.ndarray], least: int) -> np.ndarray:
+def _packed(prints: list[np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Summed fingerprints by bucket, one row for those seen once and one, with counts, for the others:
+    four bytes a fingerprint where a row of its own takes three times as many."""
+    every = np.concatenate(prints)
+    every = (every >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32) | every & np.uint64(0xFFFFFFFF)
+    each, n = np.unique(every, return_counts=True)
+    for rows in (n == 1, n > 1):
+        some, counts = each[rows], n[rows]
+        if not len(some):
+            continue
+        bucket = (some >> np.uint64(32)).astype(np.int32)
+        heads = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        cuts = pa.array(np.append(heads, len(some)).astype(np.int32))
+        low = pa.ListArray.from_arrays(cuts, pa.array(some.astype(np.uint32).view(np.int32)))
+        many = pa.nulls(len(heads), pa.list_(pa.int32())) if counts[0] == 1 else pa.ListArray.from_arrays(cuts, pa.array(counts.astype(np.int32)))
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[heads]), low, many], ["bucket", "prints", "counts"])
+
+
+def frequent_table(texts: DataFrame, n: int, tables: dict[int, np.ndarray], least: int, buckets: int) -> np.ndarray:
     """The bits of the fingerprints of runs of n words that occur `least` times or more."""
     shared = texts.sparkSession.sparkContext.broadcast(tables)  # 8 MB a length
 
@@ -163,19 +180,22 @@ def frequent_table(texts: DataFrame, n: int, tables: dict[int, np.ndarray], leas
         held, size = [], 0
         for batch in batches:
             for run in runs(batch["text"], _salt(batch["lang"])):
-                _, prints = _open_grams(run, n, shared.value)
+                _, prints = _open_grams(run, n, shared.value, buckets)
                 held.append(prints)
                 size += len(prints)
                 if size >= HELD:
-                    yield _summed(held)
+                    yield from _packed(held, buckets)
                     held, size = [], 0
         if size:
-            yield _summed(held)
-
-    counted = texts.mapInArrow(count, "print long, n long").groupBy("print").agg(F.sum("n").alias("n"))
-    place = F.shiftrightunsigned("print", 64 - TABLE_BITS)
-    bits = "shiftleft(1L, cast(print & 63 as int)) | shiftleft(1L, cast(shiftright(print, 6) & 63 as int)) | shiftleft(1L, cast(shiftright(print, 12) & 63 as int))"
-    rows = counted.where(F.col("n") >= least).groupBy(place.alias("place")).agg(F.bit_or(F.expr(bits)).alias("bits")).toArrow()
+            yield from _packed(held, buckets)
+
+    packed = texts.mapInArrow(count, "bucket int, prints array<int>, counts array<int>").repartition("bucket")
+    seen = packed.select("bucket", "counts", F.posexplode("prints").alias("at", "print"))
+    seen = seen.select("bucket", "print", F.coalesce(F.expr("counts[at]"), F.lit(1)).cast("long").alias("n"))
+    frequent = seen.groupBy("bucket", "print").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    bit = "shiftleft(1L, shiftrightunsigned(print, 20) & 63) | shiftleft(1L, shiftrightunsigned(print, 26)) | shiftleft(1L, bucket & 63)"
+    place = F.col("print").bitwiseAND((1 << TABLE_BITS) - 1)
+    rows = frequent.groupBy(place.alias("place")).agg(F.bit_or(F.expr(bit)).alias("bits")).toArrow()
     shared.unpersist()
     table = np.zeros(1 << TABLE_BITS, np.uint64)  # the rows are its numbers that are not 0
     table[rows["place"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
@@ -225,9 +245,11 @@ def frequent_phrases(documents: DataFrame, least: int = LEAST, longest: int = LO
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.col("text").cast("string").alias("text"),
     )
+    # More buckets than partitions, so that these are even; a fingerprint is a bucket and 32 bits.
+    buckets = 4 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tables: dict[int, np.ndarray] = {}
     for n in range(1, longest):
-        tables[n] = frequent_table(texts.select("lang", "text"), n, {k: t for k, t in tables.items() if k == n - 1}, least)
+        tables[n] = frequent_table(texts.select("lang", "text"), n, {k: t for k, t in tables.items() if k == n - 1}, least, buckets)
     shared = documents.sparkSession.sparkContext.broadcast(tables)
 
     def materialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +259,7 @@ def frequent_phrases(documents: DataFrame, least: int = LEAST, longest: int = LO
                 if not len(run.doc):
                     continue
                 for n in range(1, longest + 1):
-                    at, prints = _open_grams(run, n, shared.value)
+                    at, prints = _open_grams(run, n, shared.value, buckets)
                     if not len(at):
                         continue
                     phrases, counts, pointer = _materialised(run, n, at, prints)
@@ -260,7 +282,8 @@ def _part(begin: Column, length: Column) -> Column:
 
 def collocations(documents: DataFrame, least: int = LEAST, longest: int = LONGEST, per_lang: int = PER_LANG) -> DataFrame:
     """Each lang's first `per_lang` collocations: lang, rank, phrase, a, l, r, n, score, first_doc."""
-    with scratch(documents.sparkSession) as keep:
+    spark = documents.sparkSession
+    with scratch(spark) as keep, session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": ARROW_ROWS}):
         counts = staged(frequent_phrases(documents, least, longest))
         total = counts.where("words = 0").select("lang", F.col("a").alias("n"))
         phrases = counts.where("words > 0")
