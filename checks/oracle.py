@@ -267,6 +267,8 @@ per_day AS (SELECT cast(o_orderdate + INTERVAL 25 YEAR AS date) AS o, count(*) A
     "f002_stream_state_complete": VENDOR_TOTALS,
     "stream_current_totals": STORE_TOTALS,
     "stream_levelled_totals": STORE_TOTALS,
+    "f001_state_table": STORE_TOTALS,
+    "f001_stream_watermark": STORE_TOTALS,
     "stream_restart_totals": PRODUCT_TOTALS,
     "totals_table_sql": VENDOR_TOTALS,
     "stream_message_parse": f"""WITH {RAW_SALES}

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import feed
+from tillflow.files import delete_folder
 from tillflow.lake import Lake
 from tillflow.operators.calendar import build_dim_date, date_spine, with_calendar
 from tillflow.operators.dimensions import build_dim_product, build_dim_store
 from tillflow.operators.facts import build_fact_sales
-from tillflow.operators.totals import all_totals, totals
+from tillflow.operators.totals import COMMON_KEYS, GRAIN_KEYS, all_totals, merge_deltas, totals
 from tillflow.plans.backfill import backfill, backfill_versions
 from tillflow.plans.catalog import register_table
 from tillflow.plans.daily import PRODUCT, SALES, STORE, TableJob, load_dates, load_day, run_daily
@@ -28,7 +29,7 @@ from tillflow.sources.gold import read_gold, read_gold_days
 from tillflow.sources.messages import parquet_messages, parse_sales
 from tillflow.sources.raw import read_raw_days
 from tillflow.streaming.compaction import compact_landing, drop_compacted
-from tillflow.streaming.current import current_totals, drop_folded, fold, publish_view
+from tillflow.streaming.current import current_totals, drop_folded, fold, late_totals, publish_view, state_totals
 from tillflow.streaming.landing import REJECTS, TABLE, land_batch, start_landing
 from tillflow.streaming.levels import drop_levelled, fold_days, levelled_totals
 from tillflow.streaming.totals import TotalsStore, start_totals
@@ -214,11 +215,12 @@ def _drained(
     mode: str = "delta",
     output: str = "update",
     new_checkpoint: str = "refuse",
+    late_after: str | None = None,
 ) -> None:
     rows = feed.staged(spark, sf_dir, "messages")
     messages = parquet_messages(spark, rows, max_files_per_trigger=FILES_PER_TRIGGER)
     start_totals(
-        messages, store, checkpoint, mode, output, every=None, state_partitions=8, new_checkpoint=new_checkpoint
+        messages, store, checkpoint, mode, output, every=None, state_partitions=8, new_checkpoint=new_checkpoint, late_after=late_after
     ).awaitTermination()
 
 
@@ -283,6 +285,27 @@ def stream_restart_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return money(current_totals(spark, store, "f003_product_tot_sales"), *TOTAL_MONEY)
 
 
+@query
+def f001_state_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals read out of the query's state; nothing that it published is left."""
+    work = work_folder(spark)
+    store, checkpoint = TotalsStore(f"{work}/totals"), f"{work}/checkpoint"
+    _drained(spark, sf_dir, store, checkpoint, "state")
+    delete_folder(spark, store.snapshots)
+    return money(state_totals(spark, checkpoint, "f001_store_tot_sales"), *TOTAL_MONEY)
+
+
+@query
+def f001_stream_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timely and late totals add up to the totals of all messages, which come in no order of time."""
+    work = work_folder(spark)
+    store = TotalsStore(f"{work}/totals")
+    _drained(spark, sf_dir, store, f"{work}/checkpoint", late_after="30 days")
+    table = "f001_store_tot_sales"
+    both = current_totals(spark, store, table).unionByName(late_totals(spark, store, table))
+    return money(merge_deltas(both, COMMON_KEYS + GRAIN_KEYS[table]), *TOTAL_MONEY)
+
+
 @query
 def stream_levelled_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Folded by day twice, with the folded batches gone: totals out of the days and the newest batch."""

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQueryException
 
 from tests.conftest import rows_of, sales_line
 from tillflow import schemas
-from tillflow.operators.totals import totals
+from tillflow.operators.totals import COMMON_KEYS, merge_deltas, totals
 from tillflow.session import session_conf
 from tillflow.sinks.logs import compact_batch_log, read_batch_log
 from tillflow.sources.messages import kafka_messages, parquet_messages, parse_sales, whole_file_messages
@@ -20,7 +20,9 @@ from tillflow.streaming.current import (
     current_totals,
     drop_folded,
     fold,
+    late_totals,
     publish_view,
+    state_totals,
 )
 from tillflow.streaming.debug import print_totals, start_memory_totals
 from tillflow.streaming.landing import REJECTS, TABLE, start_landing
@@ -370,3 +372,59 @@ def test_a_log_that_is_not_whole_is_an_error(spark, tmp_path):
     log.ended.set()
     log.finish(0.01)
     assert not log.listening
+
+
+LATE = [
+    [{"process_date": "2024-12-10", "hour_id": "12"}, {"process_date": "2024-12-01"}],
+    [{"process_date": "2024-12-08", "hour_id": "12", "sale_bottles": 3}, {"process_date": "2024-12-08", "hour_id": "11"}, {"process_date": "no date"}],
+    [{"process_date": "2024-12-20", "hour_id": "x"}],
+    [{"process_date": "2024-12-17"}, {"process_date": "2024-12-18"}, {"process_date": "2024-12-01", "sale_bottles": 9}],
+]
+
+
+def test_late_totals_are_kept_aside(spark, feed, store, tmp_path):
+    """The limit is two days behind the batches before: 8th, 12 h; then the 18th, 0 h."""
+    for batch in LATE:
+        feed.add(batch)
+    drain(feed, store, tmp_path, late_after="2 days")
+    table = "f002_vendor_tot_sales"
+    late = [(str(day), hour, n) for day, hour, n in rows_of(late_totals(spark, store, table), "prd_id", "hour_id", "sale_bottles")]
+    assert late == [("2024-12-01", "08", 9), ("2024-12-08", "11", 2), ("2024-12-17", "08", 2)]
+    both = current_totals(spark, store, table).unionByName(late_totals(spark, store, table))
+    assert rows_of(merge_deltas(both, COMMON_KEYS + ["vendor_name"])) == rows_of(totals(feed.batch(), table))
+    # A replay of the last batch finds the marks that it found.
+    for mark in ("3", ".3.crc"):
+        if os.path.exists(f"{tmp_path}/checkpoint/commits/{mark}"):
+            os.remove(f"{tmp_path}/checkpoint/commits/{mark}")
+    drain(feed, store, tmp_path, late_after="2 days")
+    assert [(str(d), h, n) for d, h, n in rows_of(late_totals(spark, store, table), "prd_id", "hour_id", "sale_bottles")] == late
+
+
+def test_state_forgets_what_is_past_its_watermark(spark, feed, store, tmp_path):
+    for batch in LATE:
+        feed.add(batch)
+    query = drain(feed, store, tmp_path, mode="state", state_partitions=2, late_after="2 days")
+    assert query.late_rows > 0
+    checkpoint = str(tmp_path / "checkpoint")
+    held = {str(day) for (day,) in rows_of(state_totals(spark, checkpoint, "f001_store_tot_sales"), "prd_id")}
+    # The date that is none has no event time and stays.
+    assert held == {"2024-12-18", "2024-12-20", "None"}
+    # Spark drops what was late a batch before: the 17th still counts, the late line of the 1st does not.
+    published = rows_of(current_totals(spark, store, "f001_store_tot_sales", "state"), "prd_id", "sale_bottles")
+    days = {str(day) for day, _ in published}
+    assert days == {"2024-12-01", "2024-12-08", "2024-12-10", "2024-12-17", "2024-12-18", "2024-12-20", "None"}
+    assert [n for day, n in published if str(day) == "2024-12-01"] == [2]
+
+
+def test_state_holds_the_totals(spark, feed, store, tmp_path):
+    for batch in BATCHES:
+        feed.add(batch)
+    drain(feed, store, tmp_path, mode="state", state_partitions=2)
+    for table in schemas.TOTAL_GRAINS:
+        assert rows_of(state_totals(spark, str(tmp_path / "checkpoint"), table)) == rows_of(totals(feed.batch(), table))
+
+
+def test_complete_output_forgets_nothing(feed, store, tmp_path):
+    feed.add(BATCHES[0])
+    with pytest.raises(ValueError, match="late"):
+        drain(feed, store, tmp_path, mode="state", output="complete", late_after="2 days")

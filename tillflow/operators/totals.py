@@ -13,8 +13,27 @@ GRAIN_KEYS = {table: [f.name for f in fields] for table, fields in TOTAL_GRAINS.
 MEASURES = [field.name for field in TOTAL_MEASURES]
 
 
+#: Column of the event time, where totals carry it.
+EVENT = "event_time"
+
+
+def event_time(prd_id: Column, hour_id: Column) -> Column:
+    """When the hour of a total began; NULL without a day. What is no hour of a day counts as the first."""
+    hour = hour_id.try_cast("int")
+    known = F.when(hour.between(0, 23), hour).otherwise(0)
+    return F.timestamp_add("HOUR", known, prd_id.cast("timestamp"))
+
+
+def with_event_time(sales: DataFrame, late_after: str, lenient_dates: bool = False) -> DataFrame:
+    """Sales lines with their event time, and a watermark that follows its maximum at that distance."""
+    day = text_to_date("process_date", lenient_dates)
+    return sales.withColumn(EVENT, event_time(day, F.col("hour_id"))).withWatermark(EVENT, late_after)
+
+
 def _keyed(sales: DataFrame, lenient_dates: bool) -> DataFrame:
+    more = [EVENT] if EVENT in sales.columns else []
     return sales.select(
+        *more,
         "kafka_topic",
         text_to_date("process_date", lenient_dates).alias("prd_id"),
         "hour_id",
@@ -57,8 +76,10 @@ def all_totals(sales: DataFrame, lenient_dates: bool = False) -> DataFrame:
     The name comes from grouping(), not from NULL keys: a key may be NULL itself.
     """
     rows = _keyed(sales, lenient_dates)
-    grains = [COMMON_KEYS + keys for keys in GRAIN_KEYS.values()]
-    every_key = COMMON_KEYS + [key for keys in GRAIN_KEYS.values() for key in keys]
+    # With an event time among the keys a stream can forget totals that are past its watermark.
+    common = [name for name in (EVENT,) if name in rows.columns] + COMMON_KEYS
+    grains = [common + keys for keys in GRAIN_KEYS.values()]
+    every_key = common + [key for keys in GRAIN_KEYS.values() for key in keys]
     table_name = F.coalesce(
         *[F.when(F.grouping(keys[0]) == 0, table) for table, keys in GRAIN_KEYS.items()]
     )
