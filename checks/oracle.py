@@ -215,6 +215,7 @@ FROM fact GROUP BY 1""",
     "dim_product": PRODUCT_ROWS,
     "dim_product_csv": PRODUCT_ROWS,
     "dim_store": STORE_ROWS,
+    "store_state_lookup": STORE_ROWS,
     "dim_store_csv": STORE_ROWS,
     "backfill_dim_product": f"""WITH {PRODUCT}, {SOLD}
 SELECT product.* REPLACE (sold_date AS update_date, strftime(sold_date, '%Y%m%d') AS "partition")
@@ -234,6 +235,14 @@ open AS (SELECT cast(o_orderdate AS date) AS o, count(DISTINCT o_custkey) AS n F
 SELECT strftime(d, '%Y%m%d') AS "partition",
        CASE WHEN n IS NULL THEN 'no_data' WHEN d = (SELECT max(o) FROM open) THEN 'ok' ELSE 'unchanged' END AS status,
        cast(CASE WHEN d = (SELECT max(o) FROM open) THEN n ELSE 0 END AS bigint) AS "rows"
+FROM days LEFT JOIN open ON d = o""",
+    "empty_day_status": f"""WITH {ORDER_DAYS},
+open AS (
+  SELECT cast(o_orderdate AS date) AS o, count(DISTINCT o_custkey) FILTER (o_custkey % 4 = 0) AS n FROM orders GROUP BY 1
+)
+SELECT strftime(d, '%Y%m%d') AS "partition",
+       CASE WHEN n IS NULL THEN 'no_data' WHEN n = 0 THEN 'emptied' ELSE 'ok' END AS status,
+       cast(coalesce(n, 0) AS bigint) AS "rows"
 FROM days LEFT JOIN open ON d = o""",
     "day_versions": f"""WITH {FACT},
 versions AS (
@@ -305,6 +314,21 @@ FROM fact LEFT JOIN (SELECT * FROM store WHERE c_acctbal >= 0) ON store_id = id
     "star_same_day_product": f"""WITH {FACT}, {PRODUCT}
 SELECT vendor_name AS product_vendor_name, {STAR_SUMS}, cast(0 AS bigint) AS unmatched_products
 FROM fact JOIN product ON product_id = id GROUP BY 1""",
+    "star_quarter_sales": f"""WITH {FACT}
+SELECT strftime(date_key, '%Y%m') AS year_month, {STAR_SUMS}, cast(0 AS bigint) AS unmatched_dates
+FROM fact WHERE quarter(date_key) = 2 GROUP BY 1""",
+    "star_in_force_product": f"""WITH {FACT}, {PRODUCT}, {SOLD},
+snapshots AS (
+  SELECT product.id AS product_id, vendor_name AS product_vendor_name, strftime(sold_date, '%Y%m%d') AS product_as_of
+  FROM product JOIN sold USING (id) WHERE day(sold_date) <= 10
+)
+SELECT product_vendor_name, product_as_of, {STAR_SUMS}, {_unmatched("product_as_of", "unmatched_products")}
+FROM fact ASOF LEFT JOIN snapshots ON fact.product_id = snapshots.product_id AND "partition" >= product_as_of
+GROUP BY 1, 2""",
+    "star_bucketed_product": f"""WITH {FACT}, {PRODUCT}
+SELECT category AS product_category, vendor_name AS product_vendor_name, {STAR_SUMS},
+       {_unmatched("id", "unmatched_products")}
+FROM fact LEFT JOIN product ON product_id = id GROUP BY 1, 2""",
     "star_weekend_holiday": f"""WITH {FACT}, {PRODUCT}, {STORE}, day_flags AS (
   SELECT DISTINCT date_key AS d FROM fact
 )
@@ -320,6 +344,8 @@ GROUP BY 1, 2, 3, 4""",
 SELECT substr("partition", 1, 4) AS sale_year, product_id, count(*) AS sales_lines,
        {_money(("sum(sale_dollars)", "sale_dollars"), ("sum(gross_profit)", "gross_profit"))}
 FROM fact GROUP BY 1, 2""",
+    "log_quantiles": """SELECT event_type AS table_name, count(*) AS batches, rank::DOUBLE AS rank, true AS "close"
+FROM events, (SELECT unnest([0.5, 0.95, 0.99]) AS rank) GROUP BY 1, 3""",
     "log_health_report": """SELECT 'app ' || user_id AS app_name, props AS table_name,
        count(*) AS batches, cast(sum(event_id) AS bigint) AS records,
        cast(round(avg(value), 6) AS decimal(18,6)) AS mean_seconds,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from checks import feed
 from tillflow.files import delete_folder
+from tillflow.functions.codes import STATE_NAMES
 from tillflow.lake import Lake
 from tillflow.operators.calendar import build_dim_date, date_spine, with_calendar
 from tillflow.operators.dimensions import build_dim_product, build_dim_store
@@ -19,10 +20,11 @@ from tillflow.operators.totals import COMMON_KEYS, GRAIN_KEYS, all_totals, merge
 from tillflow.plans.backfill import backfill, backfill_versions
 from tillflow.plans.catalog import register_table
 from tillflow.plans.daily import PRODUCT, SALES, STORE, TableJob, load_dates, load_day, run_daily
-from tillflow.plans.health import log_health
-from tillflow.plans.star import star_sales
+from tillflow.plans.health import log_health, read_day_sketches, store_day_sketches, time_quantiles
+from tillflow.plans.star import sales_of_dates, star_bucketed, star_in_force, star_sales
 from tillflow.schemas import FACT_SALES, SALES_LINE
 from tillflow.session import work_folder
+from tillflow.sinks.buckets import one_per_id, write_bucketed
 from tillflow.sinks.gold import replace_days
 from tillflow.sinks.logs import compact_batch_log, read_batch_log
 from tillflow.sources.gold import read_gold, read_gold_days
@@ -89,6 +91,14 @@ def fact_sales_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SALES.lenient().build(raw.withColumn("process_date", written))
 
 
+@query
+def store_state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores with the names of states out of a code table, one code of which stands there twice."""
+    names = [*STATE_NAMES.items(), ("IA", "Iowa (old)"), (None, "nowhere")]
+    codes = spark.createDataFrame(names, "code STRING, name STRING")
+    return build_dim_store(feed.raw_store(spark, sf_dir), states=codes)
+
+
 @query
 def fact_profit_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = build_fact_sales(feed.raw_sales(spark, sf_dir, stores=False, vendors=False))
@@ -446,6 +456,15 @@ def backfill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("partition", "status", "rows")
 
 
+@query
+def empty_day_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of every day of a job that keeps active stores: days with none of them are emptied."""
+    active = replace(STORE, build=lambda raw: build_dim_store(raw).where("status = 'active'"))
+    lake = LakePair(Lake(feed.staged(spark, sf_dir, STORE.raw)), Lake(work_folder(spark)))
+    report = backfill_versions(spark, lake, active, *feed.day_range(spark, sf_dir))
+    return report.select("partition", "status", "rows")
+
+
 @query
 def day_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every day as of two manifests: all sales, and after a reload that found large sales only in the
@@ -524,6 +543,44 @@ def star_same_day_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return money(star_sales(_fact(spark, sf_dir), by, products=products.union(products)), *STAR_MONEY)
 
 
+@query
+def star_quarter_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second quarters by month, over the backfilled fact and a written date table: the scan opens the
+    days of those quarters only."""
+    lake, _ = _backfilled(spark, sf_dir, SALES)
+    first, last = (f"{day[:4]}-{day[4:6]}-{day[6:]}" for day in feed.day_range(spark, sf_dir))
+    load_dates(spark, lake, first, last)
+    dates = read_gold(spark, lake, "dim_iowa_date")
+    fact = sales_of_dates(read_gold(spark, lake, SALES.gold), dates, "quarter = 2")
+    return money(star_sales(fact, ["year_month"], dates), *STAR_MONEY)
+
+
+@query
+def star_in_force_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendors and day of the snapshot in force: products are listed in the first ten days of a month
+    only, with what was sold on them, and some were sold before they were ever listed."""
+    snapshots = feed.sold_products(spark, sf_dir).where(F.substring("partition", 7, 2) <= "10")
+    products = build_dim_product(snapshots)
+    result = star_in_force(_fact(spark, sf_dir), products, ["product_vendor_name", "product_as_of"])
+    return money(result, *STAR_MONEY)
+
+
+@query
+def star_bucketed_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories and vendors, out of a fact and a product table in sixteen buckets each."""
+    tables = {kind: f"{kind}_{uuid.uuid4().hex}" for kind in ("fact", "product")}
+    products = one_per_id(build_dim_product(feed.raw_product(spark, sf_dir)))
+    work = work_folder(spark)
+    write_bucketed(_fact(spark, sf_dir), tables["fact"], "product_id", 16, f"{work}/fact")
+    write_bucketed(products, tables["product"], "id", 16, f"{work}/product")
+    fact, dim = (spark.table(tables[kind]) for kind in ("fact", "product"))
+    result = money(star_bucketed(fact, dim, ["product_category", "product_vendor_name"]), *STAR_MONEY)
+    result.write.parquet(f"{work}/result")
+    for name in tables.values():
+        spark.sql(f"DROP TABLE {name}")  # its files stay: it is external
+    return spark.read.schema(result.schema).parquet(f"{work}/result")
+
+
 @query
 def star_weekend_holiday(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekends and holidays by vendor and state: all three dimensions at once."""
@@ -571,3 +628,25 @@ def log_health_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             "max_seconds": F.round("max_seconds", 2).cast("decimal(18,2)"),
         }
     )
+
+
+@query
+def log_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of the events' values as batch times, out of stored sketches per day, and whether each
+    lies within two percent of its rank among all values."""
+    events = feed.table(spark, sf_dir, "events").select(
+        F.lit("app").alias("app_name"),
+        F.col("event_type").alias("table_name"),
+        F.col("ts").cast("timestamp").alias("batch_start_time"),
+        F.col("value").alias("processing_time_seconds"),
+    )
+    root = f"{work_folder(spark)}/sketches"
+    store_day_sketches(events, root, "9999-01-01")
+    found = time_quantiles(read_day_sketches(spark, root), [0.5, 0.95, 0.99])
+    found = found.select("table_name", "batches", "rank", "seconds")
+    value = F.col("processing_time_seconds")
+    below, up_to = F.avg((value < F.col("seconds")).cast("int")), F.avg((value <= F.col("seconds")).cast("int"))
+    ranked = events.join(found, "table_name").groupBy("table_name", "batches", "rank")
+    near = (below.alias("below"), up_to.alias("up_to"))
+    close = F.col("rank").between(F.col("below") - 0.02, F.col("up_to") + 0.02)
+    return ranked.agg(*near).select("table_name", "batches", "rank", close.alias("close"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tillflow.functions.codes import state_name, store_status
 from tillflow.functions.dates import day_key_to_date, text_to_date
 from tillflow.functions.geo import latitude, longitude
+from tillflow.operators.lookup import decoded
 from tillflow.schemas import DIM_PRODUCT, DIM_STORE
 
 
@@ -37,14 +38,17 @@ def build_dim_product(
     )
 
 
-def build_dim_store(raw: DataFrame, run_date: str | None = None) -> DataFrame:
-    point = F.col("store_address")
+def build_dim_store(raw: DataFrame, run_date: str | None = None, states: DataFrame | None = None) -> DataFrame:
+    """`states` (code, name) replaces the fixed names of states."""
+    point, state = F.col("store_address"), state_name(F.col("state"))
+    if states is not None:
+        raw, state = decoded(raw, "state", states), F.col("state")
     return (
         raw.withColumnsRenamed({"store": "id", "store_status": "status"})
         .withColumns(
             {
                 "status": store_status(F.col("status")),
-                "state": state_name(F.col("state")),
+                "state": state,
                 "update_date": _update_date(run_date),
                 "latitude": latitude(point),
                 "longitude": longitude(point),

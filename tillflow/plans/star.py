@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.session import work_folder
@@ -113,3 +113,66 @@ def star_sales(
     if row_cap is not None:
         result = result.orderBy(F.desc("sale_dollars"), *by).limit(row_cap)
     return result
+
+
+def sales_of_dates(fact: DataFrame, dates: DataFrame, condition: str) -> DataFrame:
+    """The facts that lie in the day folders of the dates a condition on the calendar picks.
+
+    The join is on the folder column, so the days that the date table gives are known before the fact is
+    listed, and the scan opens their folders only. A date table read from files is needed for that;
+    with any other the result is the same, and every folder is read.
+    """
+    days = dates.where(condition).select(F.date_format("full_date", "yyyyMMdd").alias("partition"))
+    return fact.join(days, "partition", "left_semi").select(fact.columns)
+
+
+def validity(dim: DataFrame) -> DataFrame:
+    """Snapshots with the days they are in force: from their own (`valid_from`) to the one before the
+    next snapshot of the id (`valid_to`, NULL for the newest), both yyyyMMdd. Of several rows of an id
+    and day the least by its attributes counts."""
+    attributes = [name for name in dim.columns if name not in ("id", "partition")]
+    one = dim.groupBy("id", "partition").agg(F.min(F.struct(*attributes)).alias("least"))
+    following = F.lead("partition").over(Window.partitionBy("id").orderBy("partition"))
+    before = F.date_format(F.date_sub(F.to_date(following, "yyyyMMdd"), 1), "yyyyMMdd")
+    return one.select("id", F.col("partition").alias("valid_from"), before.alias("valid_to"), "least.*")
+
+
+def in_force(fact: DataFrame, dim: DataFrame, kind: str, wanted: list[str]) -> DataFrame:
+    """The fact with `wanted` columns of the snapshot in force on each sale's own day, as `<kind>_<name>`,
+    and `<kind>_as_of`, the day of that snapshot; NULL before the first snapshot of an id.
+
+    An id's snapshots and the days it was sold on go through one ordered window, each day once however
+    many sales it has; the sales then meet their day's row by equality.
+    """
+    key, found = f"{kind}_id", F.struct(F.col("partition").alias("as_of"), *wanted)
+    snapshots = dim.groupBy("id", "partition").agg(F.min(F.struct(*wanted)).alias("least")).select("id", "partition", "least.*")
+    snapshots = snapshots.select("id", "partition", F.lit(0).alias("sold"), found.alias("snapshot"))
+    sold = fact.select(F.col(key).alias("id"), "partition").distinct()
+    sold = sold.select("id", "partition", F.lit(1).alias("sold"), F.lit(None).cast(snapshots.schema["snapshot"].dataType).alias("snapshot"))
+    so_far = Window.partitionBy("id").orderBy("partition", "sold").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    newest = F.last("snapshot", ignorenulls=True).over(so_far)
+    resolved = snapshots.unionByName(sold).select("id", "partition", "sold", newest.alias("found")).where("sold = 1")
+    named = [F.col(f"found.{name}").alias(f"{kind}_{name}") for name in ["as_of", *wanted]]
+    days = _written(resolved.select(F.col("id").alias(key), "partition", *named))
+    return fact.join(days, [key, "partition"], "left")
+
+
+def star_in_force(fact: DataFrame, products: DataFrame, by: list[str]) -> DataFrame:
+    """Sales sums by product attributes, each sale with the snapshot in force on its day."""
+    wanted = [name.removeprefix("product_") for name in by if name != "product_as_of"]
+    joined = in_force(fact, products, "product", wanted)
+    missing = F.sum(F.col("product_as_of").isNull().cast("long")).alias("unmatched_products")
+    sums = [F.sum(name).alias(name) for name in FACT_SUMS]
+    return joined.groupBy(*by).agg(F.count(F.lit(1)).alias("sales_lines"), *sums, missing)
+
+
+def star_bucketed(fact: DataFrame, products: DataFrame, by: list[str]) -> DataFrame:
+    """Sales sums by product attributes out of tables bucketed by product (`write_bucketed`): with as many
+    buckets on both sides the join needs no exchange. The dimension holds one row per id."""
+    wanted = [F.col(name.removeprefix("product_")).alias(name) for name in by]
+    rows = products.select(F.col("id").alias("product_id"), F.lit(True).alias("found"), *wanted)
+    # Merged bucket by bucket: a hash table of a large dimension would not fit, and needs no shuffle less.
+    joined = fact.join(rows.hint("merge"), "product_id", "left")
+    missing = F.sum(F.col("found").isNull().cast("long")).alias("unmatched_products")
+    sums = [F.sum(name).alias(name) for name in FACT_SUMS]
+    return joined.groupBy(*by).agg(F.count(F.lit(1)).alias("sales_lines"), *sums, missing)

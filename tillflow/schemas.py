@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BinaryType,
     DataType,
     DateType,
     DoubleType,
@@ -106,6 +107,9 @@ STREAM_LOG = StructType(
     + _fields(STRING, "status error_details")
     + _fields(LONG, "batch_id")
 )
+DAY_SKETCHES = StructType(
+    _fields(STRING, "app_name table_name") + _fields(LONG, "batches") + _fields(BinaryType(), "sketch") + _fields(STRING, "partition")
+)
 RUN_LOG = StructType(
     _fields(STRING, "run_date step")
     + _fields(INT, "try_number")
