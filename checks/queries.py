@@ -33,7 +33,7 @@ from tillflow.sources.raw import read_raw_days
 from tillflow.streaming.compaction import compact_landing, drop_compacted
 from tillflow.streaming.current import current_totals, drop_folded, fold, late_totals, publish_view, state_totals
 from tillflow.streaming.landing import REJECTS, TABLE, land_batch, start_landing
-from tillflow.streaming.levels import drop_levelled, fold_days, levelled_totals
+from tillflow.streaming.levels import drop_levelled, fold_days
 from tillflow.streaming.totals import TotalsStore, start_totals
 from tillflow.versions import commit, read_manifest, read_versioned, vacuum
 
@@ -323,7 +323,7 @@ def stream_levelled_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold_days(spark, store, up_to=0)
     fold_days(spark, store)
     drop_levelled(spark, store)
-    return money(levelled_totals(spark, store, "f001_store_tot_sales"), *TOTAL_MONEY)
+    return money(current_totals(spark, store, "f001_store_tot_sales"), *TOTAL_MONEY)
 
 
 @query

@@ -46,3 +46,18 @@ def test_stream_needs_servers(lake):
         "delta",
     )
     assert totals_store(lake) == TotalsStore(lake.streaming("running_totals"))
+
+
+def test_versioned_days_and_changed_days(spark, lake, put_csv, capsys):
+    put_all(put_csv, "20241201")
+    put_all(put_csv, "20241202")
+    assert call(spark, lake, "--versioned", "sales", "--date", "20241201") == 0
+    assert call(spark, lake, "backfill", "sales", "20241201", "20241202", "--changed") == 0
+    assert "20241202 ok 4" in capsys.readouterr().out
+    assert call(spark, lake, "backfill", "sales", "20241201", "20241202", "--changed") == 0
+    assert "20241202 unchanged 0" in capsys.readouterr().out
+    assert read_gold(spark, lake, SALES.gold).count() == 8
+    assert call(spark, lake, "compact-landing", "20250101", "--drop") == 0
+    assert "days packed: 0" in capsys.readouterr().out
+    assert call(spark, lake, "fold", "--by-day", "--drop") == 0
+    assert "days rewritten: 0" in capsys.readouterr().out

@@ -18,9 +18,9 @@ from tillflow.sinks.gold import replace_days
 from tillflow.sources.gold import read_gold, read_gold_days, rows_per_day
 from tillflow.sources.raw import day_sources, read_raw_day, read_raw_days
 from tillflow.streaming.compaction import compact_landing, drop_compacted, pack
-from tillflow.streaming.current import fold
+from tillflow.streaming.current import current_totals, days_up_to, fold, folded_days, levels_root
 from tillflow.streaming.landing import TABLE, land_batch
-from tillflow.streaming.levels import drop_levelled, fold_days, levelled_totals, levelled_up_to, levels_root
+from tillflow.streaming.levels import drop_levelled, fold_days
 from tillflow.streaming.totals import TotalsStore
 from tillflow.versions import Day, commit, is_versioned, read_manifest, read_versioned, replaced, vacuum
 
@@ -218,7 +218,7 @@ def store(tmp_path):
 
 def assert_levelled(spark, feed, store, mode):
     for table in schemas.TOTAL_GRAINS:
-        assert rows_of(levelled_totals(spark, store, table, mode)) == rows_of(totals(feed.batch(), table))
+        assert rows_of(current_totals(spark, store, table, mode)) == rows_of(totals(feed.batch(), table))
 
 
 @pytest.mark.parametrize("mode", ["delta", "state"])
@@ -239,7 +239,7 @@ def test_a_fold_rewrites_the_days_it_touches(spark, feed, store, tmp_path, mode)
     after = read_manifest(spark, root)
     assert {day for day in after.days if after.days[day] != before.days[day]} == {"20241205"}
     assert {day: fingerprint(f"{root}/{after.days[day].folder}") for day in untouched} == untouched
-    assert levelled_up_to(spark, store, mode) == 2 and fold_days(spark, store, 2, mode) == []
+    assert days_up_to(folded_days(spark, store, mode)) == 2 and fold_days(spark, store, 2, mode) == []
     assert drop_levelled(spark, store, mode) == 3
     assert_levelled(spark, feed, store, mode)
     feed.add([{"sale_bottles": 3, "hour_id": "23"}])
@@ -256,7 +256,7 @@ def test_folded_days_of_a_replaced_run_count_no_more(spark, feed, store, tmp_pat
     again.add([{"sale_bottles": 1}])
     (tmp_path / "other").mkdir()
     drain(again, store, tmp_path / "other", new_checkpoint="replace")
-    assert levelled_up_to(spark, store) == -1
+    assert days_up_to(folded_days(spark, store, "delta")) == -1
     assert_levelled(spark, again, store, "delta")
     again.add([{"sale_bottles": 2}])
     drain(again, store, tmp_path / "other")
@@ -271,3 +271,12 @@ def test_a_store_is_folded_one_way(spark, feed, store, tmp_path):
     fold(spark, store)
     with pytest.raises(ValueError, match="as a whole"):
         fold_days(spark, store)
+
+
+def test_a_store_that_is_folded_by_day_is_not_folded_as_a_whole(spark, feed, store, tmp_path):
+    feed.add(BATCHES[0])
+    feed.add(BATCHES[1])
+    drain(feed, store, tmp_path)
+    fold_days(spark, store)
+    with pytest.raises(ValueError, match="by day"):
+        fold(spark, store)
