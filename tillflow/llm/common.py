@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by their whole names: a dot in one is no path."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 # Folders written within the open scratch() blocks, innermost last.
 _WRITTEN: list[dict[int, tuple[DataFrame, str]]] = []
 
