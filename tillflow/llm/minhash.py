@@ -26,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import scratch, staged
+from tillflow.llm.common import quoted, scratch, staged
 from tillflow.llm.components import components
 from tillflow.llm.words import mix, slices, words
 from tillflow.session import session_conf
 
 PERCENT = 80
+#: Ids that several rows share are broadcast up to so many.
+BROADCAST_ROWS = 1_000_000
 BANDS = 32
 ROWS = 4
 COORDINATES = BANDS * ROWS
@@ -337,12 +339,24 @@ def _linked(documents: DataFrame, width: int) -> DataFrame:
     )
 
 
-def one_of_each(documents: DataFrame, width: int = 5) -> DataFrame:
-    """The documents that stay: of each component the row with the least doc_id, once."""
-    kept = link_documents(documents, width).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = documents.select(F.struct(*documents.columns).alias("row"), F.col("doc_id").alias("row_id"))
-    joined = rows.join(kept, F.col("row_id").eqNullSafe(F.col("kept_id")))
-    # Rows with one doc_id are one document; rows without an id are documents of their own.
-    order = Window.partitionBy("row_id").orderBy("row_id")
-    joined = joined.withColumn("nth", F.row_number().over(order)).where("nth = 1 OR row_id IS NULL")
-    return joined.select("row.*")
+def one_of_each(documents: DataFrame, width: int = 5, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The documents that stay: of each group of near copies the one with the least doc_id, and of equal
+    rows of it one. Rows that share a doc_id, or have none, are documents of their own, known by a hash of
+    id and text: a text goes only as a near copy of one that stays."""
+    row_id, body = F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    shared = documents.groupBy(row_id.alias("shared_id")).agg(F.count(F.lit(1)).alias("n"))
+    shared = staged(shared.where("n > 1 AND shared_id IS NOT NULL").select("shared_id"))
+    # Few ids go to the texts; many meet them in a shuffle.
+    shared = F.broadcast(shared) if shared.limit(most + 1).count() <= most else shared
+    rows = documents.select(F.struct(*quoted(documents.columns)).alias("row"), row_id.alias("row_id"), body.alias("body"))
+    rows = rows.join(shared, F.col("row_id") == F.col("shared_id"), "left")
+    own = F.col("shared_id").isNull() & F.col("row_id").isNotNull()
+    node = F.when(own, F.col("row_id").cast("long")).otherwise(F.xxhash64(F.lit("row"), "row_id", "body"))
+    rows = rows.select("row", node.alias("node"), own.alias("own"), "body")
+    linked = link_documents(rows.select(F.col("node").alias("doc_id"), F.col("body").alias("text")), width)
+    kept = staged(linked.where("kept").select(F.col("doc_id").alias("node")).distinct())
+    joined = rows.select("row", "node", "own").join(kept, "node", "left_semi")
+    # Equal rows are reduced where they are read, by a hash of all their columns.
+    order = F.struct(F.xxhash64(F.to_json("row")), F.to_json("row"))
+    repeated = joined.where("NOT own").groupBy("node").agg(F.min_by("row", order).alias("row"))
+    return joined.where("own").select("row.*").unionByName(repeated.select("row.*"))
