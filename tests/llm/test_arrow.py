@@ -1,16 +1,20 @@
 """Near-duplicates, embeddings, pieces, toxicity and quality against brute force or held-out rows."""
 
+import math
+import os
 import random
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tillflow.llm import minhash, pieces, quality, toxicity, vectors
 from tillflow.llm.components import components
-from tillflow.llm.words import buffers, slices, words
+from tillflow.llm.words import buffers, mix, slices, words
 
 DOCS = "doc_id long, text string, node long, bands string, n_shingles string, label int"
 
@@ -373,11 +377,101 @@ def test_ordinal_fit_recovers_ordered_grades():
     x = draw.normal(size=(800, 3))
     score = x @ np.array([2.0, -1.0, 0.0]) + draw.logistic(size=800) * 0.3
     grades = np.searchsorted([0.0, 1.0, 2.0], score)
-    rows, columns = np.indices(x.shape).reshape(2, -1)
-    weights, thresholds = toxicity.fit_ordinal(rows, columns, x.ravel(), grades, 3)
+    starts, columns = np.arange(0, x.size + 1, 3), np.tile(np.arange(3, dtype=np.int32), len(x))
+    weights, thresholds = toxicity.fit_ordinal(starts, columns, x.ravel().astype(np.float32), grades, 3)
     assert (np.diff(thresholds) > 0).all() and weights[0] > 1 and weights[1] < -0.5 and abs(weights[2]) < 0.3
 
 
+def test_blocks_of_the_fit_change_nothing(monkeypatch):
+    """Rows without entries, rows longer than a block, and a last block that is short."""
+    draw = np.random.default_rng(6)
+    length = draw.integers(0, 9, 300)
+    length[[0, 7, 299]] = 0, 60, 0
+    starts = np.append(0, np.cumsum(length))
+    columns = np.concatenate([draw.choice(80, n, replace=False) for n in length]).astype(np.int32)
+    values, grades = draw.random(len(columns)).astype(np.float32), draw.integers(0, 4, 300)
+    whole = toxicity.fit_ordinal(starts, columns, values, grades, 80)
+    monkeypatch.setattr(toxicity, "BLOCK_ENTRIES", 23)
+    parts = toxicity.fit_ordinal(starts, columns, values, grades, 80)
+    assert np.allclose(whole[0], parts[0], atol=2e-2) and np.allclose(whole[1], parts[1], atol=2e-2)
+
+
+def test_severity_against_brute_force(spark):
+    """Every step of a document's score again, word by word."""
+    draw = np.random.default_rng(8)
+    model = toxicity.Ordinal(draw.normal(0, 30, 1 << toxicity.BITS).astype(np.float32), np.array([-0.5, 0.4, 1.7]))
+    texts = ["Some words that are SHORT", "a " * 300, "é日本 longerwords x", "one", None, " ", "same same Same samething"]
+    got = {r.doc_id: r for r in toxicity.grade_documents(documents(spark, list(enumerate(texts))), model).collect()}
+    for i, text in enumerate(texts):
+        each = [w.translate({c: c + 32 for c in range(65, 91)}) for w in re.findall("[^\x20\x09-\x0d]+", text or "")]
+        score = 0.0
+        for word in each:
+            found = words(pa.array([word]))
+            for kind, length in enumerate((None, *toxicity.PREFIXES)):
+                hashed = mix(found.hashes(length) + np.uint64(kind))[0]
+                score += float(model.weights[int(hashed) >> (64 - toxicity.BITS)])
+        above = [1 / (1 + math.exp(t - score / (len(each) + toxicity.DAMPING))) if each else 0.0 for t in model.thresholds]
+        chances = [a - b for a, b in zip([1.0, *above], [*above, 0.0])]
+        row = got[i]
+        assert row.severity == pytest.approx(sum(above), abs=1e-6) and row.p_toxic == pytest.approx(above[0], abs=1e-6)
+        assert row.severity == pytest.approx(sum(grade * p for grade, p in enumerate(chances)), abs=1e-6)
+        assert row.grade == int(np.argmax(chances)) and row.toxic == (above[0] >= 0.5)
+
+
+def test_the_sample_is_bounded_in_features(spark):
+    docs, labels = labelled(spark)
+    rows = toxicity.training_sample(docs, labels, "toxic", 100).mapInArrow(toxicity._sparse, "place int, label int, n int, ids array<int>, counts array<int>").cache()
+    sizes = {(r.label, r.place): len(r.ids) for r in rows.collect()}
+    assert sorted(place for label, place in sizes if label == 1) == list(range(1, 101))
+    for entries in (1, 5000, 10**9):
+        kept = {(r.label, r.place) for r in toxicity._within(rows, entries).collect()}
+        for label in (0, 1):
+            held = [sizes[label, n] for n in range(1, 101) if (label, n) in kept]
+            assert held == [sizes[label, n] for n in range(1, len(held) + 1)] and len(held) >= 1
+            assert len(held) == 1 or sum(held) <= entries // 2
+        assert len(kept) == 200 or entries < 10**9
+    assert toxicity.fit(docs, labels, 100, 5000).weights.any()
+    shuffled, sent = (toxicity.deviations(docs, labels, "toxic", most) for most in (0, toxicity.LABEL_BYTES))
+    assert np.allclose(shuffled, sent)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="tables")
+def test_toxic_rows_of_every_language_are_found_on_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = toxicity.fit(docs, labels.where(~held))
+    truth = labels.where(held & F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").alias("truth"))
+    found = toxicity.grade_documents(docs, model).join(truth, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    by_lang = found.groupBy("lang", "truth").agg(F.avg(F.col("toxic").cast("int")).alias("share"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(by_lang) == 8
+    for row in by_lang:
+        assert row.share >= 0.9 if row.truth else row.share <= 0.05, row
+
+
+def test_near_dedup_loses_no_text(spark):
+    """Rows that share an id, or have none, go only as copies of a row that stays."""
+    a, b, c = "a b c d e f g h", "q w e r t y u i o p", "z x c v b n m"
+    rows = [(1, a), (1, b), (2, b), (3, c), (None, "k l j h g f"), (None, "k l j h g f"), (None, "no id but text here"), (4, None), (4, None), (5, "")]
+    docs = documents(spark, rows).withColumn("a.b", F.lit(1))
+    for most in (0, minhash.BROADCAST_ROWS):
+        kept = minhash.one_of_each(docs, most=most)
+        assert kept.columns == docs.columns
+        texts = sorted(r.text or "" for r in kept.collect())
+        assert texts == sorted([a, b, c, "k l j h g f", "no id but text here", "", ""])
+    again = [sorted(map(str, minhash.one_of_each(docs.repartition(n)).collect())) for n in (1, 5)]
+    assert again[0] == again[1]
+
+
+def test_short_texts_are_counted_in_bounded_slices(spark):
+    array = pa.array(["ab c"] * 10_000)
+    assert slices(array) == [(0, 10_000)] and slices(array, rows=1000) == [(n, n + 1000) for n in range(0, 10_000, 1000)]
+    model = quality.fit(*labelled(spark), 200)
+    docs = documents(spark, [(n, "theing ored"[: n % 12]) for n in range(3000)])
+    whole = {r.doc_id: r.score for r in quality.score_documents(docs, model).collect()}
+    one = {r.doc_id: r.score for r in quality.score_documents(docs.where("doc_id < 12"), model).collect()}
+    assert len(whole) == 3000 and all(whole[n] == pytest.approx(one[n % 12], abs=1e-6) for n in whole)
+
+
 def test_quality_on_held_out_rows(spark):
     docs, labels = labelled(spark)
     model = quality.fit(docs, labels, 600)

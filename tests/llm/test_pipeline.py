@@ -34,8 +34,8 @@ def test_pipeline_stages(spark, tmp_path):
         before = kept[name][1]
     toxic = spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 1")
     given, left = kept["toxicity"]
-    # Fifty toxic labels in four languages: few for the rarer ones.
-    assert left.join(toxic, "doc_id").count() <= 0.25 * toxic.count() and left.count() > 0.85 * given.count()
+    # Recall per language on rows not trained on is asserted in test_arrow.py, on the larger table.
+    assert left.join(toxic, "doc_id").count() <= 0.1 * toxic.count() and left.count() > 0.85 * given.count()
     given, left = kept["minhash near-dedup"]
     assert left.count() == left.select("doc_id").distinct().count() == left.select("text").distinct().count() < given.count()
     given, left = kept["secret scans"]
