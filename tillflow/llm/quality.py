@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from tillflow.llm.toxicity import one_text_each
 from tillflow.llm.words import _BYTE, Words, _powers, buffers, mix, slices, words
 
+#: Texts counted at a time: a row of WIDTH counts each, however short they are.
+SLICE_ROWS = 1000
 SAMPLE = 5000
 DIMENSIONS = 64
 K = 21
@@ -104,7 +106,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for begin, end in slices(batch["text"]):
+        for begin, end in slices(batch["text"], rows=SLICE_ROWS):
             counted, n = counts(batch["text"].slice(begin, end - begin))
             rows, places = np.nonzero(counted)
             cuts = np.searchsorted(rows, np.arange(1, len(n)))
@@ -165,7 +167,7 @@ def score_documents(documents: DataFrame, model: Neighbours | None) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, end in slices(batch["text"]):
+            for begin, end in slices(batch["text"], rows=SLICE_ROWS):
                 score = vote(batch["text"].slice(begin, end - begin), shared.value)
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(begin, end - begin), pa.array(score)], ["doc_id", "score"])
 

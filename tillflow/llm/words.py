@@ -97,14 +97,14 @@ def words(texts: pa.Array, lower: bool = True) -> Words:
     return Words(data, start, stop, doc, first, sums)
 
 
-def slices(texts: pa.Array, most: int = 1 << 19) -> list[tuple[int, int]]:
-    """Runs of rows of about `most` bytes at most, so that working arrays stay bounded; a longer
-    text is a run of its own."""
+def slices(texts: pa.Array, most: int = 1 << 19, rows: int | None = None) -> list[tuple[int, int]]:
+    """Runs of rows of about `most` bytes at most, and of `rows` rows if given, so that working arrays
+    stay bounded; a longer text is a run of its own."""
     _, offsets = buffers(texts)
     cuts, begin = [], 0
     while begin < len(texts):
         end = int(np.searchsorted(offsets, offsets[begin] + most, side="right")) - 1
-        end = min(max(end, begin + 1), len(texts))
+        end = min(max(end, begin + 1), len(texts), begin + (rows or len(texts)))
         cuts.append((begin, end))
         begin = end
     return cuts
