@@ -60,6 +60,35 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
             delete_folder(spark, folder)
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once, also inside other lambdas."""
+    return F.transform(F.array(value), use)[0]
+
+
+#: Values that a running result is carried over one by one; beyond, whole chunks are carried.
+CHUNK = 256
+
+
+def before_each(values: Column, combine: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """For each value of an array what `combine` makes of those before it, from `zero` on. An array
+    grows by copying, so it is built in chunks: near-linear where one array would be quadratic."""
+
+    def running(some: Column, first: Column) -> Column:
+        none = F.array().cast("array<bigint>")
+        step = lambda state, x: F.struct(combine(state["now"], x).alias("now"), F.concat(state["out"], F.array(state["now"])).alias("out"))
+        return F.aggregate(some, F.struct(first.alias("now"), none.alias("out")), step)["out"]
+
+    def chunked(every: Column) -> Column:
+        last = F.greatest(F.floor((F.size(every) - 1) / CHUNK), F.lit(0)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda n: F.slice(every, n * CHUNK + 1, CHUNK))
+
+    def joined(chunks: Column) -> Column:
+        firsts = running(F.transform(chunks, lambda some: F.aggregate(some, zero, combine)), zero)
+        return F.flatten(F.zip_with(chunks, firsts, running))
+
+    return bind(values, lambda every: bind(chunked(every), joined))
+
+
 def n_words(text: Column) -> Column:
     """Number of words `[^\\x20\\x09-\\x0D]+`; NULL has none."""
     parts = F.split(F.coalesce(text, F.lit("")), SPACE + "+")

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import staged
+from tillflow.llm.common import before_each, bind, quoted, staged
 from tillflow.session import work_folder
 
 
@@ -58,22 +58,30 @@ LEDGER = f"blob string, scanned array<string>, findings {_FINDINGS}"
 
 
 def _found(text: Column, rule: Rule, place: int) -> Column:
-    """Findings of one rule as structs; computed only where the pattern occurs at all."""
+    """Findings of one rule as structs; computed only where the pattern occurs at all. A hit begins
+    where the gaps and hits before it end."""
     hits = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     checked = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    parts = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), hits.alias("hit"), checked.alias("checked"))
+    lengths = lambda part: F.struct(
+        F.char_length(part["gap"]).cast("long").alias("gap"),
+        F.coalesce(F.char_length(part["hit"]), F.lit(0)).cast("long").alias("hit"),
+        F.coalesce(F.char_length(part["checked"]) >= rule.least, F.lit(False)).alias("kept"),
+    )
+    parts = F.transform(F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), hits.alias("hit"), checked.alias("checked")), lengths)
 
-    def step(state: Column, part: Column) -> Column:
-        start = state["at"] + F.char_length(part["gap"])
-        stop = start + F.coalesce(F.char_length(part["hit"]), F.lit(0))
-        finding = F.struct(start.cast("long").alias("start"), F.lit(place).alias("place"), stop.cast("long").alias("stop"), F.lit(rule.kind).alias("kind"))
-        keep = F.coalesce(F.char_length(part["checked"]) >= rule.least, F.lit(False))
-        found = F.when(keep, F.concat(state["found"], F.array(finding))).otherwise(state["found"])
-        return F.struct(stop.cast("long").alias("at"), found.alias("found"))
+    def placed(parts: Column) -> Column:
+        begins = before_each(F.transform(parts, lambda part: part["gap"] + part["hit"]), lambda a, b: a + b, F.lit(0).cast("long"))
+        spans = F.zip_with(
+            parts, begins,
+            lambda part, at: F.struct(
+                (at + part["gap"]).alias("start"), F.lit(place).alias("place"), (at + part["gap"] + part["hit"]).alias("stop"),
+                F.lit(rule.kind).alias("kind"), part["kept"].alias("kept"),
+            ),
+        )
+        kept = F.filter(spans, lambda span: span["kept"])
+        return F.transform(kept, lambda span: F.struct(*[span[name].alias(name) for name in ("start", "place", "stop", "kind")]))
 
-    none = F.array().cast(_FINDINGS)
-    walked = F.aggregate(parts, F.struct(F.lit(0).cast("long").alias("at"), none.alias("found")), step)
-    return F.when(text.rlike(rule.pattern), walked["found"]).otherwise(none)
+    return F.when(text.rlike(rule.pattern), bind(parts, placed)).otherwise(F.array().cast(_FINDINGS))
 
 
 def find_spans(text: Column, rules: Sequence[Rule], wanted: Column | None = None) -> Column:
@@ -177,6 +185,32 @@ def scan_documents(documents: DataFrame, rules: Sequence[Rule] = RULES) -> DataF
     )
 
 
+#: Characters of a text that are looked through to cut a piece out of it.
+BLOCK_CHARS = 4096
+
+
+def _marked(text: Column, findings: Column, mark: str) -> Column:
+    """The text with a mark for every run of overlapping findings, which come by start. Pieces are cut out
+    of blocks: cutting them out of the text would count its characters from the first every time."""
+    length = F.char_length(text).cast("long")
+    block = lambda n: F.substring(text, (n * BLOCK_CHARS + 1).cast("int"), F.lit(BLOCK_CHARS))
+    blocks = F.transform(F.sequence(F.lit(0).cast("long"), F.floor(length / BLOCK_CHARS)), block)
+
+    def of_blocks(blocks: Column) -> Column:
+        def piece(begin: Column, end: Column) -> Column:
+            first = F.floor(begin / BLOCK_CHARS)
+            some = F.slice(blocks, (first + 1).cast("int"), (F.floor(end / BLOCK_CHARS) - first + 1).cast("int"))
+            return F.substring(F.array_join(some, ""), (begin - first * BLOCK_CHARS + 1).cast("int"), (end - begin).cast("int"))
+
+        # What lies before the last stop so far is in a mark already.
+        done = before_each(F.transform(findings, lambda x: x["stop"]), lambda a, b: F.greatest(a, b), F.lit(0).cast("long"))
+        gaps = F.zip_with(findings, done, lambda x, at: F.when(x["start"] >= at, F.concat(piece(at, x["start"]), F.lit(mark))).otherwise(F.lit("")))
+        last = F.array_max(F.transform(findings, lambda x: x["stop"]))
+        return F.concat(F.array_join(gaps, ""), piece(last, length))
+
+    return bind(blocks, of_blocks)
+
+
 def redacted(documents: DataFrame, rules: Sequence[Rule] = RULES, mark: str = "[secret]") -> DataFrame:
     """The documents with every span of a finding replaced by the mark; n_chars follows the text.
 
@@ -186,19 +220,12 @@ def redacted(documents: DataFrame, rules: Sequence[Rule] = RULES, mark: str = "[
     fresh, _ = scan_unseen(documents, None, rules)
     hits = fresh.where(F.size("findings") > 0).select(F.col("blob").alias("hit_blob"), F.sort_array("findings").alias("hit_findings"))
     names = documents.columns
-    rows = documents.select(F.struct(*names).alias("row"), F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("row_blob"))
+    rows = documents.select(F.struct(*quoted(names)).alias("row"), F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("row_blob"))
     joined = rows.join(hits, F.col("row_blob") == F.col("hit_blob"), "left")
     text = F.col("row")["text"]
-
-    def step(state: Column, x: Column) -> Column:
-        # Overlapping spans become one mark: what lies before the last stop is not copied again.
-        gap = F.when(x["start"] >= state["at"], F.concat(F.substring(text, state["at"].cast("int") + 1, (x["start"] - state["at"]).cast("int")), F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(F.greatest(state["at"], x["stop"]).alias("at"), F.concat(state["out"], gap).alias("out"))
-
-    walked = F.aggregate("hit_findings", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), step)
-    tail = F.substring(text, walked["at"].cast("int") + 1, F.char_length(text))
-    clean = F.when(F.col("hit_findings").isNull(), text).otherwise(F.concat(walked["out"], tail))
-    columns = {name: F.col("row")[name] for name in names} | {"text": clean}
+    marked = _marked(text, F.col("hit_findings"), mark)
+    clean = F.when(F.col("hit_findings").isNull(), text).otherwise(marked)
+    columns = {name: F.col("row").getField(name) for name in names} | {"text": clean}
     if "n_chars" in names:
         length = F.char_length(clean).cast(documents.schema["n_chars"].dataType)
         columns["n_chars"] = F.when(F.col("hit_findings").isNull(), F.col("row")["n_chars"]).otherwise(length)
