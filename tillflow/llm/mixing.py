@@ -5,10 +5,12 @@ The words of a source stand end to end, its documents in a seeded order, and are
 target / (2k + 1), once for each number of shards filled so far: the method is house monotone, so the
 differences are the integer quotas of each shard. The words of a source's quota are whole passes over
 the source, and of one more pass as many blocks as come nearest to the rest, evenly spread from a
-seeded offset.
+seeded offset. Laid end to end they fill the shards by the source's quotas, shard 0 first: `shard_words`
+says how many words of a document go to each shard. The last shard takes what rounding leaves.
 
 Defined results: NULL text has size 0 and takes nothing; NULL source is a source of its own, last in
-order; NULL or repeated doc_id are rows like all others (equal rows share their order arbitrarily);
+order; NULL or repeated doc_id are rows like all others (rows without an id are ordered by their text,
+equal rows arbitrarily);
 an empty table gives no rows; other columns are ignored unless named in `carry`.
 """
 
@@ -21,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import NOT_SPACE, SPACE, n_words, staged
+from tillflow.llm.common import NOT_SPACE, SPACE, n_words, quoted, staged
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -66,13 +68,15 @@ def apportion(targets: np.ndarray, caps: np.ndarray, seats: int) -> np.ndarray:
 
 
 def _keyed(documents: DataFrame, seed: str, carry: list[str]) -> DataFrame:
+    # Rows without an id are spread by their texts: one bucket would hold them all.
+    of_text = F.concat(F.lit("#"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
     return documents.select(
         F.col("doc_id").alias("mix_doc_id"),
         F.col("source").alias("mix_source"),
         F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("mix_key"),
         n_words(F.col("text")).alias("mix_size"),
-        F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("mix_order"),
-        *[F.col(name).alias(f"carry_{name}") for name in carry],
+        F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col("doc_id").cast("string"), of_text))).alias("mix_order"),
+        *[column.alias(f"carry_{name}") for name, column in zip(carry, quoted(carry))],
     )
 
 
@@ -145,8 +149,9 @@ def place_documents(
     carry: list[str] | None = None,
 ) -> DataFrame:
     """One row per document with its place in its source's words and what the mix takes of it:
-    doc_id, source, size, source_size, target, taken, passes, begin, n_blocks, rest, offset, and
-    the columns in `carry` (as carry_<name>)."""
+    doc_id, source, size, source_size, target, taken, passes, begin, n_blocks, rest, offset, bounds
+    (where each shard begins in the source's taken words), and the columns in `carry` (as
+    carry_<name>)."""
     keyed = _keyed(documents, seed, carry or [])
     narrow = staged(keyed.select("mix_key", "mix_source", "mix_size", F.substring("mix_order", 1, BUCKET_DIGITS).alias("bucket"))
                     .groupBy("mix_key", "mix_source", "bucket").agg(F.sum("mix_size").alias("mix_size")))
@@ -156,8 +161,10 @@ def place_documents(
     ahead = Window.partitionBy("mix_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = narrow.select("mix_key", "bucket", F.coalesce(F.sum("mix_size").over(ahead), F.lit(0)).alias("start"))
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed + "#"), F.col("mix_key"))), 1, 8), 16, 10).cast("long")
+    before = lambda shard: F.aggregate(F.slice("shard_quotas", 1, shard), F.lit(0).cast("long"), lambda n, x: n + x) * block_words
     plan = starts.join(sources, "mix_key").select(
         "mix_key", "bucket", "start", "source_size", "target", "n_blocks",
+        F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), before).alias("bounds"),
         F.expr(f"CASE WHEN source_size > 0 THEN least({most}L, quota * {block_words} div source_size) ELSE 0L END").alias("passes"),
         # What whole passes leave of the quota's words, in blocks of one more pass.
         F.expr(f"""CASE WHEN source_size > 0 AND quota * {block_words} div source_size < {most}
@@ -179,8 +186,8 @@ def place_documents(
         F.col("mix_doc_id").alias("doc_id"),
         F.col("mix_source").alias("source"),
         F.col("mix_size").alias("size"),
-        "source_size", "target", taken.cast("long").alias("taken"), "passes", "begin", "n_blocks", "rest", "offset",
-        *[f"carry_{name}" for name in carry or []],
+        "source_size", "target", taken.cast("long").alias("taken"), "passes", "begin", "n_blocks", "rest", "offset", "bounds",
+        *quoted([f"carry_{name}" for name in carry or []]),
     )
 
 
@@ -193,9 +200,25 @@ def taken_before(place: Column, block_words: int) -> Column:
 
 
 def mix_quotas(documents: DataFrame, **options) -> DataFrame:
-    """The mix as planned, one row per document: doc_id, size, source_size, target, taken, source."""
-    columns = ["doc_id", "size", "source_size", "target", "taken", "source"]
-    return place_documents(documents, **options).select(*columns)
+    """The mix as planned, one row per document: doc_id, size, source_size, target, taken, source,
+    shard_words (its taken words by shard, comma-joined)."""
+    placed = place_documents(documents, **options)
+    whole = F.transform(
+        F.when(F.col("passes") > 0, F.sequence(F.lit(0).cast("long"), F.col("passes") - 1)).otherwise(F.array().cast("array<bigint>")),
+        lambda k: F.struct((k * F.col("source_size") + F.col("begin")).alias("at"), F.col("size").alias("n")),
+    )
+    block_words = options.get("block_words", BLOCK_WORDS)
+    partial_at = F.col("passes") * F.col("source_size") + taken_before(F.col("begin"), block_words)
+    partial = F.struct(partial_at.alias("at"), (F.col("taken") - F.col("passes") * F.col("size")).alias("n"))
+    pieces = placed.withColumn("pieces", F.concat(whole, F.array(partial)))
+
+    def words_of(begin: Column, shard: Column) -> Column:
+        end = F.coalesce(F.get(F.col("bounds"), shard + 1), F.lit(2**62))
+        inside = lambda x: F.greatest(F.least(x["at"] + x["n"], end) - F.greatest(x["at"], begin), F.lit(0))
+        return F.aggregate("pieces", F.lit(0).cast("long"), lambda n, x: n + inside(x))
+
+    shard_words = F.array_join(F.transform("bounds", words_of).cast("array<string>"), ",")
+    return pieces.select("doc_id", "size", "source_size", "target", "taken", "source", shard_words.alias("shard_words"))
 
 
 def mixed_documents(documents: DataFrame, **options) -> DataFrame:
@@ -226,7 +249,7 @@ def mixed_documents(documents: DataFrame, **options) -> DataFrame:
         .withColumn("mix_copy", F.explode(copies))
     )
     text = F.when(F.col("mix_copy") < F.col("passes"), F.col("carry_text")).otherwise(F.col("mix_cut"))
-    columns = {name: F.col(f"carry_{name}") for name in names} | {"text": text}
+    columns = dict(zip(names, quoted([f"carry_{name}" for name in names]))) | {"text": text}
     if "n_chars" in names:
         columns["n_chars"] = F.char_length(text).cast(documents.schema["n_chars"].dataType)
     return mixed.select(*[columns[name].alias(name) for name in names])

@@ -37,13 +37,18 @@ def _secret_scan() -> str:
 
 def _quality_rules() -> str:
     """Windows are lists of eight words; the binomial tail uses the gamma function."""
-    tests = " UNION ALL ".join(
-        f"SELECT '{name}' AS rule, {value}::DOUBLE AS cutoff" for name, values in rules.CUTOFFS.items() for value in values
-    )
-    n_tests = sum(map(len, rules.CUTOFFS.values()))
-    risk = rules.RISK / len(rules.CUTOFFS)
-    above = " OR ".join(f"coalesce({name} > cut_{name}, false)" for name in rules.CUTOFFS)
-    cuts = ", ".join(f"min(cutoff) FILTER (rule = '{name}') AS cut_{name}" for name in rules.CUTOFFS)
+    names, levels, last = rules.RULES, range(rules.LEVELS), rules.LEVELS
+    bins = ", ".join(f"least(ceil({value} * 1000), {rules.CAP})::BIGINT AS {name}" for name, value in (
+        ("symbols_per_word", "(n_symbols / greatest(n_words, 1))"), ("dup_line_share", "(n_dup_lines / greatest(n_lines, 1))"),
+        ("repeat_share", "(n_repeat_words / greatest(n_words, 1))"), ("mean_word_chars", "(word_chars / greatest(n_words, 1))"),
+    ))
+    cutoffs = [f"floor(max(v) * {times} / 1000)::BIGINT + {margin}" for times, margin in rules.MULTIPLES]
+    quantiles = ", ".join(cutoffs + [f"min(v) FILTER (up_to * 1000 >= n_all * {share})" for share in rules.QUANTILES])
+    pivot = ", ".join(f"any_value(cuts) FILTER (rule = '{name}') AS cuts_{name}" for name in names)
+    above = lambda level: "(" + " OR ".join(f"{name} > cuts_{name}[{level}]" for name in names) + ")"
+    rejected = ", ".join(f"count(*) FILTER ({above(level + 1)})" for level in levels)
+    limit = ", ".join(f"cuts_{name}[levels] AS cut_{name}" for name in names)
+    over = " OR ".join(f"coalesce({name} > cut_{name}, false)" for name in names)
     return rf"""
     WITH split AS (
       SELECT doc_id, coalesce(lang, '') AS stratum, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
@@ -57,24 +62,29 @@ def _quality_rules() -> str:
       SELECT s.doc_id, stratum, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
              n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l) AS n_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
       FROM split s LEFT JOIN covered USING (doc_id)),
-    rated AS (
-      SELECT *, n_symbols / greatest(n_words, 1) AS symbols_per_word, n_dup_lines / greatest(n_lines, 1) AS dup_line_share,
-             n_repeat_words / greatest(n_words, 1) AS repeat_share, word_chars / greatest(n_words, 1) AS mean_word_chars
-      FROM measured),
-    good AS (SELECT r.* FROM rated r JOIN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1) USING (doc_id)),
-    long AS (UNPIVOT (SELECT stratum, {", ".join(rules.CUTOFFS)} FROM good) ON {", ".join(rules.CUTOFFS)} INTO NAME rule VALUE v),
-    counted AS (
-      SELECT stratum, l.rule, cutoff, count(*) AS n, count(*) FILTER (v > cutoff) AS k
-      FROM long l JOIN ({tests}) t ON l.rule = t.rule GROUP BY ALL),
-    strata AS (SELECT count(DISTINCT stratum) AS n_strata FROM good),
-    certified AS (
-      SELECT stratum, rule, cutoff FROM counted, strata
-      WHERE k <= n * {risk} AND list_sum(list_transform(range(0, k + 1), lambda i:
-        exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk}) + (n - i) * ln(1 - {risk})))) <= {rules.DELTA} / {n_tests} / n_strata),
-    limits AS (SELECT stratum, {cuts} FROM certified GROUP BY stratum)
+    rated AS (SELECT *, {bins} FROM measured),
+    good AS (
+      SELECT r.*, md5('{rules.SEED}|' || r.doc_id::VARCHAR)[1] IN ('0', '1', '2', '3') AS proposing
+      FROM rated r JOIN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1) USING (doc_id)),
+    long AS (UNPIVOT (SELECT stratum, {", ".join(names)} FROM good WHERE proposing) ON {", ".join(names)} INTO NAME rule VALUE v),
+    summed AS (
+      SELECT stratum, rule, v, sum(count(*)) OVER (PARTITION BY stratum, rule ORDER BY v) AS up_to,
+             sum(count(*)) OVER (PARTITION BY stratum, rule) AS n_all
+      FROM long GROUP BY stratum, rule, v),
+    per_rule AS (SELECT stratum, rule, [{quantiles}] AS cuts FROM summed GROUP BY stratum, rule),
+    cuts AS (SELECT stratum, {pivot} FROM per_rule GROUP BY stratum),
+    counted AS (SELECT stratum, count(*) AS n, [{rejected}] AS ks FROM good JOIN cuts USING (stratum) WHERE NOT proposing GROUP BY stratum),
+    tested AS (
+      SELECT stratum, list_transform(ks, lambda k: CASE WHEN k > n * {rules.RISK} THEN 1 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
+        exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rules.RISK}) + (n - i) * ln(1 - {rules.RISK})))) END) AS tails
+      FROM counted),
+    ranked AS (SELECT *, row_number() OVER (ORDER BY list_max(tails), stratum) AS r, count(*) OVER () AS m FROM tested),
+    shared AS (SELECT *, coalesce(min(CASE WHEN list_max(tails) > {rules.DELTA} / (m - r + 1) THEN r END) OVER () - 1, m) AS whole FROM ranked),
+    passed AS (SELECT stratum, coalesce(list_position(list_transform(tails, lambda t: t > {rules.DELTA} / greatest(m - whole, 1)), true) - 1, {last}) AS levels FROM shared),
+    limits AS (SELECT stratum, {limit} FROM cuts JOIN passed USING (stratum) WHERE levels > 0)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
            (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
-           NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT ({above}) AS kept, stratum
+           NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT ({over}) AS kept, stratum
     FROM rated LEFT JOIN limits USING (stratum)"""
 
 
@@ -82,12 +92,14 @@ def _mixing() -> str:
     """All quotients are listed, and the highest of them taken."""
     block, seed, digits = mixing.BLOCK_WORDS, mixing.SEED, mixing.BUCKET_DIGITS
     weights = ", ".join(map(str, mixing.WEIGHTS))
+    # Where each shard begins: the quota of the shards before it, in words.
+    houses = ", ".join(f"count(*) FILTER (nth <= (house::BIGINT * {shard}) // {mixing.SHARDS}) * {block}" for shard in range(1, mixing.SHARDS))
     chosen = lambda k: f"(((({k}) + o)::HUGEINT * rest) // n_blocks - (o::HUGEINT * rest) // n_blocks)"
     before = lambda x: f"({chosen(f'({x}) // {block}')} * {block} + (({x}) % {block}) * ({chosen(f'({x}) // {block} + 1')} - {chosen(f'({x}) // {block}')}))"
     return rf"""
     WITH keyed AS (
       SELECT doc_id, source, coalesce('s' || source, 'n') AS key, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-             md5('{seed}|' || coalesce(doc_id::VARCHAR, '')) AS place
+             md5('{seed}|' || coalesce(doc_id::VARCHAR, '#' || md5(coalesce(text, '')))) AS place
       FROM documents),
     sized AS (SELECT key, source, sum(size)::BIGINT AS source_size FROM keyed GROUP BY key, source),
     weighed AS (
@@ -107,9 +119,10 @@ def _mixing() -> str:
     seats AS (
       SELECT key, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, place_) AS nth, round_even(total / {block}, 0) AS house
       FROM (SELECT *, unnest(range(0, (least({mixing.MOST} * blocks, ceil(2 * target / {block}) + 2))::BIGINT)) AS k FROM targets) WHERE target > 0),
-    quotas AS (SELECT key, count(*) AS quota FROM seats WHERE nth <= house GROUP BY key),
+    quotas AS (
+      SELECT key, count(*) FILTER (nth <= house) AS quota, [0, {houses}] AS bounds FROM seats GROUP BY key),
     plan AS (
-      SELECT t.key, source_size, target, greatest(blocks, 1) AS n_blocks,
+      SELECT t.key, source_size, target, greatest(blocks, 1) AS n_blocks, coalesce(bounds, [0 FOR x IN range({mixing.SHARDS})]) AS bounds,
              CASE WHEN source_size > 0 THEN least({mixing.MOST}, coalesce(quota, 0) * {block} // source_size) ELSE 0 END AS passes,
              CASE WHEN source_size > 0 AND coalesce(quota, 0) * {block} // source_size < {mixing.MOST}
                   THEN least(blocks, (coalesce(quota, 0) * {block} % source_size + {block // 2}) // {block}) ELSE 0 END AS rest,
@@ -118,10 +131,18 @@ def _mixing() -> str:
     placed AS (
       SELECT *, coalesce(sum(size) OVER (PARTITION BY key ORDER BY substr(place, 1, {digits}), place, size
                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begin_
-      FROM keyed)
-    SELECT doc_id, size::BIGINT AS size, source_size, target,
-           (passes * size + {before("begin_ + size")} - {before("begin_")})::BIGINT AS taken, source
-    FROM placed JOIN plan USING (key)"""
+      FROM keyed),
+    mixed AS (
+      SELECT *, (passes * size + {before("begin_ + size")} - {before("begin_")})::BIGINT AS taken, (passes * source_size + {before("begin_")})::BIGINT AS partial_at
+      FROM placed JOIN plan USING (key)),
+    cut AS (
+      SELECT *, list_concat(list_transform(range(0, passes::BIGINT), lambda p: [p * source_size + begin_, p * source_size + begin_ + size]),
+                            [[partial_at, partial_at + taken - (passes * size)::BIGINT]]) AS pieces
+      FROM mixed)
+    SELECT doc_id, size::BIGINT AS size, source_size, target, taken, source,
+           array_to_string(list_transform(range(1, {mixing.SHARDS + 1}), lambda s: list_sum(list_transform(pieces, lambda x:
+             greatest(least(x[2], coalesce(bounds[s + 1], {2**62})) - greatest(x[1], bounds[s]), 0)))::BIGINT), ',') AS shard_words
+    FROM cut"""
 
 
 def _urn(*parts: str) -> str:

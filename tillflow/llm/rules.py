@@ -1,11 +1,19 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
-Fixed base rules, then cutoffs on four statistics. For each stratum (language), labelled good
-documents count the false rejections of every candidate cutoff; a cutoff is certified where the exact
-binomial tail P(X <= false rejections | n, RISK / rules) is at most DELTA / (strata * rules * cutoffs).
-With Bonferroni's correction all certified cutoffs hold at once with confidence 1 - DELTA, so taking
-the strictest certified one of each rule rejects at most RISK of a stratum's good documents. A stratum
-with too few labels has no certified cutoff, and the method rejects nothing there.
+Fixed base rules, then cutoffs on four statistics, a set of them per stratum (language). A quarter of
+the labelled good documents, by a hash of the id, proposes: the cutoffs of a level are quantiles of its
+statistics, and before them, as a quarter's largest value is soon exceeded, multiples of the largest; levels
+go from the laxest to the strictest. The other three quarters test: a level falsely rejects
+what lies above any of its cutoffs, and its p-value is the exact binomial tail
+P(X <= false rejections | n, RISK). Levels of a stratum are tested in their fixed order and the first that
+fails ends it, which costs no correction; strata are corrected by Holm, where one whose levels all
+pass hands its share of DELTA on. So with confidence 1 - DELTA the strictest certified level
+of every stratum rejects at most RISK of its good documents. A stratum with too few labels has no certified
+level (without a false rejection it takes log(DELTA / strata) / log(1 - RISK) of them), and there the
+method rejects nothing.
+
+Statistics are counted in thousandths, rounded up and capped at CAP, so that quantiles come out of a
+histogram of bounded length and are exact.
 
 Defined results: NULL text has no words and fails the base rules; NULL lang is a stratum of its own;
 labels given twice count as good only if all agree; repeated rows are kept; empty tables give empty
@@ -14,7 +22,7 @@ tables; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm.common import NOT_SPACE, staged
@@ -22,13 +30,14 @@ from tillflow.llm.common import NOT_SPACE, staged
 RISK = 0.02
 DELTA = 0.05
 WINDOW = 8
-#: A document is rejected where the statistic is above the cutoff.
-CUTOFFS = {
-    "symbols_per_word": (0.1, 0.2, 0.35, 0.5, 0.75, 1.0, 2.0),
-    "dup_line_share": (0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7),
-    "repeat_share": (0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.25),
-    "mean_word_chars": (7.0, 8.0, 9.0, 10.0, 12.0, 15.0, 20.0),
-}
+RULES = ("symbols_per_word", "dup_line_share", "repeat_share", "mean_word_chars")
+#: The laxest levels: the largest value of the proposing documents times so many thousandths, and a margin.
+MULTIPLES = ((4000, 400), (2000, 200), (1500, 100), (1200, 50))
+#: Then shares of the proposing documents, in thousandths, that a level's cutoffs do not reject, each by itself.
+QUANTILES = (1000, 998, 995, 990, 980)
+LEVELS = len(MULTIPLES) + len(QUANTILES)
+CAP = 100_000
+SEED = "rules-1"
 
 
 def _bind(value: Column, use) -> Column:
@@ -118,36 +127,63 @@ def binomial_tail(k: Column, n: Column, risk: float) -> Column:
     return F.when(k > n * risk, F.lit(1.0)).otherwise(total)
 
 
-def certify(labelled: DataFrame, risk: float = RISK, delta: float = DELTA, cutoffs: dict | None = None) -> DataFrame:
-    """One row per stratum, rule and cutoff of labelled statistics (with a column quality): stratum,
-    rule, cutoff, n_good, n_rejected, tail, certified."""
-    cutoffs = cutoffs or CUTOFFS
-    good = labelled.where(F.col("quality") == 1).select("stratum", *[c.alias(name) for name, c in statistics().items()])
-    pairs = [(name, value) for name, values in cutoffs.items() for value in values]
-    sums = [F.sum((F.col(name) > value).cast("long")).alias(f"k{i}") for i, (name, value) in enumerate(pairs)]
-    counts = good.groupBy("stratum").agg(F.count("*").alias("n_good"), *sums)
-    n_strata = counts.groupBy().agg(F.count("*").alias("n_strata"))
-    rows = F.inline(F.array(*[F.struct(F.lit(name).alias("rule"), F.lit(value).alias("cutoff"), F.col(f"k{i}").alias("n_rejected")) for i, (name, value) in enumerate(pairs)]))
-    tests = counts.crossJoin(F.broadcast(n_strata)).select("stratum", "n_good", "n_strata", rows)  # one row: a count
-    tail = binomial_tail(F.col("n_rejected"), F.col("n_good"), risk / len(cutoffs))
-    return tests.withColumn("tail", tail).select(
-        "stratum", "rule", "cutoff", "n_good", "n_rejected", "tail",
-        (F.col("tail") <= F.lit(delta / len(pairs)) / F.col("n_strata")).alias("certified"),
-    )
+def binned() -> dict[str, Column]:
+    """The statistics in thousandths, rounded up: whole numbers, CAP at most."""
+    return {name: F.least(F.ceil(value * 1000), F.lit(CAP)).cast("long") for name, value in statistics().items()}
+
+
+def proposed(good: DataFrame) -> DataFrame:
+    """Per stratum of binned statistics: an array of levels per rule, a cutoff each."""
+    each = F.inline(F.array(*[F.struct(F.lit(name).alias("rule"), F.col(name).alias("bin")) for name in RULES]))
+    counts = good.select("stratum", each).groupBy("stratum", "rule", "bin").agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy("stratum", "rule")  # CAP rows at most
+    counts = counts.withColumn("up_to", F.sum("n").over(whole.orderBy("bin"))).withColumn("all", F.sum("n").over(whole))
+    cuts = [F.floor(F.max("bin") * times / 1000) + margin for times, margin in MULTIPLES]
+    cuts += [F.min(F.when(F.col("up_to") * 1000 >= F.col("all") * share, F.col("bin"))) for share in QUANTILES]
+    per_rule = counts.groupBy("stratum", "rule").agg(F.array(*cuts).alias("cuts"))
+    return per_rule.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == name, F.col("cuts"))).alias(f"cuts_{name}") for name in RULES])
+
+
+def _above(level: int | Column) -> Column:
+    """Whether a document lies above any cutoff of a level (from 0)."""
+    above = [F.col(name) > F.get(F.col(f"cuts_{name}"), F.lit(level) if isinstance(level, int) else level) for name in RULES]
+    return above[0] | above[1] | above[2] | above[3]
+
+
+def certify(labelled: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """Per stratum of binned statistics (with doc_id and quality): stratum, n_good and rejected (tested
+    documents, and how many of them each level rejects), tails, alpha, levels (how many are certified),
+    and cuts_<rule>, the cutoffs of the strictest certified level, NULL without one."""
+    good = labelled.where(F.col("quality") == 1)
+    proposing = F.substring(F.md5(F.concat(F.lit(SEED + "|"), F.col("doc_id").cast("string"))), 1, 1).isin(*"0123")
+    cuts = proposed(good.where(proposing))
+    tested = good.where(~proposing).join(cuts, "stratum")
+    rejected = [F.sum(_above(level).cast("long")) for level in range(LEVELS)]
+    names = [f"cuts_{name}" for name in RULES]
+    counts = tested.groupBy("stratum", *names).agg(F.count(F.lit(1)).alias("n_good"), F.array(*rejected).alias("rejected"))
+    tails = F.array(*[binomial_tail(F.col("rejected")[level], F.col("n_good"), risk) for level in range(LEVELS)])
+    # Holm: strata by the least share of delta that certifies them whole. One row a stratum.
+    everything, ranked = Window.partitionBy(), Window.orderBy(F.array_max("tails"), "stratum")
+    tests = counts.withColumn("tails", tails).withColumn("rank", F.row_number().over(ranked)).withColumn("strata", F.count(F.lit(1)).over(everything))
+    fails = F.array_max("tails") > F.lit(delta) / (F.col("strata") - F.col("rank") + 1)
+    whole = F.coalesce(F.min(F.when(fails, F.col("rank"))).over(everything) - 1, F.col("strata"))
+    alpha = F.lit(delta) / F.greatest(F.col("strata") - whole, F.lit(1))
+    first_failed = F.array_position(F.transform("tails", lambda tail: tail > F.col("alpha")), F.lit(True))
+    levels = F.when(first_failed == 0, F.lit(LEVELS)).otherwise(first_failed - 1).cast("int")
+    at = [F.get(F.col(name), F.col("levels") - 1).alias(name) for name in names]
+    return tests.withColumn("alpha", alpha).withColumn("levels", levels).select("stratum", "n_good", "rejected", "tails", "alpha", "levels", *at)
 
 
 def judge(documents: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """Per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, kept."""
-    measured = staged(text_statistics(documents))
+    base_failed, kept, stratum."""
+    measured = staged(text_statistics(documents)).withColumns(binned())
     agreed = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    certified = certify(measured.join(agreed, "doc_id"), risk, delta).where("certified")
-    strictest = [F.min(F.when(F.col("rule") == name, F.col("cutoff"))).alias(f"cut_{name}") for name in CUTOFFS]
-    limits = staged(certified.groupBy("stratum").agg(*strictest))
+    limits = staged(certify(measured.join(agreed, "doc_id"), risk, delta))
     base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    above = [F.coalesce(value > F.col(f"cut_{name}"), F.lit(False)) for name, value in statistics().items()]
+    above = [F.coalesce(F.col(name) > F.col(f"cuts_{name}"), F.lit(False)) for name in RULES]
     rejected = above[0] | above[1] | above[2] | above[3]
-    return measured.join(limits, "stratum", "left").select(
+    return measured.join(limits.select("stratum", *[f"cuts_{name}" for name in RULES]), "stratum", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed.alias("base_failed"),
         (~base_failed & ~rejected).alias("kept"),
