@@ -202,3 +202,23 @@ def test_dates_join_on_the_date(spark, star):
     dates = build_dim_date(spark, "2024-12-01", "2024-12-31")
     assert dict(star[0].dtypes)["date_key"] == dict(dates.dtypes)["full_date"] == "date"
     assert dates.first()["full_date"] == date(2024, 12, 1)
+
+
+def test_dimensions_are_dealt_by_key_before_the_least_is_found(spark, star, monkeypatch):
+    from tillflow.plans import star as plans
+
+    seen = []
+    monkeypatch.setattr(plans, "_written", lambda rows: seen.append(rows) or rows)
+    star_sales(star[0], ["store_state"], stores=star[1])
+    text = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in text and "Aggregate" not in text.partition("REPARTITION_BY_NUM")[2]
+
+
+def test_many_folders_are_deleted(spark, tmp_path):
+    from tillflow.files import delete_folders
+
+    folders = [tmp_path / f"day={n}" for n in range(40)]
+    for folder in folders:
+        (folder / "deep").mkdir(parents=True)
+    delete_folders(spark, [str(folder) for folder in folders[1:]])
+    assert sorted(tmp_path.glob("day=*")) == [folders[0]]

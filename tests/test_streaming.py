@@ -428,3 +428,20 @@ def test_complete_output_forgets_nothing(feed, store, tmp_path):
     feed.add(BATCHES[0])
     with pytest.raises(ValueError, match="late"):
         drain(feed, store, tmp_path, mode="state", output="complete", late_after="2 days")
+
+
+def test_state_adds_changes_to_the_checkpoint(spark, feed, store, tmp_path):
+    for batch in BATCHES:
+        feed.add(batch)
+    drain(feed, store, tmp_path, mode="state", state_partitions=1)
+    names = [os.path.basename(path) for path in glob.glob(f"{tmp_path}/checkpoint/state/0/0/*")]
+    assert len([name for name in names if name.endswith(".changelog")]) == len(BATCHES)
+
+
+def test_complete_output_keeps_the_newest_two_batches(spark, feed, store, tmp_path):
+    for batch in [*BATCHES, BATCHES[0]]:
+        feed.add(batch)
+    drain(feed, store, tmp_path, mode="state", output="complete", state_partitions=1)
+    left = sorted(path.rpartition("=")[2] for path in glob.glob(f"{store.snapshots}/batch_id=*"))
+    assert left == ["2", "3"]
+    assert_totals(spark, feed, store, "state", "complete")
