@@ -5,7 +5,9 @@ import gzip
 from collections import Counter
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from checks import feed
 from tillflow.session import session_conf
@@ -79,3 +81,13 @@ def test_staged_lines_are_packed(spark, tables, what):
     files = glob.glob(f"{root}/**/rd_liquor_sales/partition=*/*.csv.gz", recursive=True)
     lines = [line.split(",")[3] for file in files for line in gzip.open(file, "rt").read().splitlines()]
     assert sorted(lines) == ["10-1", "10-2", "11-1", "11-1"]
+
+
+def test_all_cores_can_read_a_file_of_messages(spark, tmp_path):
+    """A batch takes a few files: their row groups are what its tasks share."""
+    text = F.concat_ws(",", F.sha2(F.col("id").cast("string"), 512), F.sha2((F.col("id") + 0.5).cast("string"), 512))
+    rows = spark.range(0, 120_000, numPartitions=1).select(text.cast("binary").alias("value"))
+    feed.write_messages(rows, f"{tmp_path}/messages")
+    (file,) = glob.glob(f"{tmp_path}/messages/*.parquet")
+    assert pq.ParquetFile(file).num_row_groups >= 3
+    assert spark.read.parquet(f"{tmp_path}/messages").exceptAll(rows).isEmpty()

@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime, timezone
 
 import pytest
@@ -10,7 +11,7 @@ from tillflow.functions.geo import latitude, longitude
 from tillflow.functions.lines import message_lines
 from tillflow.lake import Lake, days_between, previous_day
 from tillflow.session import CHECKPOINT_DIR, session_conf, work_folder
-from tillflow.sources.messages import kafka_options, parse_sales
+from tillflow.sources.messages import kafka_options, lines_of, parse_sales
 
 
 def texts(spark, values):
@@ -82,6 +83,21 @@ def test_message_lines(spark):
     assert kept == [["a", "b"], ["a", ""], ["", "", "a\r", "b\r", "  ", ""], ["a\r"], [""], None]
 
 
+ODD_MESSAGES = [
+    "a\r\r\nb\r\r", "\ra\n\r", "\r\n\r\r\n \r\n", "a\rb\r\nc", " \r", "\r \n", "é\r\n\tü \r", "\n", "\r", "x\n\n y\r\n\r",
+]
+
+
+def test_lines_are_cut_without_a_regular_expression(spark):
+    """As `\\r?\\n`, or a CR at the very end, cuts them."""
+    frame = texts(spark, ODD_MESSAGES)
+    expected = [[line for line in re.split(r"\r?\n|\r\Z", text) if line.strip(" ")] for text in ODD_MESSAGES]
+    assert column(frame, message_lines(F.col("t"))) == expected
+    lines = lines_of(frame.select(F.col("t").cast("binary").alias("value")))
+    assert sorted(row.line for row in lines.collect()) == sorted(line for part in expected for line in part)
+    assert "r?" not in lines._jdf.queryExecution().executedPlan().toString()
+
+
 def parsed(spark, *messages, **options):
     frame = spark.createDataFrame(
         [(m.encode() if m is not None else None,) for m in messages], "value BINARY"
