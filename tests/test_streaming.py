@@ -25,7 +25,8 @@ from tillflow.streaming.current import (
     state_totals,
 )
 from tillflow.streaming.debug import print_totals, start_memory_totals
-from tillflow.streaming.landing import REJECTS, TABLE, start_landing
+from tillflow.streaming import landing
+from tillflow.streaming.landing import REJECTS, TABLE, land_batch, start_landing
 from tillflow.streaming.progress import BatchLog
 from tillflow.streaming.totals import ROCKSDB, TotalsStore, run_until_stopped, start_totals
 
@@ -445,3 +446,23 @@ def test_complete_output_keeps_the_newest_two_batches(spark, feed, store, tmp_pa
     left = sorted(path.rpartition("=")[2] for path in glob.glob(f"{store.snapshots}/batch_id=*"))
     assert left == ["2", "3"]
     assert_totals(spark, feed, store, "state", "complete")
+
+
+def test_landing_parses_a_line_once(spark, lake, monkeypatch):
+    seen, found = spark.sparkContext.accumulator(0), landing.lines_of
+    count = F.udf(lambda line: (seen.add(1), line)[1]).asNondeterministic()
+    monkeypatch.setattr(landing, "lines_of", lambda messages: found(messages).select(count("line").alias("line")))
+    lines = [sales_line(), sales_line(process_date="soon"), sales_line(process_date="2024-12-02"), "short,2024-12-01"]
+    messages = spark.createDataFrame([(line.encode(),) for line in lines], "value BINARY")
+    land_batch(messages, 0, lake)
+    assert seen.value == 4
+    assert read_raw_days(spark, lake, TABLE, "20241201", "20241202").count() == 2
+    assert spark.read.text(lake.raw(REJECTS)).count() == 2
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_a_stream_without_state_sums_in_the_partitions_of_the_session(spark, feed, store, tmp_path):
+    feed.add([{"name": f"Shop {n}", "vendor_name": f"V {n}", "im_desc": f"P {n}"} for n in range(20)])
+    with session_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        drain(feed, store, tmp_path, state_partitions=1)
+    assert len(glob.glob(f"{store.root}/delta/batch_id=0/*/*.parquet")) > 3  # a file a table and partition
