@@ -17,6 +17,7 @@ from tillflow.plans.daily import PRODUCT, SALES, STORE, EmptyInput, load_day
 from tillflow.sinks.gold import replace_days
 from tillflow.sources.gold import read_gold, read_gold_days, rows_per_day
 from tillflow.sources.raw import day_sources, read_raw_day, read_raw_days
+from tillflow.streaming import compaction
 from tillflow.streaming.compaction import compact_landing, drop_compacted, pack
 from tillflow.streaming.current import current_totals, days_up_to, fold, folded_days, levels_root
 from tillflow.streaming.landing import TABLE, land_batch
@@ -203,6 +204,23 @@ def test_files_of_a_compacted_day_are_bounded_by_bytes(spark, lake):
     assert read_raw_day(spark, lake, TABLE, "20241201").count() == 160
 
 
+def test_packed_days_stay_packed_and_are_compacted_in_parts(spark, lake, monkeypatch):
+    days = ["2024-12-01", "2024-12-01", "2024-12-02", "2024-12-03"]
+    for batch in range(3):
+        lines = [(sales_line(process_date=day, store=f"s{batch}").encode(),) for day in days]
+        land_batch(spark.createDataFrame(lines, "value BINARY"), batch, lake, compression="gzip")
+    land(spark, lake, 3, *days)  # a plain batch beside them
+    before = rows_of(read_raw_days(spark, lake, TABLE, "20241201", "20241231"))
+    monkeypatch.setattr(compaction, "MOST_BYTES", 1)
+    assert len(compact_landing(spark, lake, TABLE, "20241231", up_to=3)) == 3
+    root, held = lake.raw(TABLE), read_manifest(spark, lake.raw(TABLE)).days
+    assert len({entry.folder.partition("/")[0] for entry in held.values()}) == 3  # a day a part
+    files = [state.path for entry in held.values() for state in file_states(spark, f"{root}/{entry.folder}/[!_.]*")]
+    assert len(files) == 3 and all(path.endswith(".gz") for path in files)
+    assert drop_compacted(spark, lake, TABLE, grace_seconds=-60) == 12
+    assert rows_of(read_raw_days(spark, lake, TABLE, "20241201", "20241231")) == before
+
+
 # ---- folds by day
 
 
