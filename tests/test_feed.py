@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import feed
+from tests.test_streaming import shuffles, shuffles_left
 from tillflow.session import session_conf
 
 TABLES = {
@@ -91,3 +92,9 @@ def test_all_cores_can_read_a_file_of_messages(spark, tmp_path):
     (file,) = glob.glob(f"{tmp_path}/messages/*.parquet")
     assert pq.ParquetFile(file).num_row_groups >= 3
     assert spark.read.parquet(f"{tmp_path}/messages").exceptAll(rows).isEmpty()
+
+
+def test_shuffle_files_go_with_the_staging(spark, tables, shuffled):
+    before = shuffles(spark)
+    feed.staged(spark, tables, "messages")
+    assert not shuffles_left(spark, before)

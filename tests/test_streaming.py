@@ -1,7 +1,10 @@
 import glob
+import gzip
 import os
+import shutil
 import signal
 import threading
+import time
 import uuid
 
 import pytest
@@ -27,6 +30,7 @@ from tillflow.streaming.current import (
 from tillflow.streaming.debug import print_totals, start_memory_totals
 from tillflow.streaming import landing
 from tillflow.streaming.landing import REJECTS, TABLE, land_batch, start_landing
+from tillflow.streaming.levels import fold_days
 from tillflow.streaming.progress import BatchLog
 from tillflow.streaming.totals import ROCKSDB, TotalsStore, run_until_stopped, start_totals
 
@@ -84,6 +88,7 @@ def assert_totals(spark, feed, store, mode="delta", output="update"):
         assert rows_of(found) == rows_of(totals(sales, table))
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false"
 MODES = [("delta", {}), ("state", {"output": "update"}), ("state", {"output": "complete"})]
 
 
@@ -466,3 +471,61 @@ def test_a_stream_without_state_sums_in_the_partitions_of_the_session(spark, fee
     with session_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
         drain(feed, store, tmp_path, state_partitions=1)
     assert len(glob.glob(f"{store.root}/delta/batch_id=0/*/*.parquet")) > 3  # a file a table and partition
+
+
+def shuffles_left(spark, before):
+    """Shuffles that are there and were not before. Spark removes them aside, so it is given some time."""
+    for _ in range(50):
+        left = shuffles(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    return left
+
+
+def shuffles(spark):
+    held = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().keySet().mkString(",")
+    return set(filter(None, held.split(",")))
+
+
+@pytest.mark.parametrize("mode, options", MODES)
+def test_shuffle_files_go_with_their_batch(spark, feed, store, tmp_path, mode, options):
+    for batch in BATCHES:
+        feed.add(batch)
+    before = shuffles(spark)
+    drain(feed, store, tmp_path, mode=mode, state_partitions=2, **options)
+    assert not shuffles_left(spark, before)
+    assert spark.conf.get(*CLEANUP) == CLEANUP[1]
+    assert_totals(spark, feed, store, mode, **options)
+
+
+def test_shuffle_files_go_with_the_fold(spark, feed, store, tmp_path):
+    for batch in BATCHES:
+        feed.add(batch)
+    drain(feed, store, tmp_path)
+    by_day = TotalsStore(f"{tmp_path}/by_day")
+    shutil.copytree(store.deltas, by_day.deltas)
+    shutil.copytree(f"{store.root}/runs", f"{by_day.root}/runs")
+    before = shuffles(spark)
+    publish_view(spark, store, "f001_store_tot_sales", view := f"view_{uuid.uuid4().hex}")
+    spark.sql(f"DROP VIEW {view}")
+    assert fold(spark, store) == 1 and not shuffles_left(spark, before)
+    # The days are collected first, by a plain query of the session.
+    days = fold_days(spark, by_day)
+    assert days and len(shuffles_left(spark, before)) <= 1
+    assert_totals(spark, feed, store)
+    assert_totals(spark, feed, by_day)
+
+
+def test_landed_lines_are_packed(spark, feed, lake, tmp_path):
+    before = shuffles(spark)
+    feed.add([{}, {"process_date": "soon"}, {"name": '"Shop, North"'}])
+    feed.add([{"process_date": "2024-12-02"}, {}])
+    start_landing(feed.stream(), lake, str(tmp_path / "landing"), every=None).awaitTermination()
+    assert not shuffles_left(spark, before)
+    for table, lines in ((f"{TABLE}/partition=*", 4), (REJECTS, 1)):
+        files = glob.glob(f"{lake.raw(table)}/batch_id=*/part-*")
+        assert files and all(file.endswith(".gz") for file in files)
+        assert sum(len(gzip.open(file, "rt").read().splitlines()) for file in files) == lines
+    assert read_raw_days(spark, lake, TABLE, "20241201", "20241231").count() == 4
+    assert spark.read.text(lake.raw(REJECTS)).count() == 1
