@@ -48,6 +48,14 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def nothing_stays_cached(request):
+    """What a test cached is not met by the next."""
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").catalog.clearCache()
+
+
 @pytest.fixture
 def lake(tmp_path):
     return Lake(str(tmp_path / "lake"))

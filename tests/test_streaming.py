@@ -18,6 +18,7 @@ from tillflow.session import session_conf
 from tillflow.sinks.logs import compact_batch_log, read_batch_log
 from tillflow.sources.messages import kafka_messages, parquet_messages, parse_sales, whole_file_messages
 from tillflow.sources.raw import read_raw_days
+from tillflow.streaming import current
 from tillflow.streaming.current import (
     create_current_view,
     current_totals,
@@ -529,3 +530,36 @@ def test_landed_lines_are_packed(spark, feed, lake, tmp_path):
         assert sum(len(gzip.open(file, "rt").read().splitlines()) for file in files) == lines
     assert read_raw_days(spark, lake, TABLE, "20241201", "20241231").count() == 4
     assert spark.read.text(lake.raw(REJECTS)).count() == 1
+
+
+def test_state_is_packed_and_looks_a_key_up_once(spark, feed, store, tmp_path):
+    for batch in BATCHES:
+        feed.add(batch)
+    query = drain(feed, store, tmp_path, mode="state", state_partitions=1)
+    states = [progress.stateOperators[0] for progress in query.recentProgress if progress.numInputRows]
+    assert sum(state.numRowsUpdated for state in states) > 0 and {state.numRowsTotal for state in states} == {0}  # not counted
+    (newest,) = glob.glob(f"{tmp_path}/checkpoint/state/0/0/3.changelog")
+    assert open(newest, "rb").read(4) == bytes.fromhex("28b52ffd")  # zstd
+
+
+def test_fold_writes_a_table_at_a_time_and_counts_when_whole(spark, feed, store, tmp_path, monkeypatch):
+    for batch in BATCHES:
+        feed.add(batch)
+    drain(feed, store, tmp_path)
+    merged, seen = current.merge_deltas, []
+
+    def dies(rows, keys):
+        if len(seen) == 2:
+            raise RuntimeError("no more")
+        seen.append(keys)
+        return merged(rows, keys)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(current, "merge_deltas", dies)
+        with pytest.raises(RuntimeError):
+            fold(spark, store)
+    assert seen == [COMMON_KEYS + ["store_name", "store_city"], COMMON_KEYS + ["vendor_name"]]
+    assert current.folded_up_to(spark, store) == -1
+    assert_totals(spark, feed, store)
+    assert fold(spark, store) == 1 and current.folded_up_to(spark, store) == 1
+    assert_totals(spark, feed, store)
